@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rulegrove.llm import sharding
+from rulegrove.llm import sharding, simhash
 
-QUERIES = {"op2_sharding": sharding.op2_sharding}
+QUERIES = {"op2_sharding": sharding.op2_sharding, "op8_simhash": simhash.op8_simhash}
 SQL = {"op2_sharding": sharding.op2_sql()}

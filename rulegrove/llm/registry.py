@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rulegrove.llm import sharding, simhash
+from rulegrove.llm import secrets, sharding, simhash
 
-QUERIES = {"op2_sharding": sharding.op2_sharding, "op8_simhash": simhash.op8_simhash}
+QUERIES = {"op2_sharding": sharding.op2_sharding, "op5_secrets": secrets.op5_secrets, "op8_simhash": simhash.op8_simhash}
 SQL = {"op2_sharding": sharding.op2_sql()}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rulegrove.llm import chat, pii, secrets, sharding, simhash
+from rulegrove.llm import chat, pii, secrets, sharding, simhash, topk
 
-QUERIES = {"op2_sharding": sharding.op2_sharding, "op5_secrets": secrets.op5_secrets, "op7_chat": chat.op7_chat, "op8_simhash": simhash.op8_simhash, "op9_pii": pii.op9_pii}
-SQL = {"op2_sharding": sharding.op2_sql(), "op7_chat": chat.op7_sql()}
+QUERIES = {"op2_sharding": sharding.op2_sharding, "op3_topk": topk.op3_topk, "op5_secrets": secrets.op5_secrets, "op7_chat": chat.op7_chat, "op8_simhash": simhash.op8_simhash, "op9_pii": pii.op9_pii}
+SQL = {"op2_sharding": sharding.op2_sql(), "op3_topk": topk.op3_sql(), "op7_chat": chat.op7_sql()}

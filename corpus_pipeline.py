@@ -1 +1,62 @@
+"""From raw documents to training pieces, in five stages over all documents.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes each stage's result to
+the shared folder as Parquet and rereads it for the next one.
+"""
+
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rulegrove.llm import decontam, pieces, pii, quality, simhash
+from rulegrove.llm.common import table, written
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality.quality_scores(docs.select(*COLUMNS), model, keep=list(COLUMNS))
+    return scored.filter(quality.predicted() == 1).select(*COLUMNS)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group: that with the smallest doc_id."""
+    return simhash.drop_near_duplicates(docs.select(*COLUMNS))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontam.decontaminate(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data and what reveals it masked; n_chars follows the text."""
+    masked = pii.sanitise(docs.select(*COLUMNS))
+    return masked.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Two distinct segmentations of every document."""
+    return pieces.encode(docs)
+
+
+STAGES = [
+    ("quality classifier", keep_good),
+    ("SimHash near-dedup", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("PII", mask_personal_data),
+    ("SentencePiece encoding and decoding", encode_pieces),
+]
+
+#: A trained classifier, a randomised SVD and seeded sampling are beyond SQL.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

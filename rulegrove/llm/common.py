@@ -41,3 +41,15 @@ def crc_text(col) -> F.Column:
 
 def text_or_empty(col="text") -> F.Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
+
+
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """docs with a unique long per row that stays the same wherever the result is used.
+
+    Numbers repeat from run to run over plain file scans only; behind anything that may reorder rows
+    they are written once.
+    """
+    out = docs.withColumn(name, F.monotonically_increasing_id())
+    plan = docs._jdf.queryExecution().optimizedPlan().toString()
+    moves = any(x in plan for x in ("Join", "Aggregate", "Repartition", "Sort", "Window", "Map", "LogicalRDD", "Union", "Rebalance"))
+    return written(out) if moves else out

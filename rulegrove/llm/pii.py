@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rulegrove.llm.common import table, written
+from rulegrove.llm.common import numbered, table, written
 
 KINDS = ("email", "ip", "card", "phone", "term")
 #: The base patterns. The address part of an email is found from its @ sign, see emails().
@@ -248,21 +248,14 @@ def sanitised_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, Dat
     struct(s, e, removed). A null text counts as empty. Every row is on its own: rows with repeated
     or null keys keep theirs apart.
     """
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    numbered = written(numbered) if _moves(docs) else numbered
-    found = written(numbered.select("_row", F.col(text).cast("string").alias("text")).mapInArrow(_find, FOUND))
+    rows = numbered(docs, "_row")
+    found = written(rows.select("_row", F.col(text).cast("string").alias("text")).mapInArrow(_find, FOUND))
     told = disclosures(found, docs, text)
     near = found.filter("near IS NOT NULL").select("row", F.explode("near").alias("x")).select("row", "x.*")
     hits = near.join(told, ["entity", "term"]).groupBy("row", "s", "e").agg((F.max("npmi") > REMOVE).alias("removed"))
     terms = hits.groupBy(F.col("row").alias("_hit")).agg(F.sort_array(F.collect_list(F.struct("s", "e", "removed"))).alias("terms"))
     spans = found.drop("near").join(terms, F.col("row") == F.col("_hit"), "left").drop("_hit").withColumnRenamed("row", "_row")
-    return numbered, spans
-
-
-def _moves(docs: DataFrame) -> bool:
-    """Row numbers repeat from run to run over files, not behind a shuffle."""
-    plan = docs._jdf.queryExecution().optimizedPlan().toString()
-    return any(x in plan for x in ("Join", "Aggregate", "Repartition", "Sort", "Window", "Map", "LogicalRDD"))
+    return rows, spans
 
 
 def all_spans(base: str, terms) -> list[tuple[int, int, int]]:
@@ -298,23 +291,23 @@ TERMS_TYPE = "array<struct<s:int,e:int,removed:boolean>>"
 
 def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with `text` masked, all other columns and rows as they are. Null texts stay null."""
-    numbered, spans = sanitised_spans(docs, text)
+    rows, spans = sanitised_spans(docs, text)
     touched = spans.filter("base <> ''").select("_row", "base", "terms")
 
     def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = zip(*(c.to_pylist() for c in b.columns))
-            out = [(row, masked(t, base, terms)) for row, t, base, terms in rows]
+            cells = zip(*(c.to_pylist() for c in b.columns))
+            out = [(row, masked(t, base, terms)) for row, t, base, terms in cells]
             yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in out], pa.int64()), pa.array([t for _, t in out], pa.string())], names=["_row", "_masked"])
 
-    changed = numbered.select("_row", text).join(touched, "_row").select("_row", text, "base", "terms").mapInArrow(mask, "_row long, _masked string")
-    back = numbered.join(changed, "_row", "left")
+    changed = rows.select("_row", text).join(touched, "_row").select("_row", text, "base", "terms").mapInArrow(mask, "_row long, _masked string")
+    back = rows.join(changed, "_row", "left")
     return back.select(*[F.coalesce("_masked", text).alias(text) if c == text else c for c in docs.columns])
 
 
 def op9_pii(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    numbered, spans = sanitised_spans(docs)
+    numbered_docs, spans = sanitised_spans(docs)
     place = "CASE WHEN l.s <> r.s THEN l.s - r.s ELSE l.k - r.k END"
     base = "transform(filter(split(base, ','), x -> x <> ''), x -> named_struct('k', array_position(kinds, split(x, ':')[0]), 's', CAST(split(x, ':')[1] AS INT), 'x', x))"
     more = "transform(coalesce(terms, array()), t -> named_struct('k', 5L, 's', t.s, 'x', concat('term:', t.s, ':', t.e)))"
@@ -322,8 +315,8 @@ def op9_pii(spark, sf_dir):
     joined_all = F.expr(
         f"CASE WHEN terms IS NULL THEN base ELSE array_join(transform(array_sort(concat({base.replace('kinds', kinds)}, {more}), (l, r) -> CAST({place} AS INT)), y -> y.x), ',') END"
     )
-    rows = spans.select("_row", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), joined_all.alias("spans"))
-    return numbered.select("doc_id", "_row").join(rows, "_row").drop("_row")
+    found = spans.select("_row", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), joined_all.alias("spans"))
+    return numbered_docs.select("doc_id", "_row").join(found, "_row").drop("_row")
 
 
 def digest(text: str) -> str:

@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rulegrove.llm.common import table, written
+from rulegrove.llm.common import numbered, table, written
 
 LEAST = 50
 GRAM = 20
@@ -467,7 +467,7 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", with_
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).cast("string").cast("binary").alias("_text"))
-    rows = rows.withColumn("_row", F.monotonically_increasing_id())
+    rows = numbered(rows, "_row")
     total = rows.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0)).alias("n")).first().n
     buckets = max(1, -(-total // BUCKET_BYTES))
     filed = rows.select("_row", F.coalesce("_key", F.lit(int(LAST_KEY))).alias("k"), "_text").filter(F.octet_length("_text") >= LEAST)

@@ -68,3 +68,75 @@ def test_runs_across_batches_and_dense_runs():
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.simhash_components(df).collect() == []
+
+
+def jaccard(a, b):
+    grams = []
+    for t in (a, b):
+        w = t.encode().translate(simhash.LOWER).split()
+        grams.append({b" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    return len(grams[0] & grams[1]) / len(grams[0] | grams[1])
+
+
+def test_wide_groups_match_brute_force(spark):
+    rng = np.random.default_rng(6)
+    vocab = [f"v{i}" for i in range(5000)]
+    rows, copies = [], []
+    for i in range(80):
+        words = list(rng.choice(vocab, 300))
+        rows.append((i * 10 + 5, " ".join(words)))
+        for j in range(i % 4):
+            changed = list(words)
+            for k in range(0, 300, 60):
+                changed[k + j] = f"edit{i}_{j}_{k}"
+            rows.append((i * 10 + j, " ".join(changed)))
+            copies.append((len(rows) - 1, len(rows) - 2 - j))
+    rows += [(9000, None), (None, ""), (9001, " ")]
+    df = spark.createDataFrame([(d, t, 0) for d, t in rows], "doc_id long, text string, component int").repartition(3)
+    fps = simhash.wide_fingerprints_of([(t or "").encode() for _, t in rows])
+    n = len(rows)
+    parent = list(range(n))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    pieces = [[int(w) >> s & 0xFFFFFFFF for w in f for s in (0, 32)] for f in fps]
+    for i in range(n):
+        for j in range(i):
+            near = any(bin(a ^ b).count("1") <= 2 for a, b in zip(pieces[i], pieces[j]))
+            if near and sum(bin(int(a) ^ int(b)).count("1") for a, b in zip(fps[i], fps[j])) <= simhash.WIDE_RADIUS:
+                parent[root(i)] = root(j)
+    best = {}
+    for i, (d, _) in enumerate(rows):
+        best[root(i)] = min(best.get(root(i), (True, 0)), (d is None, d or 0))
+    got = sorted(r.doc_id for r in simhash.drop_near_duplicates(df).collect())
+    assert got == sorted(d for _, d in best.values())
+    assert all(jaccard(rows[a][1], rows[b][1]) >= 0.8 for a, b in copies)
+    assert np.mean([root(a) == root(b) for a, b in copies]) > 0.95
+
+
+def test_spanning_forest():
+    rng = np.random.default_rng(0)
+    x = rng.integers(0, 4, 200).astype(np.uint64) << np.uint64(20)
+    x ^= np.uint64(1) << rng.integers(0, 64, 200).astype(np.uint64)
+    y = np.zeros(200, np.uint64)
+    parent = simhash.spanning(x, y, 2)
+    for i, p in enumerate(parent):
+        assert p == i or bin(int(x[i] ^ x[p])).count("1") <= 2
+    edges = [(i, j) for i in range(200) for j in range(i) if bin(int(x[i] ^ x[j])).count("1") <= 2]
+
+    def roots(pairs):
+        up = list(range(200))
+
+        def root(i):
+            while up[i] != i:
+                i = up[i]
+            return i
+
+        for a, b in pairs:
+            up[root(a)] = root(b)
+        return len({root(i) for i in range(200)})
+
+    assert roots(edges) == roots([(i, int(p)) for i, p in enumerate(parent)])

@@ -38,7 +38,10 @@ BULLET_MINED = r"^([-*]|[0-9]+\.)\s+"
 TOKEN_MINED = r"[a-z][a-z'\-]+"
 NUMBERED_MINED = r"(?:^|\n)\s*(?:[0-9]+[.)]|[A-Za-z][.)])\s+"
 SEQUENCE_CUE = r"(?i)" + BEFORE + r"(?:first|second|third|then|next|afterward|finally|step\s*[0-9]+)" + AFTER
-POLITE_EN = ("please", "could you please", "could you", "can you please", "can you", "would you please", "kindly")
+POLITE_ZH = ("请你(?:帮我)?", "请帮我", "请为我", "麻烦你", "我想让你", "能否帮我", "可以帮我")
+POLITE_EN = ("please", "could you", "can you", "would you", "i would like you to", "i want you to", "help me")
+WISH_ZH = "^(?:我|我想|我需要|我希望|我希望你|我想让你|我想要你|我想请你)[^,，。:.：]*"
+WISH_EN = r"^(?i:i\s+need\s+you\s+to|i\s+want\s+you\s+to|i\s+would\s+like\s+you\s+to)\s+"
 NEGATABLE = (" is ", " are ", " should ", " must ")
 
 
@@ -148,25 +151,39 @@ def slug(d, t):
 
 
 def condition(d, t):
-    """Statement of a condition: no leading If, capitalised, one full stop."""
-    bare = d.replace_all(d.replace_all(strip(d, t), r"^(?i:if)\s+", ""), r"[.\s]+$", "")
-    return f"CASE WHEN {bare} = '' THEN '' ELSE concat(upper(substring({bare}, 1, 1)), substring({bare}, 2), '.') END"
+    """Statement of a condition: no leading If, capitalised, ending with a full stop."""
+    bare = strip(d, d.replace_all(strip(d, t), r"^(?i:if) ", ""))
+    stop = f"CASE WHEN {d.ends(bare, repr('.'))} THEN '' ELSE '.' END"
+    return f"CASE WHEN {bare} = '' THEN '' ELSE concat(upper(substring({bare}, 1, 1)), substring({bare}, 2), {stop}) END"
 
 
 def negated(d, t):
     """The statement with `not` after its first auxiliary, tried in a fixed order."""
-    s = condition(d, t)
+    s = d.replace_all(condition(d, t), r"[.]+$", "")
     cases = " ".join(
-        f"WHEN {d.contains(s, repr(a))} THEN concat(substring({s}, 1, {at} + {len(a) - 1}), 'not ', substring({s}, {at} + {len(a)}))"
+        f"WHEN {d.contains(s, repr(a))} THEN concat(substring({s}, 1, {at} + {len(a) - 1}), 'not ', substring({s}, {at} + {len(a)}), '.')"
         for a in NEGATABLE
         for at in [f"instr({s}, {a!r})"]
     )
-    return f"CASE {cases} ELSE concat('It is not the case that ', lower(substring({s}, 1, 1)), substring({s}, 2)) END"
+    return f"CASE WHEN {s} = '' THEN '' {cases} ELSE concat('It is not the case that ', lower({s}), '.') END"
 
 
 def polite(d, t):
-    p = "|".join(sorted(POLITE_EN, key=len, reverse=True))
-    return strip(d, d.replace_all(strip(d, t), rf"^(?i:(?:{p})[\s,]+)+", ""))
+    """Polite openings taken off one after another, each once."""
+    t = strip(d, t)
+    for p in POLITE_ZH:
+        t = d.replace_all(t, "^" + p, "")
+    for p in POLITE_EN:
+        t = d.replace_all(t, "^(?i:" + p.replace(" ", r"\s+") + r")\s+", "")
+    return strip(d, t)
+
+
+def imperative(d, t):
+    """An instruction form: wishes taken off, Analyze put before what does not begin with a plain word."""
+    s = strip(d, t)
+    u = d.replace_all(d.replace_all(s, WISH_ZH, ""), WISH_EN, "")
+    first = rf"^{SPACE}*[A-Za-z]+(?:{SPACE}|$)"
+    return f"CASE WHEN {s} = '' THEN 'Analyze the given topic.' WHEN {d.has(u, first)} THEN {u} WHEN {u} = '' THEN 'Analyze the given topic.' ELSE concat('Analyze ', {u}) END"
 
 
 def tokens(d, t):

@@ -83,6 +83,7 @@ per_text("clip", hard=lambda d, t: f"md5({X.clipped(d, t, 40)})", dots=lambda d,
 per_text("slugify", slug=lambda d, t: X.slug(d, d.prefix(t, 40)))
 per_text("negate_condition", statement=lambda d, t: X.condition(d, d.prefix(t, 80)), negated=lambda d, t: X.negated(d, d.prefix(t, 80)))
 per_text("polite_prefix", cleaned=lambda d, t: X.polite(d, d.prefix(t, 60)))
+per_text("seed_task_fallback", seed=lambda d, t: X.imperative(d, X.polite(d, d.prefix(t, 60))))
 per_text("block_logic", logic=X.logic)
 per_text(
     "text_detectors",
@@ -285,3 +286,71 @@ SQL["pass_rate_by_label"] = (
     f"SELECT quality, toxic, {', '.join(f'round(avg(({check_sql(DUCK, c, a)})::INT), 6) AS {n}' for n, (c, a) in RULES.items())}, count(*) AS n_docs"
     " FROM documents JOIN labels USING (doc_id) GROUP BY quality, toxic"
 )
+
+# ---- segmentation --------------------------------------------------------------------------------
+
+from rulegrove.operators import segment as S  # noqa: E402
+
+_STRIP = lambda x: X.strip(DUCK, x)
+LINES_SQL = f"""
+lines AS (
+  SELECT doc_id, generate_subscripts(ls, 1) AS n, unnest(ls) AS line
+  FROM (SELECT doc_id, CASE WHEN p[len(p)] = '' THEN p[:len(p) - 1] ELSE p END AS ls FROM (SELECT doc_id, {DUCK.split('text', S.LINE_BREAK)} AS p FROM {TEXTS_SQL} t))
+)"""
+BULLET_SQL = f"""
+classed AS (
+  SELECT doc_id, n, {DUCK.replace_all('line', X.SPACE + '+$', '')} AS line,
+    CASE WHEN NOT {DUCK.has('line', X.NOT_SPACE)} THEN 'z' WHEN {DUCK.has(DUCK.replace_all('line', X.SPACE + '+$', ''), S.BULLET_LINE)} THEN 'b' ELSE 't' END AS k FROM lines
+),
+ahead AS (
+  SELECT *, last_value(nullif(k, 'z') IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m,
+    lag(k) OVER (PARTITION BY doc_id ORDER BY n) AS pk FROM classed
+),
+grouped AS (
+  SELECT *, sum(CASE WHEN (k = 'b' AND m IS DISTINCT FROM 'b') OR (k = 't' AND (m = 'b' OR pk IS NULL OR pk = 'z')) THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY n) AS g FROM ahead
+  WHERE NOT (k = 'z' AND m IS DISTINCT FROM 'b')
+),
+chunks AS (SELECT doc_id, g, {_STRIP("string_agg(line, chr(10) ORDER BY n)")} AS text_span FROM grouped GROUP BY doc_id, g),
+paras AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY g) AS i, text_span FROM chunks WHERE text_span <> '')"""
+
+
+def digest_blocks(df: DataFrame) -> DataFrame:
+    return df.select("doc_id", "block_id", "intent", F.md5("text_span").alias("span_md5"), F.col("order_index").cast("long").alias("order_index"))
+
+
+QUERIES["split_bullet_groups"] = lambda spark, d: digest_blocks(S.segment(texts(spark, d), "doc_id", "paragraph"))
+SQL["split_bullet_groups"] = (
+    f"WITH {LINES_SQL}, {BULLET_SQL} SELECT doc_id, 'B' || i AS block_id, 'Paragraph ' || i AS intent, md5(text_span) AS span_md5, (i - 1)::BIGINT AS order_index FROM paras"
+)
+QUERIES["split_headings"] = lambda spark, d: digest_blocks(S.segment(texts(spark, d), "doc_id", "heading"))
+SQL["split_headings"] = f"""WITH {LINES_SQL}, {BULLET_SQL},
+headed AS (
+  SELECT *, {DUCK.has('line', S.HEADING_LINE)} AS is_head, {_STRIP(DUCK.first('line', S.HEADING_LINE, 2))} AS h FROM lines
+),
+valid AS (SELECT *, is_head AND h <> '' AND NOT {DUCK.has('h', S.VISUAL)} AND {DUCK.has('h', '[A-Za-z0-9]')} AS ok FROM headed),
+spans AS (SELECT *, sum(is_head::INT) OVER (PARTITION BY doc_id ORDER BY n) AS g FROM valid),
+own AS (
+  SELECT doc_id, g, max(CASE WHEN is_head THEN h END) AS intent, bool_or(ok) AS ok, {_STRIP("string_agg(line, chr(10) ORDER BY n)")} AS text_span FROM spans GROUP BY doc_id, g
+),
+kept AS (SELECT doc_id, g, coalesce(intent, 'Preamble') AS intent, text_span FROM own WHERE ok OR (g = 0 AND text_span <> '')),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY g) AS i, row_number() OVER (PARTITION BY doc_id, intent ORDER BY g) AS k FROM kept)
+SELECT doc_id, 'B' || i AS block_id, CASE WHEN k = 1 THEN intent ELSE intent || ' (' || k || ')' END AS intent, md5(text_span) AS span_md5, (i - 1)::BIGINT AS order_index FROM numbered
+UNION ALL
+SELECT doc_id, 'B' || i, 'Paragraph ' || i, md5(text_span), (i - 1)::BIGINT FROM paras WHERE doc_id NOT IN (SELECT doc_id FROM kept)"""
+QUERIES["split_parts"] = lambda spark, d: digest_blocks(S.segment(texts(spark, d).filter("NOT contains(text, '#')"), "doc_id", "parts"))
+SQL["split_parts"] = f"""WITH {LINES_SQL}, {BULLET_SQL} SELECT doc_id, 'B' || i AS block_id, 'Section / Part ' || i AS intent, md5(text_span) AS span_md5, (i - 1)::BIGINT AS order_index
+FROM paras WHERE doc_id NOT IN (SELECT doc_id FROM {TEXTS_SQL} t WHERE contains(text, '#'))"""
+
+
+def intent_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks named by their first three letters, made unique within the document."""
+    nested = texts(spark, sf_dir).select("doc_id", S.blocks("paragraph").alias("b")).withColumn("b", F.expr("transform(b, x -> named_struct('intent', lower(substring(x.text_span, 1, 2)), 'text_span', x.text_span))"))
+    rows = nested.select("doc_id", F.posexplode(F.expr(S.unique_intents("b"))).alias("i", "b"))
+    return rows.select("doc_id", F.col("i").cast("long").alias("i"), "b.intent")
+
+
+QUERIES["intent_dedup"] = intent_dedup
+SQL["intent_dedup"] = f"""WITH {LINES_SQL}, {BULLET_SQL},
+named AS (SELECT doc_id, i - 1 AS i, CASE WHEN {_STRIP("lower(substring(text_span, 1, 2))")} = '' THEN 'Stage ' || i ELSE {_STRIP("lower(substring(text_span, 1, 2))")} END AS intent FROM paras),
+k AS (SELECT *, row_number() OVER (PARTITION BY doc_id, intent ORDER BY i) AS k FROM named)
+SELECT doc_id, i::BIGINT AS i, CASE WHEN k = 1 THEN intent ELSE intent || ' (' || k || ')' END AS intent FROM k"""

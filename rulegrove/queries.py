@@ -354,3 +354,73 @@ SQL["intent_dedup"] = f"""WITH {LINES_SQL}, {BULLET_SQL},
 named AS (SELECT doc_id, i - 1 AS i, CASE WHEN {_STRIP("lower(substring(text_span, 1, 2))")} = '' THEN 'Stage ' || i ELSE {_STRIP("lower(substring(text_span, 1, 2))")} END AS intent FROM paras),
 k AS (SELECT *, row_number() OVER (PARTITION BY doc_id, intent ORDER BY i) AS k FROM named)
 SELECT doc_id, i::BIGINT AS i, CASE WHEN k = 1 THEN intent ELSE intent || ' (' || k || ')' END AS intent FROM k"""
+
+# ---- mining --------------------------------------------------------------------------------------
+
+from rulegrove.operators import mining as M  # noqa: E402
+
+
+def _names(d: dict[str, str]) -> str:
+    return ", ".join(f"{v} AS {k}" for k, v in d.items())
+
+
+KEYWORDS_SQL = f"""
+tokens AS (SELECT doc_id, generate_subscripts(ws, 1) AS place, unnest(ws) AS raw FROM (SELECT doc_id, {DUCK.all('lower(text)', X.TOKEN_MINED)} AS ws FROM t)),
+cleaned AS (SELECT doc_id, place, trim(trim(raw, ''''), '-') AS w FROM tokens),
+counted AS (SELECT doc_id, w, count(*) AS n, min(place) AS place FROM cleaned WHERE length(w) > 3 AND w NOT IN ({', '.join(f"'{w}'" for w in X.STOPWORDS)}) GROUP BY doc_id, w),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, place) AS r FROM counted),
+keywords AS (SELECT doc_id, list(w ORDER BY r) AS kws FROM ranked WHERE r <= {M.KEYWORDS} GROUP BY doc_id)"""
+GLOBAL_SQL = f"""WITH t AS (SELECT doc_id, text FROM {TEXTS_SQL} x), {KEYWORDS_SQL},
+facts AS (SELECT doc_id, {_names(M.features(DUCK))} FROM t),
+limits AS (SELECT *, {_names(M.bounds(DUCK))} FROM facts),
+joined AS (SELECT l.*, coalesce(k.kws, []) AS kws FROM limits l LEFT JOIN keywords k USING (doc_id)),
+candidates AS (SELECT doc_id, unnest({M.global_candidates(DUCK)}, recursive := true) FROM joined)"""
+
+
+def global_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.mine_global(texts(spark, sf_dir), "doc_id")
+
+
+QUERIES["top_keywords"] = lambda spark, d: M.top_keywords(texts(spark, d), "doc_id").select("doc_id", F.array_join("kws", ",").alias("keywords"))
+SQL["top_keywords"] = f"WITH t AS (SELECT doc_id, text FROM {TEXTS_SQL} x), {KEYWORDS_SQL} SELECT doc_id, array_to_string(kws, ',') AS keywords FROM keywords"
+QUERIES["mine_global_candidates"] = global_rules
+SQL["mine_global_candidates"] = f'{GLOBAL_SQL} SELECT doc_id, pos, "check", args, descr FROM candidates'
+QUERIES["mine_global_rules"] = lambda spark, d: M.sample_global(global_rules(spark, d), "doc_id")
+SQL["mine_global_rules"] = f"""{GLOBAL_SQL},
+drawn AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY md5('{M.SEED}:' || doc_id || ':hard:' || "check")) AS r,
+  {M.SAMPLE[0]} + floor({DUCK.uniform(f"'{M.SEED}:' || doc_id || ':size'")} * {M.SAMPLE[1] - M.SAMPLE[0] + 1}) AS target FROM candidates)
+SELECT doc_id, 'G' || r AS cid, "check", args, descr FROM drawn WHERE r <= target"""
+per_text("dominant_decimal_places", places=lambda d, t: M.mode_of(d, M._lengths(d, t), 3, 0.6), block_places=lambda d, t: M.mode_of(d, M._lengths(d, t), 2, None))
+
+BLOCK_SQL = f"""WITH {LINES_SQL}, {BULLET_SQL},
+facts AS (SELECT doc_id, 'B' || i AS block_id, {_names(M.block_features(DUCK))} FROM paras),
+candidates AS (SELECT doc_id, block_id, unnest({M.block_candidates(DUCK)}, recursive := true) FROM facts)"""
+
+
+def block_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.mine_blocks(S.segment(texts(spark, sf_dir), "doc_id", "paragraph"), "doc_id")
+
+
+_TAG = lambda what: DUCK.uniform(f"'{M.SEED}:' || doc_id || ':' || block_id || ':{what}'")
+QUERIES["mine_block_candidates"] = block_rules
+SQL["mine_block_candidates"] = f'{BLOCK_SQL} SELECT doc_id, block_id, pos, "check", args, descr FROM candidates'
+QUERIES["mine_block_rules"] = lambda spark, d: M.sample_blocks(block_rules(spark, d), "doc_id")
+SAMPLED_BLOCK_SQL = f"""{BLOCK_SQL},
+sided AS (SELECT *, "check" IN ({', '.join(f"'{c}'" for c in M.HARD_BLOCK)}) AS hard FROM candidates),
+ranked AS (SELECT *, count(*) FILTER (WHERE hard) OVER u AS n_hard, count(*) FILTER (WHERE NOT hard) OVER u AS n_soft,
+  row_number() OVER (PARTITION BY doc_id, block_id, hard ORDER BY md5('{M.SEED}:' || doc_id || ':' || block_id || ':' || pos)) AS r FROM sided WINDOW u AS (PARTITION BY doc_id, block_id)),
+totals AS (SELECT *, 1 + floor({_TAG('total')} * least({M.MOST_PER_BLOCK}, n_hard + n_soft)) AS total FROM ranked),
+picks AS (SELECT *, floor({_TAG('hard')} * (least(n_hard, total) + 1)) AS pick FROM totals),
+kept AS (SELECT *, CASE WHEN NOT hard THEN 1 WHEN r <= pick THEN 0 ELSE 2 END AS phase FROM picks
+  WHERE (hard AND r <= pick + greatest(0, total - pick - n_soft)) OR (NOT hard AND r <= total - pick)),
+rules AS (SELECT doc_id, block_id, block_id || '_C' || row_number() OVER (PARTITION BY doc_id, block_id ORDER BY phase, r) AS cid, "check", args, descr FROM kept)"""
+SQL["mine_block_rules"] = f'{SAMPLED_BLOCK_SQL} SELECT doc_id, block_id, cid, "check", args, descr FROM rules'
+
+
+def evidence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = table(spark, sf_dir, "documents").select(F.col("doc_id"), F.expr("n_chars % 200 + 1").alias("n"))
+    return n.select("doc_id", "n", *[F.expr(v).alias(k) for k, v in M.evidence_bounds(SPARK).items()])
+
+
+QUERIES["mine_evidence_rules"] = evidence_rules
+SQL["mine_evidence_rules"] = f"SELECT doc_id, n, {_names(M.evidence_bounds(DUCK))} FROM (SELECT doc_id, n_chars % 200 + 1 AS n FROM documents)"

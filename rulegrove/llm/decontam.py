@@ -16,6 +16,7 @@ Texts and items are lower-cased. Items are handled in rounds of at most ITEMS, s
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from rulegrove.llm.common import table
 
 BLOCK = 16
 TERMS = 1 << 13
-RANK = 64
+RANK = 32
 EXTRA = 8
 SCALES = (1, 2, 4)
 CANDIDATE = 0.45
@@ -34,6 +35,7 @@ CANDIDATE = 0.45
 VERBATIM = 0.6
 PARAPHRASE = 0.5
 ANSWER_WORDS = 8
+PREFIX = 0.75
 ANSWER = 0.75
 #: Items longer than this are searched by pieces.
 ITEM_PIECE = 48
@@ -110,6 +112,15 @@ def blocks_of(owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, owner[starts]
 
 
+def block_sums(table_: np.ndarray, col: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sum of the table's rows over each block of words."""
+    size = np.diff(np.r_[starts, len(col)])
+    at = starts[:, None] + np.arange(BLOCK)
+    inside = np.arange(BLOCK) < size[:, None]
+    rows = np.where(inside, col[np.minimum(at, len(col) - 1)], TERMS)
+    return np.concatenate([table_, np.zeros((1, table_.shape[1]), table_.dtype)])[rows].sum(axis=1)
+
+
 def _test_matrix() -> np.ndarray:
     return np.random.default_rng(17).normal(size=(TERMS, RANK + EXTRA)).astype(np.float32)
 
@@ -139,17 +150,16 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             h, owner = words_of(texts)
             col = columns_of(h)
             starts, _ = blocks_of(owner)
-            for a in range(0, len(starts), 6000):
+            for a in range(0, len(starts), 4000):
                 lo = starts[a]
-                hi = starts[a + 6000] if a + 6000 < len(starts) else len(col)
-                w, begin = col[lo:hi], starts[a : a + 6000] - lo
+                hi = starts[a + 4000] if a + 4000 < len(starts) else len(col)
+                w, begin = col[lo:hi].astype(np.int64), starts[a : a + 4000] - lo
+                x = block_sums(omega, w, begin)
                 block = np.repeat(np.arange(len(begin)), np.diff(np.r_[begin, len(w)]))
-                x = np.add.reduceat(omega[w], begin, axis=0)
-                order = np.argsort(w, kind="stable")
-                ws = w[order]
-                heads = np.flatnonzero(np.r_[True, ws[1:] != ws[:-1]])
-                total[ws[heads]] += np.add.reduceat(x[block[order]], heads, axis=0)
-                pairs = np.unique(block * TERMS + w)
+                for j, values in enumerate(x.T):
+                    total[:, j] += np.bincount(w, weights=values[block], minlength=TERMS)
+                pairs = np.sort(block * TERMS + w)
+                pairs = pairs[np.r_[True, pairs[1:] != pairs[:-1]]]
                 df += np.bincount(pairs % TERMS, minlength=TERMS)
                 n += len(begin)
     rows = np.concatenate([total, df[:, None]], axis=1).astype(np.float32).reshape(PIECES, -1)
@@ -166,8 +176,8 @@ def _added(key, rows):
     return pa.table({"piece": pa.array([key[0].as_py()], pa.int32()), "sums": pa.array([total.astype(np.float32).tobytes()], pa.binary()), "n": pa.array([n], pa.int64())})
 
 
-def latent_space(docs: DataFrame, text: str = "text") -> np.ndarray | None:
-    """Term weights (TERMS x at most RANK): a passage's sum of its words' rows is its whitened place."""
+def latent_space(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, np.ndarray] | None:
+    """(term weights, TERMS x at most RANK, and term frequencies). A passage's sum of weights is its whitened place."""
     sums = docs.select(F.lower(F.col(text)).cast("binary").alias("_t")).mapInArrow(_sketch, "piece int, sums binary, n long")
     some = sums.withColumn("salt", F.spark_partition_id() % 256).groupBy("piece", "salt").applyInArrow(_added, "piece int, sums binary, n long")
     rows = some.groupBy("piece").applyInArrow(_added, "piece int, sums binary, n long").collect()  # PIECES rows
@@ -185,7 +195,7 @@ def latent_space(docs: DataFrame, text: str = "text") -> np.ndarray | None:
     factor = (idf[:, None] * y0) @ (vectors[:, fine] / np.sqrt(values[fine]))
     u, s, _ = np.linalg.svd(factor, full_matrices=False)
     keep = s[:RANK] > 1e-4 * s[0]
-    return (idf[:, None] * u[:, :RANK][:, keep] / s[:RANK][keep]).astype(np.float32)
+    return (idf[:, None] * u[:, :RANK][:, keep] / s[:RANK][keep]).astype(np.float32), df
 
 
 class Item:
@@ -194,6 +204,7 @@ class Item:
     def __init__(self, ids: list[int], words: list[int]):
         self.ids, self.n = ids, len(words)
         self.masks = masks_of(words)
+        self.span = self.n + self.n // 2 + 1
         answer = words[-ANSWER_WORDS:]
         self.answer, self.answer_n = masks_of(answer), len(answer)
 
@@ -219,65 +230,109 @@ def common(masks: dict[int, int], n: int, words: list[int]) -> int:
 
 def verified(item: Item, words: list[int], lo: int, hi: int) -> float:
     """Best share of the item found in order in a stretch of words that meets [lo, hi); 0 if no match."""
-    span = item.n + item.n // 2 + 1
-    step = max(1, item.n // 4)
+    begin = max(0, lo - item.n)
+    near = words[begin : hi + item.span]
+    held = [0, *accumulate(map(item.masks.__contains__, near))]
     best = 0.0
-    for at in range(max(0, lo - item.n), max(1, hi), step):
-        part = words[at : at + span]
-        if sum(w in item.masks for w in part) < PARAPHRASE * item.n:
+    for at in range(0, max(1, hi - begin), max(1, item.n // 4)):
+        if held[min(at + item.span, len(near))] - held[min(at, len(near))] < PARAPHRASE * item.n:
             continue
+        part = near[at : at + item.span]
         share = common(item.masks, item.n, part) / item.n
         if share >= VERBATIM or share >= PARAPHRASE and common(item.answer, item.answer_n, part) >= ANSWER * item.answer_n:
             best = max(best, share)
     return best
 
 
-def prepared(rows: list[tuple[list[int], str]], space: np.ndarray):
-    """(items, unit vectors of their pieces, item of each piece)."""
-    items, vectors, of = [], [], []
-    for ids, text in rows:
-        h, _ = words_of([(text or "").encode()])
-        if not len(h):
-            continue
-        pieces = max(1, -(-len(h) // ITEM_PIECE))
-        for part in np.array_split(columns_of(h), pieces):
-            v = space[part].sum(axis=0)
-            vectors.append(v / max(float(np.linalg.norm(v)), 1e-12))
-            of.append(len(items))
-        items.append(Item(ids, h.tolist()))
-    return items, np.array(vectors, np.float32).reshape(len(of), space.shape[1]), np.array(of, np.int64)
+class Benchmark:
+    """Items, unit vectors of their pieces, and the words that a match cannot do without.
+
+    A match has at least the share PARAPHRASE of an item's n words within `span` words. Of the
+    item's rarest PREFIX n words it then has at least `least` (the others can make up for the rest),
+    so texts without as many of them so close together are left out before anything is compared.
+    """
+
+    def __init__(self, rows: list[tuple[list[int], str]], space: np.ndarray, df: np.ndarray):
+        self.space, self.items = space, []
+        vectors, of, keys, owner, least, span = [], [], [], [], [], []
+        for ids, text in rows:
+            h, _ = words_of([(text or "").encode()])
+            if not len(h):
+                continue
+            for part in np.array_split(columns_of(h), max(1, -(-len(h) // ITEM_PIECE))):
+                v = space[part].sum(axis=0)
+                vectors.append(v / max(float(np.linalg.norm(v)), 1e-12))
+                of.append(len(self.items))
+            n = len(h)
+            rarest = h[np.argsort(df[columns_of(h)], kind="stable")]
+            size = max(int(np.ceil(PREFIX * n)), n - int(np.ceil(PARAPHRASE * n)) + 1)
+            own = np.unique(rarest[:size])
+            keys.append(own)
+            owner.append(np.full(len(own), len(self.items)))
+            least.append(int(np.ceil(PARAPHRASE * n)) - (n - size))
+            self.items.append(Item(ids, h.tolist()))
+            span.append(self.items[-1].span)
+        self.vectors = np.array(vectors, np.float32).reshape(len(of), space.shape[1])
+        self.of, self.least, self.span = np.array(of, np.int64), np.array(least, np.int64), np.array(span, np.int64)
+        key = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+        who = np.concatenate(owner) if owner else np.zeros(0, np.int64)
+        order = np.argsort(key, kind="stable")
+        self.key, self.owner = key[order], who[order]
+        self.seen = np.zeros(1 << 20, bool)
+        self.seen[(self.key >> np.uint64(44)).astype(np.int64)] = True
+
+    def holders(self, h: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keys text * items + item, sorted, and places where enough of an item's words begin close together."""
+        at = np.flatnonzero(self.seen[(h >> np.uint64(44)).astype(np.int64)])
+        lo, hi = np.searchsorted(self.key, h[at], side="left"), np.searchsorted(self.key, h[at], side="right")
+        n = hi - lo
+        item = self.owner[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
+        place = np.repeat(at, n)
+        key = text[place] * len(self.items) + item
+        order = np.argsort(key, kind="stable")  # places stay in order
+        key, place, item = key[order], place[order], item[order]
+        last = np.arange(len(key)) + self.least[item] - 1
+        fine = last < len(key)
+        last = np.minimum(last, len(key) - 1)
+        fine &= (key[last] == key) & (place[last] - place < self.span[item])
+        return key[fine], place[fine]
 
 
 MATCHES = "array<struct<item_id:long,share:double,cosine:double>>"
 _MATCH = pa.list_(pa.struct([("item_id", pa.int64()), ("share", pa.float64()), ("cosine", pa.float64())]))
 
 
-def search(texts: list[bytes], space: np.ndarray, items: list[Item], vectors: np.ndarray, of: np.ndarray) -> list[list[dict]]:
+def search(texts: list[bytes], bench: Benchmark) -> list[list[dict]]:
     """Matches of each text."""
     found: dict[tuple[int, int], list] = {}
+    items, of = bench.items, bench.of
     h, owner = words_of(texts)
-    starts, text_of = blocks_of(owner)
-    if len(starts) and len(of):
-        place = np.empty((len(starts), space.shape[1]), np.float32)
-        col = columns_of(h)
-        for a in range(0, len(starts), 6000):
-            lo = starts[a]
-            hi = starts[a + 6000] if a + 6000 < len(starts) else len(col)
-            place[a : a + 6000] = np.add.reduceat(space[col[lo:hi]], starts[a : a + 6000] - lo, axis=0)
+    keys, places = bench.holders(h, owner)
+    if len(keys):
+        mine = np.isin(owner, np.unique(keys // len(items)))
+        places = (np.cumsum(mine) - 1)[places]
+        spots = keys << 32 | places
+        h, owner = h[mine], owner[mine]
+        starts, text_of = blocks_of(owner)
+        col = columns_of(h).astype(np.int64)
+        place = np.concatenate([block_sums(bench.space, col[starts[a] : starts[a + 4000] if a + 4000 < len(starts) else len(col)], starts[a : a + 4000] - starts[a]) for a in range(0, len(starts), 4000)])
         for scale in SCALES:
             if scale == 1:
                 sums, at = place, np.arange(len(starts))
             else:
                 at = np.flatnonzero(text_of[scale - 1 :] == text_of[: len(text_of) - scale + 1]) if len(text_of) >= scale else np.zeros(0, np.int64)
                 sums = sum(place[at + i] for i in range(scale)) if len(at) else place[:0]
-            norms = np.sqrt(np.einsum("ij,ij->i", sums, sums))
+            norms = np.maximum(np.sqrt(np.einsum("ij,ij->i", sums, sums)), 1e-12)
             for b in range(0, len(at), 4096):
-                cos = sums[b : b + 4096] @ vectors.T
-                r, c = np.nonzero(cos >= CANDIDATE * np.maximum(norms[b : b + 4096], 1e-12)[:, None])
-                for i, j in zip(r.tolist(), c.tolist()):
+                cos = (sums[b : b + 4096] @ bench.vectors.T) / norms[b : b + 4096, None]
+                r, c = np.nonzero(cos >= CANDIDATE)
+                key = (text_of[at[b + r]] * len(items) + of[c]) << 32
+                begin, span = starts[at[b + r]], bench.span[of[c]]
+                where = np.minimum(np.searchsorted(spots, key | np.maximum(0, begin - span)), len(spots) - 1)
+                hit = (spots[where] >= key | np.maximum(0, begin - span)) & (spots[where] <= (key | (begin + scale * BLOCK + span)))
+                for i, j in zip(r[hit].tolist(), c[hit].tolist()):
                     k = int(at[b + i])
-                    best = found.setdefault((int(text_of[k]), int(of[j])), [])
-                    best.append((k, scale, float(cos[i, j] / norms[b + i])))
+                    found.setdefault((int(text_of[k]), int(of[j])), []).append((k, scale, float(cos[i, j])))
     out: list[list[dict]] = [[] for _ in texts]
     if not found:
         return out
@@ -310,14 +365,14 @@ def matched(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str
     """
     kept = [c for c in docs.columns if c != "matches"]
     out = docs.select(*kept)
-    space = latent_space(docs, text)
+    fitted = latent_space(docs, text)
     once = benchmark.filter(F.col(item_text).isNotNull()).groupBy(F.lower(F.col(item_text)).alias("t")).agg(F.sort_array(F.collect_list(F.col(item).cast("long"))).alias("ids"))
     n = once.count()
-    rounds = -(-n // ITEMS) if space is not None else 0
+    rounds = -(-n // ITEMS) if fitted is not None else 0
     steps = []
     for k in range(rounds):
         part = once.filter(F.pmod(F.xxhash64("t"), F.lit(rounds)) == k)
-        steps.append(docs.sparkSession.sparkContext.broadcast((space, *prepared([(r.ids, r.t) for r in part.orderBy("t").collect()], space))))
+        steps.append(docs.sparkSession.sparkContext.broadcast(Benchmark([(r.ids, r.t) for r in part.orderBy("t").collect()], *fitted)))
     if not steps:
         return out.withColumn("matches", F.expr(f"CAST(array() AS {MATCHES})"))
     at = len(kept)
@@ -327,7 +382,7 @@ def matched(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str
             for start, texts in _batches(b.column(at)):
                 hits: list[list[dict]] = [[] for _ in texts]
                 for step in steps:
-                    hits = [x + y for x, y in zip(hits, search(texts, *step.value))]
+                    hits = [x + y for x, y in zip(hits, search(texts, step.value))]
                 own = [b.column(i).slice(start, len(texts)) for i in range(at)]
                 yield pa.RecordBatch.from_arrays([*own, pa.array(hits, _MATCH)], names=[*kept, "matches"])
 

@@ -424,3 +424,94 @@ def evidence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["mine_evidence_rules"] = evidence_rules
 SQL["mine_evidence_rules"] = f"SELECT doc_id, n, {_names(M.evidence_bounds(DUCK))} FROM (SELECT doc_id, n_chars % 200 + 1 AS n FROM documents)"
+
+# ---- variants ------------------------------------------------------------------------------------
+
+from rulegrove.operators import augment as A  # noqa: E402
+
+
+def document_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mined rules of every text: sampled global ones and sampled block ones."""
+    one = M.sample_global(global_rules(spark, sf_dir), "doc_id").select("doc_id", F.lit(None).cast("string").alias("owner"), "cid", "check", "args", "descr")
+    two = M.sample_blocks(block_rules(spark, sf_dir), "doc_id").select("doc_id", F.col("block_id").alias("owner"), "cid", "check", "args", "descr")
+    return one.unionByName(two).withColumnRenamed("doc_id", "sample_id").withColumn("priority_level", F.lit(2))
+
+
+RULES_SQL = f"""WITH global_part AS ({SQL['mine_global_rules']}), block_part AS ({SQL['mine_block_rules']}),
+all_rules AS (SELECT doc_id AS sample_id, NULL AS owner, cid, "check", args, descr FROM global_part UNION ALL SELECT doc_id, block_id, cid, "check", args, descr FROM block_part)"""
+_KEY = lambda *p: "md5('" + str(A.SEED) + ":' || " + " || ':' || ".join(p) + ")"
+_U = lambda *p: DUCK.uniform("'" + str(A.SEED) + ":' || " + " || ':' || ".join(p))
+
+QUERIES["priority_injection"] = lambda spark, d: A.inject_priorities(document_rules(spark, d)).select("sample_id", "owner", "cid", "priority_level")
+SQL["priority_injection"] = f"""{RULES_SQL},
+blocks AS (SELECT *, count(*) OVER (PARTITION BY sample_id) AS n, row_number() OVER (PARTITION BY sample_id ORDER BY {_KEY('sample_id', "'block'", 'owner')}) AS r
+  FROM (SELECT DISTINCT sample_id, owner FROM all_rules WHERE owner IS NOT NULL)),
+picked AS (SELECT sample_id, owner FROM blocks WHERE r <= least(n, 1 + floor({_U('sample_id', "'blocks'")} * 2))),
+chosen AS (SELECT sample_id, cid FROM (SELECT *, row_number() OVER (PARTITION BY sample_id, owner ORDER BY {_KEY('sample_id', "'rule'", 'cid')}) AS r
+  FROM all_rules WHERE (sample_id, owner) IN (SELECT (sample_id, owner) FROM picked)) WHERE r = 1)
+SELECT sample_id, owner, cid, CASE WHEN (sample_id, cid) IN (SELECT (sample_id, cid) FROM chosen) THEN 1 ELSE 2 END AS priority_level FROM all_rules"""
+QUERIES["m1_turns"] = lambda spark, d: A.m1_turns(document_rules(spark, d)).select("sample_id", "cid", "activation", "turn")
+SQL["m1_turns"] = f"""{RULES_SQL},
+marked AS (SELECT *, count(*) OVER (PARTITION BY sample_id, owner) AS n, row_number() OVER (PARTITION BY sample_id, owner ORDER BY {_KEY('sample_id', "'m1'", 'cid')}) AS r FROM all_rules),
+two AS (SELECT sample_id, owner, 2 + (row_number() OVER (PARTITION BY sample_id ORDER BY owner) - 1) % 2 AS t FROM marked WHERE owner IS NOT NULL AND n = 2 AND r = 1),
+cut AS (SELECT m.*, t, greatest(1, round_even(n * 0.4, 0)) AS c1, greatest(1, round_even(n * 0.3, 0)) AS c2 FROM marked m LEFT JOIN two USING (sample_id, owner)),
+active AS (SELECT sample_id, cid, (CASE WHEN owner IS NULL THEN CASE WHEN n <= 2 THEN r WHEN r <= c1 THEN 1 WHEN r <= c1 + c2 THEN 2 ELSE 3 END
+  ELSE CASE WHEN r = 1 THEN 1 WHEN n = 2 THEN t WHEN r <= 3 THEN r ELSE 2 + r % 2 END END)::INT AS activation FROM cut),
+fine AS (SELECT sample_id FROM active GROUP BY sample_id HAVING count(DISTINCT activation) = 3)
+SELECT sample_id, cid, activation, turn::INT AS turn FROM active JOIN range(1, 4) t(turn) ON turn >= activation WHERE sample_id IN (SELECT sample_id FROM fine)"""
+QUERIES["m2_turns"] = lambda spark, d: A.m2_turns(document_rules(spark, d)).select("sample_id", "turn", "cid", "check", "args", "priority_level", "restored")
+_BASE2 = "coalesce(" + ", ".join(f"try_cast(json_extract_string(args, '$.{n}') AS BIGINT)" for n in ("min_items", "min_paras", "min_words", "n", "places")) + ")"
+_NAME2 = "CASE " + " ".join(f"WHEN json_extract_string(args, '$.{n}') IS NOT NULL THEN '{n}'" for n in ("min_items", "min_paras", "min_words", "n", "places")) + " END"
+SQL["m2_turns"] = f"""{RULES_SQL},
+based AS (SELECT *, {_BASE2} AS base, {_NAME2} AS name, {_U('sample_id', "'m2'", 'cid')} AS u FROM all_rules),
+valued AS (SELECT *, {A.mutated_value('"check"', 'base', 'u')} AS new FROM based),
+picked AS (SELECT *, owner IS NOT NULL AND new IS NOT NULL AS able, row_number() OVER (PARTITION BY sample_id ORDER BY NOT (owner IS NOT NULL AND new IS NOT NULL), "check" = 'min_word_count', {_KEY('sample_id', "'m2pick'", 'cid')}) AS r FROM valued),
+hits AS (SELECT *, r = 1 AND able AS hit, bool_or(r = 1 AND able) OVER (PARTITION BY sample_id) AS any_hit FROM picked)
+SELECT sample_id, turn::INT AS turn, CASE WHEN hit AND turn = 1 THEN cid || '__m2_alt' ELSE cid END AS cid, "check",
+  CASE WHEN hit AND turn = 1 THEN '{{"' || name || '": ' || new || '}}' ELSE args END AS args, CASE WHEN hit AND turn = 1 THEN 1 ELSE 2 END AS priority_level, hit AND turn = 2 AS restored
+FROM hits, range(1, 3) t(turn) WHERE any_hit"""
+QUERIES["curriculum"] = lambda spark, d: A.curriculum(document_rules(spark, d), least=6, floor=1).select("sample_id", "level", "cid")
+
+
+def conversation_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.turn_changes(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", A.fingerprint("text")).select("conv_id", "turn", "role", "change_type")
+
+
+QUERIES["turn_changes"] = conversation_turns
+SQL["turn_changes"] = """SELECT conv_id, turn, role, CASE WHEN turn = min(turn) OVER (PARTITION BY conv_id) THEN 'add' WHEN lag(turn) OVER w IS DISTINCT FROM turn - 1 THEN 'add'
+WHEN trim(coalesce(lag(text) OVER w, '')) <> trim(coalesce(text, '')) THEN 'modify' ELSE 'unchanged' END AS change_type FROM conversations WINDOW w AS (PARTITION BY conv_id, role ORDER BY turn)"""
+
+
+def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(instruction, answer): a user turn and the assistant turn after it."""
+    c = table(spark, sf_dir, "conversations")
+    ask = c.filter("role = 'user'").select("conv_id", "turn", F.col("text").alias("instruction"))
+    reply = c.filter("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
+    return ask.join(reply, ["conv_id", "turn"])
+
+
+QUERIES["conversation_pairs"] = conversation_pairs
+SQL["conversation_pairs"] = "SELECT u.conv_id, u.turn, u.text AS instruction, a.text AS answer FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 WHERE u.role = 'user' AND a.role = 'assistant'"
+
+
+def planned(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    blocks = S.segment(texts(spark, sf_dir), "doc_id", "paragraph").select(F.col("doc_id").alias("sample_id"), "block_id", "order_index")
+    return A.plan_selections(blocks), blocks
+
+
+PLAN_SQL = f"""WITH {LINES_SQL}, {BULLET_SQL},
+blocks AS (SELECT doc_id AS sample_id, 'B' || i AS block_id, i - 1 AS o FROM paras),
+ranked AS (SELECT *, count(*) OVER (PARTITION BY sample_id) AS n, lead(block_id) OVER (PARTITION BY sample_id ORDER BY o, block_id) AS nxt,
+  row_number() OVER (PARTITION BY sample_id ORDER BY {_KEY('sample_id', "'select'", 'block_id')}) AS r FROM blocks),
+wide AS (SELECT *, floor({_U('sample_id', "'wide'")} * (least(1, n - 1) + 1)) AS w FROM ranked),
+plan AS (SELECT sample_id, block_id, o, CASE WHEN r <= w THEN 'global' ELSE 'local' END AS selection_type, CASE WHEN r > w THEN nxt END AS merge_point FROM wide
+  WHERE r <= w + least(1 + floor({_U('sample_id', "'near'")} * least(3, n - w)), n - w))"""
+QUERIES["plan_selections"] = lambda spark, d: planned(spark, d)[0].drop("order_index")
+SQL["plan_selections"] = f"{PLAN_SQL} SELECT sample_id, block_id, selection_type, merge_point FROM plan"
+QUERIES["branch_rules"] = lambda spark, d: A.branch_rules(*planned(spark, d)).select("sample_id", "owner", "origin_block", "cid", "check")
+_FIRST = " UNION ALL ".join(f"SELECT '{k}' AS kind, {i + 1} AS k, '{c}' AS c" for k, (_, rs) in A.FALLBACK.items() for i, (c, _, _) in enumerate(rs))
+_NEXT = " UNION ALL ".join(f"SELECT {j + 1} AS e, {i + 1} AS k, '{c}' AS c" for j, rs in enumerate(A.FOLLOW) for i, (c, _, _) in enumerate(rs))
+SQL["branch_rules"] = f"""{PLAN_SQL}, firsts AS ({_FIRST}), nexts AS ({_NEXT}),
+tail AS (SELECT p.sample_id, p.block_id, b.block_id AS origin, row_number() OVER (PARTITION BY p.sample_id, p.block_id ORDER BY b.o, b.block_id) AS s FROM plan p JOIN blocks b ON b.sample_id = p.sample_id AND b.o > p.o WHERE selection_type = 'global')
+SELECT sample_id, block_id || '_ALT' AS owner, block_id AS origin_block, block_id || '_ALT_C' || k AS cid, c AS "check" FROM plan JOIN firsts ON kind = selection_type
+UNION ALL SELECT sample_id, block_id || '_ALT_NEXT' || s, origin, block_id || '_ALT_NEXT' || s || '_C' || k, c FROM tail JOIN nexts ON e = least(s, {len(A.FOLLOW)})"""

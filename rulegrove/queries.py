@@ -515,3 +515,132 @@ SQL["branch_rules"] = f"""{PLAN_SQL}, firsts AS ({_FIRST}), nexts AS ({_NEXT}),
 tail AS (SELECT p.sample_id, p.block_id, b.block_id AS origin, row_number() OVER (PARTITION BY p.sample_id, p.block_id ORDER BY b.o, b.block_id) AS s FROM plan p JOIN blocks b ON b.sample_id = p.sample_id AND b.o > p.o WHERE selection_type = 'global')
 SELECT sample_id, block_id || '_ALT' AS owner, block_id AS origin_block, block_id || '_ALT_C' || k AS cid, c AS "check" FROM plan JOIN firsts ON kind = selection_type
 UNION ALL SELECT sample_id, block_id || '_ALT_NEXT' || s, origin, block_id || '_ALT_NEXT' || s || '_C' || k, c FROM tail JOIN nexts ON e = least(s, {len(A.FOLLOW)})"""
+
+# ---- evidence, models, resume --------------------------------------------------------------------
+
+from rulegrove.operators import evidence as E  # noqa: E402
+from rulegrove.operators import provider as P  # noqa: E402
+from rulegrove.plans import render as R  # noqa: E402
+from rulegrove.sources import files as FS  # noqa: E402
+
+#: Rows (corpus, section, paragraph, ref, title) and (corpus, ref, title, count) of two small surveys.
+CITES = [("s1", 0, 0, "b1", "One"), ("s1", 0, 0, "b1", "One"), ("s1", 0, 1, "b2", ""), ("s1", 1, 0, "b1", "Uno"), ("s1", 1, 0, "b9", "Nine"), ("s2", 0, 0, "b2", "Two")]
+REFS = [("s1", "b1", "First", 10), ("s1", "b2", "Second", 30), ("s1", "b3", "Third", 30), ("s2", "b2", "", None), ("s2", "b5", "Five", 1)]
+
+
+def surveys(spark: SparkSession) -> DataFrame:
+    from collections import defaultdict
+
+    rows = []
+    for c in ("s1", "s2"):
+        parts: dict = defaultdict(lambda: defaultdict(list))
+        for _, s, p, r, t in (x for x in CITES if x[0] == c):
+            parts[s][p].append((r, t))
+        sections = [(s, f"Section {s}", [(f"Text {s}.{p}.", parts[s][p]) for p in sorted(parts[s])]) for s in sorted(parts)]
+        none = (None,) * 12
+        refs = [(r, t, None, None, (*none[:9], None if n is None else str(n), None, None)) for k, r, t, n in REFS if k == c]
+        rows.append((c, (f"Title {c} words", ["kw"] if c == "s1" else None, None, ["Field", "kw"] if c == "s1" else None, None, None), sections, refs))
+    return spark.createDataFrame(rows, E.SURVEY)
+
+
+_CITES_SQL = "(VALUES " + ", ".join(str(x) for x in CITES) + ") c(corpusId, section, para, ref_id, title)"
+_REFS_SQL = "(VALUES " + ", ".join(str(x).replace("None", "NULL") for x in REFS) + ") r(corpusId, ref_id, title, n)"
+QUERIES["evidence_usage"] = lambda spark, d: E.evidence(surveys(spark)).select("corpusId", "ref_id", "title", "citationCount", F.col("citation_count_in_survey").cast("long").alias("n"), F.array_join("cited_in_sections", ",").alias("sections"))
+SQL["evidence_usage"] = f"""WITH once AS (SELECT corpusId, section, para, ref_id, max(title) AS title FROM {_CITES_SQL} GROUP BY ALL),
+used AS (SELECT corpusId, ref_id, count(*) AS n, string_agg(DISTINCT section::VARCHAR, ',' ORDER BY section::VARCHAR) AS sections, min(nullif(title, '')) AS title FROM once GROUP BY ALL)
+SELECT corpusId, ref_id, coalesce(nullif(r.title, ''), u.title, '') AS title, coalesce(r.n, 0)::INT AS citationCount, coalesce(u.n, 0) AS n, coalesce(sections, '') AS sections
+FROM {_REFS_SQL} FULL JOIN used u USING (corpusId, ref_id)"""
+QUERIES["high_impact_topk"] = lambda spark, d: E.high_impact(E.evidence(surveys(spark), cited_only_too=False), k=2).select("corpusId", "ref_id", "rank")
+SQL["high_impact_topk"] = f"SELECT corpusId, ref_id, rank::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY corpusId ORDER BY coalesce(n, 0) DESC, ref_id DESC) AS rank FROM {_REFS_SQL}) WHERE rank <= 2"
+QUERIES["survey_answers"] = lambda spark, d: E.answers(surveys(spark))
+
+
+def benchmark_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twelve longest benchmark items of each of ten groups: the same top-k on a real table."""
+    refs = table(spark, sf_dir, "benchmark").select((F.col("item_id") % 10).alias("corpusId"), F.col("item_id").cast("string").alias("ref_id"), F.length("text").alias("citationCount"))
+    return E.high_impact(refs).select("corpusId", "ref_id", "citationCount", "rank")
+
+
+QUERIES["benchmark_topk"] = benchmark_impact
+SQL["benchmark_topk"] = "SELECT * FROM (SELECT item_id % 10 AS corpusId, item_id::VARCHAR AS ref_id, length(text)::INT AS citationCount, row_number() OVER (PARTITION BY item_id % 10 ORDER BY length(text) DESC, item_id::VARCHAR DESC)::INT AS rank FROM benchmark) WHERE rank <= 12"
+
+per_text("validate_rewrite", half=lambda d, t: P.rewrite_reason(d, t, d.prefix(t, 200)), other=lambda d, t: P.rewrite_reason(d, t, "concat(substring(text, 1, 20), ' the of and the rest of it all')"))
+
+
+def llm_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events read as calls: a purchase failed, a view is no call, anything else succeeded."""
+    success = F.when(F.col("event_type") == "view", None).otherwise(F.col("event_type") != "purchase")
+    return P.status(table(spark, sf_dir, "events").select("user_id", success.alias("success")), "user_id")
+
+
+QUERIES["llm_status_rollup"] = llm_status
+SQL["llm_status_rollup"] = """SELECT user_id, count(s) AS calls, CASE WHEN count(s) = 0 THEN 'no-llm' WHEN bool_and(s) THEN 'success' ELSE 'failed' END AS status
+FROM (SELECT user_id, CASE WHEN event_type <> 'view' THEN event_type <> 'purchase' END AS s FROM events) GROUP BY user_id"""
+QUERIES["resume_antijoin"] = lambda spark, d: FS.not_done(table(spark, d, "documents").select("doc_id", "lang"), table(spark, d, "labels").select("doc_id"), "doc_id")
+SQL["resume_antijoin"] = "SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)"
+
+LOOSE = ["{'a': 1,}", 'noise {"a": {"b": [1, 2]}} tail', "[1, 2,]", "no json", '{"a": 1}', "{broken", None]
+QUERIES["json_loose_parse"] = lambda spark, d: P.loose_json(spark.createDataFrame([(i, t) for i, t in enumerate(LOOSE)], "id int, t string"), "t").select("id", F.expr("to_json(parsed)").alias("parsed"))
+SQL["json_loose_parse"] = """SELECT * FROM (VALUES (0, '{"a":1}'), (1, '{"a":{"b":[1,2]}}'), (2, '[1,2]'), (3, NULL), (4, '{"a":1}'), (5, NULL), (6, NULL)) p(id, parsed)"""
+
+
+# ---- graphs and prompts --------------------------------------------------------------------------
+
+
+def document_graphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mined rules assembled into one nested graph per text, without selections."""
+    rules = document_rules(spark, sf_dir)
+    node = F.struct(
+        F.col("cid"), F.col("descr").alias("desc"), F.when(F.col("owner").isNull(), "global").otherwise("local").alias("scope"), F.struct("check", "args").alias("verifier_spec"),
+        F.col("priority_level"), F.col("owner").alias("trace_to"), F.lit("mined").alias("derived_from"), F.lit("add").alias("change_type"),
+    )
+    one = rules.filter("owner IS NULL").groupBy("sample_id").agg(F.array_sort(F.collect_list(node)).alias("global_constraints"))
+    two = rules.filter("owner IS NOT NULL").groupBy("sample_id", "owner").agg(F.array_sort(F.collect_list(node)).alias("constraints"))
+    sets = two.groupBy("sample_id").agg(F.array_sort(F.collect_list(F.struct(F.col("owner").alias("block_id"), F.lit("AND").alias("logic_type"), "constraints"))).alias("block_constraint_sets"))
+    blocks = S.segment(texts(spark, sf_dir), "doc_id", "paragraph").groupBy(F.col("doc_id").alias("sample_id")).agg(
+        F.array_sort(F.collect_list(F.struct("block_id", "intent", "text_span", "order_index", F.lit(False).alias("is_alternate"), F.lit(None).cast("string").alias("origin_block")))).alias("block_specs")
+    )
+    joined = blocks.join(one, "sample_id", "left").join(sets, "sample_id", "left")
+    empty = lambda c, kind: F.coalesce(c, F.expr(f"CAST(array() AS {kind})")).alias(c)
+    kind = dict(joined.dtypes)
+    return joined.select(
+        "sample_id", F.concat(F.lit("Task "), "sample_id").alias("seed_task"), empty("global_constraints", kind["global_constraints"]), "block_specs",
+        empty("block_constraint_sets", kind["block_constraint_sets"]), F.expr(f"CAST(array() AS array<{R.SELECTION}>)").alias("selections"), F.lit("{}").alias("meta"),
+    )
+
+
+QUERIES["render_prompt"] = lambda spark, d: R.render_main(document_graphs(spark, d)).select("sample_id", F.md5("prompt").alias("prompt_md5"))
+for _t in R.TEMPLATES:
+    QUERIES[f"render_{_t}"] = lambda spark, d, t=_t: R.render_templates(document_graphs(spark, d), (t,)).select("sample_id", "template", F.md5("prompt").alias("prompt_md5"))
+_BODY = """
+g AS (SELECT sample_id, string_agg('  - ' || descr, chr(10) ORDER BY cid) AS lines FROM all_rules WHERE owner IS NULL GROUP BY sample_id),
+b AS (SELECT sample_id, owner, string_agg('  - ' || descr, chr(10) ORDER BY cid) AS lines FROM all_rules WHERE owner IS NOT NULL GROUP BY sample_id, owner),
+st AS (SELECT doc_id AS sample_id, i, '- Stage ' || i || ': Paragraph ' || i || {cue} || chr(10) || coalesce(b.lines, '  - Follow the intent of this stage even if no explicit duty exists.') AS lines
+  FROM paras LEFT JOIN b ON b.sample_id = doc_id AND b.owner = 'B' || i),
+body AS (SELECT sample_id, string_agg(lines, chr(10) ORDER BY i) AS lines FROM st GROUP BY sample_id)"""
+_HEAD = "'SYSTEM INSTRUCTIONS:' || chr(10) || chr(10) || '1. MISSION BRIEF' || chr(10) || '- Primary directive: Task ' || body.sample_id || chr(10) || chr(10)"
+_RULES2 = f"WITH {LINES_SQL}, {BULLET_SQL}, {RULES_SQL.removeprefix('WITH ')},"
+SQL["render_stage_blueprint"] = f"""{_RULES2} {_BODY.format(cue="chr(10) || '  Logic cue: Cover all listed duties for this stage.'")}
+SELECT body.sample_id, 'stage_blueprint' AS template, md5({_HEAD} || '2. NON-NEGOTIABLE GLOBAL RULES' || chr(10) || CASE WHEN g.lines IS NULL THEN '- No additional global constraints were supplied.' ELSE 'All global rules must be satisfied throughout the response:' || chr(10) || g.lines END
+  || chr(10) || chr(10) || '3. STRUCTURED RESPONSE BLUEPRINT' || chr(10) || 'Follow stages in order and apply branch logic where stated.' || chr(10) || body.lines || chr(10)) AS prompt_md5 FROM body LEFT JOIN g USING (sample_id)"""
+SQL["render_branch_first"] = f"""{_RULES2} {_BODY.format(cue="''")}
+SELECT body.sample_id, 'branch_first' AS template, md5({_HEAD} || '2. NON-NEGOTIABLE GLOBAL RULES' || chr(10) || CASE WHEN g.lines IS NULL THEN '- No additional global constraints were supplied.' ELSE replace(chr(10) || g.lines, chr(10) || '  - ', chr(10) || '- ')[2:] END
+  || chr(10) || chr(10) || '3. STRUCTURED RESPONSE BLUEPRINT' || chr(10) || 'No conditional branches were supplied.' || chr(10) || chr(10) || 'Stage flow (follow in order):' || chr(10) || body.lines || chr(10)) AS prompt_md5 FROM body LEFT JOIN g USING (sample_id)"""
+
+
+def graph_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Graphs to JSON in both spellings and back: counts of what comes out."""
+    g = document_graphs(spark, sf_dir)
+    back = R.decode(R.encode(g, "blocks").select("sample_id", "json"))
+    return back.select("sample_id", F.size("block_specs").alias("n_blocks"), F.expr("CAST(size(global_constraints) + aggregate(block_constraint_sets, 0, (a, s) -> a + size(s.constraints)) AS BIGINT)").alias("n_rules"))
+
+
+QUERIES["graph_round_trip"] = graph_round_trip
+SQL["graph_round_trip"] = f"""{_RULES2} n AS (SELECT sample_id, count(*) AS n_rules FROM all_rules GROUP BY sample_id)
+SELECT doc_id AS sample_id, count(*)::INT AS n_blocks, coalesce(max(n_rules), 0) AS n_rules FROM paras LEFT JOIN n ON sample_id = doc_id GROUP BY doc_id"""
+QUERIES["graph_eval_items"] = lambda spark, d: R.eval_items(document_graphs(spark, d), "sample_id").select("sample_id", "section", "block_id", "cid", "check")
+SQL["graph_eval_items"] = f"""{RULES_SQL} SELECT sample_id, CASE WHEN owner IS NULL THEN 'global' ELSE 'block' END AS section, owner AS block_id, cid, "check" FROM all_rules
+WHERE sample_id IN (SELECT sample_id FROM all_rules WHERE owner IS NOT NULL)"""
+QUERIES["delta_view"] = lambda spark, d: R.delta_view(document_graphs(spark, d)).select("sample_id", F.size("block_specs").alias("n_blocks"))
+SQL["delta_view"] = f"""{_RULES2} n AS (SELECT sample_id, count(DISTINCT owner) AS n FROM all_rules GROUP BY sample_id)
+SELECT DISTINCT doc_id AS sample_id, coalesce(n, 0)::INT AS n_blocks FROM paras LEFT JOIN n ON sample_id = doc_id"""

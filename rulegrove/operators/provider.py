@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rulegrove.functions import text as X
 from rulegrove.functions.checks import JUDGES
@@ -19,7 +20,7 @@ from rulegrove.functions.dialect import SPARK as D
 #: A provider maps a prompt to a reply and may raise; it is made once per task.
 Provider = Callable[[str], str]
 
-CALLS = "reply string, success boolean, attempts int, duration_sec double, error string"
+CALLS = "reply string, success boolean, attempts integer, duration_sec double, error string"
 
 
 def ask(prompts: DataFrame, prompt: str, make: Callable[[], Provider] | None, *, retries: int = 2, backoff: float = 0.8) -> DataFrame:
@@ -27,7 +28,8 @@ def ask(prompts: DataFrame, prompt: str, make: Callable[[], Provider] | None, *,
     if make is None:
         none = {"reply": F.lit(""), "success": F.lit(False), "attempts": F.lit(0), "duration_sec": F.lit(0.0), "error": F.lit("no provider")}
         return prompts.withColumns(none)
-    at = prompts.columns.index(prompt)
+    columns = prompts.columns
+    at = columns.index(prompt)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = make()
@@ -46,9 +48,9 @@ def ask(prompts: DataFrame, prompt: str, make: Callable[[], Provider] | None, *,
                 rows.append((reply, error is None, n, time.time() - began, error))
             cols = list(zip(*rows)) or [()] * 5
             types = (pa.string(), pa.bool_(), pa.int32(), pa.float64(), pa.string())
-            yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(c, t) for c, t in zip(cols, types)]], names=[*prompts.columns, "reply", "success", "attempts", "duration_sec", "error"])
+            yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(c, t) for c, t in zip(cols, types)]], names=[*columns, "reply", "success", "attempts", "duration_sec", "error"])
 
-    schema = prompts.schema
+    schema = T.StructType(list(prompts.schema.fields))
     for field in CALLS.split(", "):
         schema = schema.add(*field.split())
     return prompts.mapInArrow(run, schema)
@@ -60,7 +62,7 @@ def judged(items: DataFrame, make: Callable[[], Provider] | None) -> DataFrame:
     prompt = F.concat(F.lit("Answer with one label.\n"), F.col("check"), F.lit("\n"), F.col("text"))
     replies = ask(items.withColumn("_prompt", prompt), "_prompt", make)
     first = F.upper(F.trim(F.substring_index("reply", "\n", 1)))
-    return replies.withColumn("judged", F.coalesce((first != "") & first.startswith(label[F.col("check")]), F.lit(False))).drop("_prompt", "reply", "success", "attempts", "duration_sec", "error")
+    return replies.withColumn("judged", F.coalesce((first != "") & F.startswith(first, label[F.col("check")]), F.lit(False))).drop("_prompt", "reply", "success", "attempts", "duration_sec", "error")
 
 
 def status(calls: DataFrame, *keys: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rulegrove.functions import checks
@@ -644,3 +644,28 @@ WHERE sample_id IN (SELECT sample_id FROM all_rules WHERE owner IS NOT NULL)"""
 QUERIES["delta_view"] = lambda spark, d: R.delta_view(document_graphs(spark, d)).select("sample_id", F.size("block_specs").alias("n_blocks"))
 SQL["delta_view"] = f"""{_RULES2} n AS (SELECT sample_id, count(DISTINCT owner) AS n FROM all_rules GROUP BY sample_id)
 SELECT DISTINCT doc_id AS sample_id, coalesce(n, 0)::INT AS n_blocks FROM paras LEFT JOIN n ON sample_id = doc_id"""
+
+
+from rulegrove.plans import mermaid as MM  # noqa: E402
+
+QUERIES["mermaid"] = lambda spark, d: MM.render_mermaid(document_graphs(spark, d)).select("sample_id", F.md5("mermaid").alias("mermaid_md5"))
+
+
+def removed_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mined block rules less those of a removal list (here: each block's first)."""
+    rules = document_rules(spark, sf_dir).filter("owner IS NOT NULL")
+    return A.without(rules, rules.filter(F.col("cid").endswith("_C1")).select("sample_id", "cid")).select("sample_id", "owner", "cid")
+
+
+QUERIES["remove_cids"] = removed_rules
+SQL["remove_cids"] = f"{RULES_SQL} SELECT sample_id, owner, cid FROM all_rules WHERE owner IS NOT NULL AND NOT ends_with(cid, '_C1')"
+
+
+def renumbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Global candidates re-keyed G1..Gn in order of position."""
+    w = Window.partitionBy("doc_id").orderBy("pos")
+    return global_rules(spark, sf_dir).select("doc_id", F.concat(F.lit("G"), F.row_number().over(w)).alias("cid"), "check")
+
+
+QUERIES["renumber_ids"] = renumbered
+SQL["renumber_ids"] = f"""{GLOBAL_SQL} SELECT doc_id, 'G' || row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS cid, "check" FROM candidates"""

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from rulegrove import queries as Q
 from rulegrove.operators import augment, provider, scoring, segment
-from rulegrove.plans import render
+from rulegrove.plans import mermaid, render
 from rulegrove.sources import files
 from rulegrove.streaming import scoring as streamed
 
 DATA = "/root/testdata/sf0.001"
-SLOW = {"curriculum", "mine_global_rules", "priority_injection", "graph_eval_items", "delta_view", "graph_round_trip", "render_branch_first", "m2_turns"}
+SLOW = {"curriculum", "mine_global_rules", "priority_injection", "graph_eval_items", "delta_view", "graph_round_trip", "render_branch_first", "m2_turns", "remove_cids", "renumber_ids"}
 
 
 def plain(rows):
@@ -122,6 +122,13 @@ def test_prompts(spark):
     assert "Branch map:\n- Decision at Opening:\n  IF The stance is critical:\n    - Say no.\n  OTHERWISE:\n    - Say hello.\n" in told["0", "branch_first"]
 
 
+def test_mermaid(spark):
+    text = mermaid.render_mermaid(graphs(spark, graph())).first().mermaid.split("\n")
+    assert text[0] == "flowchart LR" and text[1] == "    SEED(((Write it)))"
+    assert text[-5:] == ['    DEC_SEL_B1{"If the stance is critical"}', "    G2 --> DEC_SEL_B1", "    DEC_SEL_B1 --> B1_C1", "    DEC_SEL_B1 --> B1_ALT_C1", "    B1_ALT_C1 --> B2_C1"]
+    assert "        B2_C1 --> B2_C2" in text and "    B1_C1 --> B2_C1" in text
+
+
 def test_graph_spellings_delta_and_items(spark):
     one = graph()
     two = {k if k != "block_specs" else "blocks": v for k, v in one.items()}

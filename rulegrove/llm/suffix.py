@@ -7,7 +7,9 @@ in it. Neighbouring strings mostly share that piece, so a document falls into co
 all of whose strings have one piece. Equal strings have equal pieces, wherever they stand, so no
 match is lost; and only pieces that two documents hold need any more work.
 
-Contexts are dealt by piece to buckets, equal ones once with their holders. In each bucket they are
+So the pieces travel first, as hashes alone: each source (SOURCE_ROWS rows in a row) is told which
+of its pieces occur elsewhere as well. Then the contexts of those are dealt by piece to buckets,
+equal ones once with their holders. In each bucket they are
 laid out in shards of at most SHARD bytes. A shard's suffix array is built by Larsson-Sadakane
 refinement (prefix doubling that sorts only groups not yet split) on packed 64-bit keys, Kasai's
 rule gives the common prefixes of neighbours, and runs with LEAST bytes in common are the classes of
@@ -35,7 +37,10 @@ GRAM = 20
 SHARD = (1 << 21) - 64
 FLUSH_BYTES = 24_000_000
 TEXT_PER_STEP = 1_000_000
-BUCKET_BYTES = 12_000_000
+SOURCE_ROWS = 512
+#: Text per bucket of contexts and of piece hashes.
+BUCKET_BYTES = 24_000_000
+PIECE_BUCKET_BYTES = 60_000_000
 LAST_KEY = np.iinfo(np.int64).max
 
 _ODD = np.uint64(0xD6E8FEB86659FD93)
@@ -114,8 +119,13 @@ class _Filer:
         self.buckets, self.parts, self.size = buckets, [], 0
         self.pack = zstandard.ZstdCompressor(level=1)
 
-    def add(self, rows: np.ndarray, keys: np.ndarray, texts: list[bytes]) -> None:
+    def add(self, rows: np.ndarray, keys: np.ndarray, texts: list[bytes], shared: np.ndarray | None = None) -> None:
         data, piece, text, at, start, size = contexts(texts)
+        if shared is not None:
+            where = np.searchsorted(shared, piece >> np.uint64(8))
+            hit = where < len(shared)
+            hit[hit] = shared[where[hit]] == (piece >> np.uint64(8))[hit]
+            piece, text, at, start, size = (x[hit] for x in (piece, text, at, start, size))
         if not len(piece):
             return
         sums = np.zeros(len(data) + 1, np.uint64)
@@ -397,27 +407,123 @@ def merged(begin: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return begin[new], stop[np.r_[new[1:], True]]
 
 
+def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[bytes]]]:
+    """(source, rows, keys, texts) of columns source, row, key, text, in runs of one source."""
+    for batch in batches:
+        source, rows, keys = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        texts, at = batch.column(3), 0
+        while at < len(batch):
+            begin, size, part = at, 0, []
+            while at < len(batch) and source[at] == source[begin] and (size < TEXT_PER_STEP or not part):
+                part.append(texts[at].as_py() or b"")
+                size += len(part[-1])
+                at += 1
+            yield int(source[begin]), rows[begin:at], keys[begin:at], part
+
+
+def _packed(source: np.ndarray, piece: np.ndarray, many: np.ndarray, pack) -> bytes:
+    """Sorted pieces of 56 bits by byte planes, with their sources."""
+    ids, own = np.unique(source, return_inverse=True)
+    planes = piece.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 1:].T
+    return pack.compress(np.array([len(piece), len(ids)], np.int64).tobytes() + ids.tobytes() + own.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes() + many.astype(np.uint8).tobytes() + planes.tobytes())
+
+
+def _opened(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    n, m = np.frombuffer(raw, np.int64, 2)
+    ids = np.frombuffer(raw, np.int64, m, 16)
+    at = 16 + 8 * m
+    own = np.frombuffer(raw, np.uint8, 4 * n, at).reshape(4, n).T.copy().view(np.uint32).ravel()
+    many = np.frombuffer(raw, np.uint8, n, at + 4 * n).astype(bool)
+    planes = np.frombuffer(raw, np.uint8, 7 * n, at + 5 * n).reshape(7, n)
+    full = np.zeros((n, 8), np.uint8)
+    full[:, 1:] = planes.T
+    return ids[own], full.view(">u8").ravel().astype(np.uint64), many
+
+
+def _announce(buckets: int):
+    """The distinct pieces of each source, filed by bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1)
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            if not parts:
+                return
+            source, piece, key = (np.concatenate(x) for x in zip(*parts))
+            parts.clear()
+            order = np.lexsort((source, piece, piece % np.uint64(buckets)))
+            source, piece, key = source[order], piece[order], key[order]
+            heads = np.flatnonzero(np.r_[True, (piece[1:] != piece[:-1]) | (source[1:] != source[:-1])])
+            many = np.minimum.reduceat(key, heads) < np.maximum.reduceat(key, heads)
+            source, piece = source[heads], piece[heads]
+            bucket = piece % np.uint64(buckets)
+            cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+            for a, b in zip(cuts, np.r_[cuts[1:], len(piece)]):
+                blob = _packed(source[a:b], piece[a:b], many[a:b], pack)
+                yield pa.RecordBatch.from_arrays([pa.array([int(bucket[a])], pa.int32()), pa.array([blob], pa.binary())], names=["bucket", "blob"])
+
+        for source, _, keys, texts in _steps(batches):
+            _, piece, text, *_ = contexts(texts)
+            if len(piece):
+                parts.append((np.full(len(piece), source), piece >> np.uint64(8), keys[text]))
+                size += 24 * len(piece)
+                if size > 2 * FLUSH_BYTES:
+                    yield from out()
+                    size = 0
+        yield from out()
+
+    return run
+
+
+def _shared(key, rows):
+    """The pieces of a bucket that two sources, or two keys of one source, hold, by source."""
+    source, piece, many = (np.concatenate(x) for x in zip(*(_opened(b.as_py()) for b in rows.column("blob"))))
+    order = np.argsort(piece, kind="stable")
+    source, piece, many = source[order], piece[order], many[order]
+    heads = np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]])
+    told = np.maximum.reduceat(many, heads) | (np.minimum.reduceat(source, heads) < np.maximum.reduceat(source, heads))
+    told = np.repeat(told, np.diff(np.r_[heads, len(piece)]))
+    source, piece = source[told], piece[told]
+    order = np.argsort(source, kind="stable")
+    source, piece = source[order], piece[order]
+    heads = np.flatnonzero(np.r_[True, source[1:] != source[:-1]]) if len(source) else np.zeros(0, np.int64)
+    blobs = [np.unique(piece[a:b]).tobytes() for a, b in zip(heads, np.r_[heads[1:], len(piece)])]
+    return pa.table({"source": pa.array(source[heads], pa.int64()), "pieces": pa.array(blobs, pa.binary())})
+
+
 def _file(buckets: int):
+    """Contexts of shared pieces. Rows come by source: first its lists of pieces, then its texts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filer = _Filer(buckets)
+        current, lists, shared = None, [], None
 
         def out() -> Iterator[pa.RecordBatch]:
             for bucket, blob in filer.flush():
                 yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([blob], pa.binary())], names=["bucket", "blob"])
 
         for batch in batches:
-            rows = batch.column(0).to_numpy(zero_copy_only=False)
-            keys = batch.column(1).to_numpy(zero_copy_only=False)
-            texts, at = batch.column(2), 0
-            while at < len(batch):
-                begin, size, part = at, 0, []
-                while at < len(batch) and (size < TEXT_PER_STEP or not part):
-                    part.append(texts[at].as_py() or b"")
-                    size += len(part[-1])
-                    at += 1
-                filer.add(rows[begin:at], keys[begin:at], part)
-                if filer.size >= FLUSH_BYTES:
-                    yield from out()
+            source = batch.column(0).to_numpy(zero_copy_only=False)
+            pieces = batch.column(4)
+            cuts = np.flatnonzero(np.r_[True, source[1:] != source[:-1]]) if len(source) else []
+            for a, b in zip(cuts, np.r_[cuts[1:], len(source)]):
+                if source[a] != current:
+                    current, lists, shared = source[a], [], None
+                part = batch.slice(a, b - a)
+                own = [x.as_py() for x in pieces.slice(a, b - a) if x.is_valid]
+                lists += [np.frombuffer(x, np.uint64) for x in own]
+                rest = part.slice(len(own))
+                if not len(rest) or not lists:
+                    continue
+                if shared is None:
+                    shared = np.sort(np.concatenate(lists))
+                for _, rows, keys, texts in _steps(iter([rest])):
+                    filer.add(rows, keys, texts, shared)
+                    if filer.size >= FLUSH_BYTES:
+                        yield from out()
         yield from out()
 
     return run
@@ -425,30 +531,19 @@ def _file(buckets: int):
 
 def _lost(key, rows):
     row, begin, stop = covered([b.as_py() for b in rows.column("blob")])
-    order = np.argsort(row, kind="stable")
-    row, begin, stop = row[order], begin[order], stop[order]
-    heads = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else np.zeros(0, np.int64)
-    blobs = []
-    for a, b in zip(heads, np.r_[heads[1:], len(row)]):
-        s, e = merged(begin[a:b], stop[a:b])
-        blobs.append(np.stack([s, e]).astype(np.int32).tobytes())
-    return pa.table({"row": pa.array(row[heads], pa.int64()), "lost": pa.array(blobs, pa.binary())})
+    return pa.table({"row": pa.array(row, pa.int64()), "lost": pa.array(begin << 32 | stop, pa.int64())})
 
 
-def stretches(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    pairs = [np.frombuffer(b, np.int32).reshape(2, -1).astype(np.int64) for b in blobs]
-    if not pairs:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    both = np.concatenate(pairs, axis=1)
-    return merged(both[0], both[1])
+def stretches(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return merged(packed >> 32, packed & 0xFFFFFFFF)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for key, cell, blobs in zip(*batch.columns):
+        for key, cell, lost in zip(*batch.columns):
             text = cell.as_py() or b""
-            begin, stop = stretches(blobs.as_py() or [])
+            begin, stop = stretches(np.array(lost.as_py() or [], np.int64))
             edges = [0, *np.stack([begin, stop], axis=1).ravel().tolist(), len(text)]
             kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
             out.append((key.as_py(), len(text), len(text) - len(kept), len(begin), hashlib.sha256(kept).hexdigest(), kept))
@@ -469,10 +564,17 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", with_
     rows = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).cast("string").cast("binary").alias("_text"))
     rows = numbered(rows, "_row")
     total = rows.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0)).alias("n")).first().n
-    buckets = max(1, -(-total // BUCKET_BYTES))
-    filed = rows.select("_row", F.coalesce("_key", F.lit(int(LAST_KEY))).alias("k"), "_text").filter(F.octet_length("_text") >= LEAST)
-    blobs = filed.mapInArrow(_file(buckets), "bucket int, blob binary")
-    lost = written(blobs.groupBy("bucket").applyInArrow(_lost, "row long, lost binary"))
+    filed = rows.filter(F.octet_length("_text") >= LEAST).select(
+        F.expr(f"_row div {SOURCE_ROWS}").alias("source"), F.col("_row").alias("row"), F.coalesce("_key", F.lit(int(LAST_KEY))).alias("key"), "_text"
+    )
+    announced = filed.mapInArrow(_announce(max(1, -(-total // PIECE_BUCKET_BYTES))), "bucket int, blob binary")
+    shared = announced.groupBy("bucket").applyInArrow(_shared, "source long, pieces binary")
+    # within a source, lists come before texts
+    both = filed.withColumn("pieces", F.lit(None).cast("binary")).unionByName(shared, allowMissingColumns=True)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    both = both.repartition(n, "source").sortWithinPartitions("source", F.col("pieces").isNull())
+    blobs = both.mapInArrow(_file(max(1, -(-total // BUCKET_BYTES))), "bucket int, blob binary")
+    lost = written(blobs.groupBy("bucket").applyInArrow(_lost, "row long, lost long"))
     per = lost.groupBy("row").agg(F.collect_list("lost").alias("lost"))
     joined = rows.join(per.hint("shuffle_hash"), rows._row == per.row, "left").select("_key", "_text", "lost")
     out = joined.mapInArrow(_cut, "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

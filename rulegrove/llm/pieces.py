@@ -35,7 +35,7 @@ BLANK, LITERAL = 0x2581, 0x110000
 LONGEST = 16
 ZIPF = 2.7
 SAMPLES = 2
-TEXT_PER_STEP = 1_000_000
+TEXT_PER_STEP = 2_000_000
 #: What is left of a word's mass below this is rounding; segmentations that rare count as none.
 LEFT = 1e-12
 _M = np.uint64(0x9E3779B97F4A7C15)
@@ -86,7 +86,8 @@ class Vocabulary:
         self.byte_logp = float(self.logp[-1])
         self.bytes_of = [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         up = np.multiply.accumulate(np.r_[np.uint64(1), np.full(LONGEST, _M, np.uint64)])
-        self.tables = []
+        self.tables, self.begun = [], []
+        points_of = [np.array([ord(c) for c in p], np.uint64) for _, p in normal]
         for size in range(1, LONGEST + 1):
             own = [(i, np.array([ord(c) for c in p], np.uint64)) for i, p in normal if len(p) == size]
             h = np.array([int(((cps + np.uint64(1)) * up[:size]).sum()) for _, cps in own], np.uint64)
@@ -96,6 +97,11 @@ class Vocabulary:
             seen = np.zeros(1 << _FILTER_BITS, bool)
             seen[(mixed(h) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
             self.tables.append((h, ids, seen))
+            # beginnings of longer pieces: a node goes on to the next length only if one fits so far
+            longer = np.array([int(((cps[:size] + np.uint64(1)) * up[:size]).sum()) for cps in points_of if len(cps) > size], np.uint64)
+            begun = np.zeros(1 << _FILTER_BITS, bool)
+            begun[(mixed(longer) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
+            self.begun.append(begun)
 
 
 @lru_cache(maxsize=4)
@@ -136,14 +142,20 @@ class Lattices:
         down = _power(_MI, "down", n + 1)
         self.piece = np.full((n, LONGEST), -1, np.int32)
         logp = np.full((n, LONGEST), -np.inf)
+        live = np.arange(n)
         for size in range(1, LONGEST + 1):
             h_all, ids, seen = voc.tables[size - 1]
-            at = np.flatnonzero(rem >= size) if size > 1 else np.arange(n)
-            if not len(at) or not len(ids):
+            if size > 1:
+                live = live[rem[live] >= size]
+            if not len(live):
+                break
+            h = (sums[live + size] - sums[live]) * down[live]
+            slot = (mixed(h) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)
+            maybe = seen[slot]
+            at, h = live[maybe], h[maybe]
+            live = live[voc.begun[size - 1][slot]]
+            if not len(ids):
                 continue
-            h = (sums[at + size] - sums[at]) * down[at]
-            maybe = seen[(mixed(h) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)]
-            at, h = at[maybe], h[maybe]
             where = np.minimum(np.searchsorted(h_all, h), len(h_all) - 1)
             hit = h_all[where] == h
             at, ids = at[hit], ids[where[hit]]
@@ -155,7 +167,7 @@ class Lattices:
         self.piece[bare, 0] = -2 - real
         logp[bare, 0] = voc.byte_logp * (1 + (real > 0x7F) + (real > 0x7FF) + (real > 0xFFFF))
         beta = np.zeros(n + 1)  # log mass from a node to its word's end
-        inside = np.full((n, LONGEST), -np.inf)
+        cum = np.full((n, LONGEST), 2, np.float32)
         order = np.argsort(rem, kind="stable")
         steps = np.arange(1, LONGEST + 1)
         cut = np.searchsorted(rem[order], np.arange(1, int(rem.max(initial=0)) + 2))
@@ -170,69 +182,87 @@ class Lattices:
             e = np.exp(v - top[:, None])
             total = e.sum(axis=1)
             beta[rows] = top + np.log(total)
-            inside[rows, :w] = e / total[:, None]
-        self.logp = logp
+            share = np.cumsum(e, axis=1) / total[:, None]
+            # the last edge takes what rounding leaves
+            last = w - 1 - np.argmax(e[:, ::-1] > 0, axis=1)
+            share[steps[:w] > last[:, None]] = 2
+            cum[rows, :w] = share
+        self.voc, self.beta, self.cum, self.ends = voc, beta, cum, ends
         self.total = beta[self.node]  # log mass of each word
-        inside[~np.isfinite(inside)] = 0
-        self.prob = inside
-        cum = np.cumsum(inside, axis=1).astype(np.float32)
-        # the last edge takes what rounding leaves
-        last = LONGEST - 1 - np.argmax(inside[:, ::-1] > 0, axis=1)
-        cum[np.arange(LONGEST) >= last[:, None]] = 2
-        self.cum = cum
+
+    def log_weights(self, codes: np.ndarray) -> np.ndarray:
+        out = self.voc.logp[np.maximum(codes, 0)]
+        bare = np.flatnonzero(codes < 0)
+        if len(bare):
+            real = -2 - codes[bare].astype(np.int64)
+            out[bare] = self.voc.byte_logp * (1 + (real > 0x7F) + (real > 0x7FF) + (real > 0xFFFF))
+        return out
+
+    def shares(self, at: int, end: int) -> np.ndarray:
+        """Probability of each edge of a node of a word that ends at `end`."""
+        out = np.zeros(LONGEST)
+        edge = np.flatnonzero(self.piece[at] != -1)
+        ahead = np.where(at + edge + 1 < end, self.beta[at + edge + 1], 0.0)
+        out[edge] = np.exp(self.log_weights(self.piece[at, edge]) + ahead - self.beta[at])
+        return out
 
     def draw(self, word: np.ndarray, seed: np.ndarray, sample, place: np.ndarray):
         """Independent segmentations: (piece codes, pieces of each occurrence, log probability of each)."""
         n = len(word)
         at, end = self.node[word].copy(), (self.node + self.sizes)[word]
-        score = np.zeros(n)
         count = np.zeros(n, np.int64)
         live = np.arange(n)
         base = mixed(mixed(seed + _M * np.array([int(sample) + 1], np.uint64)) + _M * (place.astype(np.uint64) + np.uint64(1)))
         rounds = []
         step = 0
         while len(live):
-            u = uniforms(base[live], np.uint64(step)).astype(np.float32)
-            edge = (self.cum[at[live]] < u[:, None]).sum(axis=1)
-            rounds.append((live, self.piece[at[live], edge]))
-            score[live] += self.logp[at[live], edge]
+            # a mixed word times an odd number of its own per step
+            odd = np.uint64(int(mixed(np.array([step + 1], np.uint64))[0]) | 1)
+            u = ((base[live] * odd) >> np.uint64(40)).astype(np.float32) * np.float32(2.0**-24)
+            here = at[live]
+            passed = np.bitwise_count((self.cum[here] <= u[:, None]).view(np.uint64))
+            edge = (passed[:, 0] + passed[:, 1]).astype(np.int64)
+            rounds.append((live, self.piece[here, edge]))
             count[live] += 1
-            at[live] += edge + 1
-            live = live[at[live] < end[live]]
+            here += edge + 1
+            at[live] = here
+            live = live[here < end[live]]
             step += 1
         first = np.cumsum(count) - count
         out = np.empty(int(count.sum()), np.int32)
         for k, (who, code) in enumerate(rounds):
             out[first[who] + k] = code
+        score = np.add.reduceat(self.log_weights(out), first) if n else np.zeros(0)
         return out, count, score - self.total[word]
 
     def draw_other(self, word: int, taken: list[tuple[int, ...]], us: Iterator[float]) -> tuple[tuple[int, ...], float]:
         """One segmentation of a word other than those taken (edge lengths), and its log probability."""
         at, end = int(self.node[word]), int(self.node[word] + self.sizes[word])
-        live = [(t, self._mass(at, t)) for t in taken]
+        live = [(t, self._mass(at, end, t)) for t in taken]
         path: list[int] = []
         total = 0.0
         while at < end:
-            weights = self.prob[at].copy()
+            shares = self.shares(at, end)
+            weights = shares.copy()
             for t, m in live:
                 weights[t[len(path)] - 1] -= m
             weights = np.maximum(weights, 0)
             if weights.sum() <= 0:  # rounding: nothing but taken ones is left
-                weights = (self.prob[at] > 0).astype(float)
+                weights = (shares > 0).astype(float)
             c = np.cumsum(weights)
             edge = int(np.searchsorted(c, next(us) * c[-1], side="right"))
             edge = min(edge, int(np.flatnonzero(weights)[-1]))
-            p = float(self.prob[at, edge])
+            p = float(shares[edge])
             live = [(t, m / p) for t, m in live if t[len(path)] == edge + 1]
             path.append(edge + 1)
             total += np.log(p)
             at += edge + 1
         return tuple(path), total
 
-    def _mass(self, at: int, path: tuple[int, ...]) -> float:
+    def _mass(self, at: int, end: int, path: tuple[int, ...]) -> float:
         m = 1.0
         for size in path:
-            m *= self.prob[at, size - 1]
+            m *= self.shares(at, end)[size - 1]
             at += size
         return m
 
@@ -346,7 +376,7 @@ class Encoder:
             path = parent.path(w, self._length)
             taken, mass, begin = [*old, path], old_mass + float(np.exp(parent.scores[w])), w
             n = len(found)
-            us = (float(uniforms(np.uint64(seed), n, 0xFFFFFFFD, i)[0]) for i in range(1 << 30))
+            us = (float(u) for i in range(1 << 20) for u in uniforms(np.uint64(seed), n, 0xFFFFFFFD, np.arange(16 * i, 16 * i + 16)))
             other, score = lat.draw_other(int(word[w]), taken, us)
             tail = word[w + 1 :]
             codes, pieces, scores = lat.draw(tail, np.full(len(tail), seed, np.uint64), n, np.arange(w + 1, len(word)))

@@ -479,13 +479,17 @@ def _announce(buckets: int):
 
 
 def _shared(key, rows):
-    """The pieces of a bucket that two sources, or two keys of one source, hold, by source."""
+    """The pieces of a bucket that two sources, or two keys of one source, hold, by source.
+
+    A source that is flushed in parts announces a piece once a part; those count as two holders,
+    since `many` knows the keys of one part only.
+    """
     source, piece, many = (np.concatenate(x) for x in zip(*(_opened(b.as_py()) for b in rows.column("blob"))))
     order = np.argsort(piece, kind="stable")
     source, piece, many = source[order], piece[order], many[order]
     heads = np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]])
-    told = np.maximum.reduceat(many, heads) | (np.minimum.reduceat(source, heads) < np.maximum.reduceat(source, heads))
-    told = np.repeat(told, np.diff(np.r_[heads, len(piece)]))
+    count = np.diff(np.r_[heads, len(piece)])
+    told = np.repeat(np.maximum.reduceat(many, heads) | (count > 1), count)
     source, piece = source[told], piece[told]
     order = np.argsort(source, kind="stable")
     source, piece = source[order], piece[order]

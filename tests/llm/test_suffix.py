@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from rulegrove.llm import suffix
 
@@ -90,3 +91,27 @@ def test_merging_of_shards_by_binary_search():
                 gone[s:e] = b"\1" * (e - s)
             kept = bytes(c for c, g in zip(t, gone) if not g)
             assert hashlib.sha256(kept).hexdigest() == want[i][3]
+
+
+def test_pieces_that_a_flush_parts_are_told(monkeypatch):
+    """Each text is flushed on its own, in the middle of the one source: what two of them share is filed."""
+    monkeypatch.setattr(suffix, "FLUSH_BYTES", 1)
+    monkeypatch.setattr(suffix, "TEXT_PER_STEP", 1)
+    rows = corpus(5)
+    keys = np.array([suffix.LAST_KEY if k is None else k for k, _ in rows], np.int64)
+    texts = [(t or "").encode() for _, t in rows]
+    n = len(rows)
+    batch = pa.record_batch([pa.array([0] * n, pa.int64()), pa.array(range(n), pa.int64()), pa.array(keys), pa.array(texts, pa.binary())], names=["source", "row", "key", "_text"])
+    announced = pa.Table.from_batches(suffix._announce(1)(iter([batch])))
+    assert announced.num_rows > 20
+    told = suffix._shared(None, announced).rename_columns(["source", "pieces"])
+    both = pa.concat_tables([told, pa.Table.from_batches([batch])], promote_options="default").select(["source", "row", "key", "_text", "pieces"])
+    filed = [b.as_py() for x in suffix._file(1)(iter(both.combine_chunks().to_batches())) for b in x.column("blob")]
+    lost = {}
+    for r, s, e in zip(*suffix.covered(filed)):
+        lost.setdefault(int(r), []).append((int(s), int(e)))
+    for i, (t, want) in enumerate(zip(texts, brute(rows))):
+        gone = bytearray(len(t))
+        for s, e in lost.get(i, ()):
+            gone[s:e] = b"\1" * (e - s)
+        assert hashlib.sha256(bytes(c for c, g in zip(t, gone) if not g)).hexdigest() == want[3]

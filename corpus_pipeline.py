@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rulegrove.llm import decontam, pieces, pii, quality, simhash
+from rulegrove.llm import decontam, pieces, pii, quality, similar
 from rulegrove.llm.common import table, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -23,8 +23,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: that with the smallest doc_id."""
-    return simhash.drop_near_duplicates(docs.select(*COLUMNS))
+    """One document of each group linked by five-word shingles (Jaccard 0.8): that with the smallest doc_id."""
+    return similar.drop_similar(docs.select(*COLUMNS))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,13 +29,15 @@ HEX = r"[0-9a-f]{16,}"
 ASSIGN_LEAST = 12
 KINDS = ("assign", "access", "hex", "random")
 
-TOKEN = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_-]{20,}={0,2}"
+#: '=' ends a token (as padding) and may stand before one, as in KEY=value.
+TOKEN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]{20,}={0,2}"
 #: Alphabets in the order in which encodings are tried.
 ALPHABETS = {
     "hex": ("^[0-9a-f]+$", "0123456789abcdef"),
     "hexu": ("^[0-9A-F]+$", "0123456789ABCDEF"),
     "base32": ("^[A-Z2-7]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
     "base36": ("^[a-z0-9]+$", "abcdefghijklmnopqrstuvwxyz0123456789"),
+    "base36u": ("^[A-Z0-9]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"),
     "base64": ("^[A-Za-z0-9+/]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     "base64url": ("^[A-Za-z0-9_-]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
 }

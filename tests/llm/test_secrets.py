@@ -87,3 +87,15 @@ def test_digest(spark):
     df = spark.createDataFrame([(1, TEXTS[4])], "doc_id long, text string")
     base = secrets.find_secrets(df).first().base
     assert hashlib.sha256(base.encode()).hexdigest() == df.selectExpr(f"sha2('{base}', 256) h").first().h
+
+
+def test_tokens_after_an_equals_sign_and_upper_case_base36(spark):
+    value = "wJalrXUtnFEMIK7MDENGbPxRfiCYzq3vT8sLk2Hd"
+    texts = ["sig=Zx9Qw8Er7Ty6Ui5Op4As3Df2", f"AWS_SECRET_ACCESS_KEY={value}", f"KEY_2_OF_A_LONG_NAME_X={value}==", "id Q8ZK1M0X9WJ7TB5RC2VN4D8G", "ABCDEFGHIJKLMNOPQRSTU=1"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [(x.s, x.e, x.t.enc) for x in r._tokens] for r in secrets.scanned(df).select("doc_id", "_tokens").collect()}
+    assert got == {0: [(4, 28, "base64")], 1: [(22, 62, "base64")], 2: [(0, 23, "base64url"), (23, 65, "base64")], 3: [(3, 27, "base36u")], 4: []}
+    rng = random.Random(7)
+    keys = [c for c in ("".join(rng.choice(string.ascii_uppercase + string.digits) for _ in range(40)) for _ in range(120)) if re.search("[0189]", c)]
+    df = spark.createDataFrame([(i, f"{'x' if i % 2 else 'signature'}={k}") for i, k in enumerate(keys)], "doc_id long, text string")
+    assert df.count() - secrets.find_secrets(df).filter("n_random = 1").count() < 0.2 * len(keys)

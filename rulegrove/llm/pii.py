@@ -1,15 +1,16 @@
 """Personal data: fixed patterns plus information-theoretic sanitisation.
 
 Base kinds (email, ip, card, phone) are found by pattern; each value is a protected entity. A term
-(word) that stands within WINDOW words of an entity may reveal it even when the entity itself is
+(word) that occurs in a document beside an entity may reveal it even when the entity itself is
 masked. Over the whole corpus, df(t) is the number of documents with term t, df(e) that with entity
-e, and n(t, e) that where t stands near e. The disclosure of e by t is the pointwise mutual
+e, and n(t, e) that with both. The disclosure of e by t is the pointwise mutual
 information log2(n(t,e) N / (df(t) df(e))), normalised by -log2(n(t,e) / N), at most 1. Terms seen
-near e in at least SUPPORT documents with a normalised value over GENERALISE are generalised (to
-their shape class), over REMOVE removed. Only documents that hold the entity are touched, and there
-only the occurrences near it, so documents without personal data stay as they are.
+with e in at least SUPPORT documents with a normalised value over GENERALISE are generalised (to
+their shape class), over REMOVE removed. Every occurrence in documents that hold the
+entity is masked; other documents, so all without personal data, stay as they are. Since n(t, e) is
+at most df(e), only entities of SUPPORT documents are paired with terms.
 
-df(t) is needed for terms near entities only. A bitmap of fixed size (BITS bits, whatever the
+df(t) is needed for terms beside such entities only. A bitmap of fixed size (BITS bits, whatever the
 input) with their hashes is broadcast, and every document's words are held against it; false hits
 fall out in the join, so counts are exact.
 """
@@ -39,7 +40,6 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 WORD = re.compile(r"[^\W\d_]{2,}")
 
-WINDOW = 4
 SUPPORT = 2
 GENERALISE = 0.8
 REMOVE = 0.95
@@ -120,48 +120,42 @@ def entity(kind: int, value: str) -> str:
     return f"{KINDS[kind]}:{value}"
 
 
-def near_terms(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) for the WINDOW words on either side of each span."""
-    out = []
-    for s, k, e in spans:
-        name = entity(k, text[s:e])
-        before, at = [], s
-        # WINDOW words end within growing pieces before the span
-        size = 32
-        while True:
-            lo = max(0, s - size)
-            before = [m for m in WORD.finditer(text, lo, s)]
-            if lo == 0 or len(before) > WINDOW:
-                break
-            size *= 2
-        after = []
-        for m in WORD.finditer(text, e):
-            after.append(m)
-            if len(after) == WINDOW:
-                break
-        for m in before[-WINDOW:] + after:
-            if not any(a < m.end() and m.start() < b for a, _, b in spans):
-                out.append((name, m[0].lower(), m.start(), m.end()))
+def words_of(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, int, int]]:
+    """(term, start, end) of each word that no span overlaps."""
+    out, ends, i, last = [], sorted((s, e) for s, _, e in spans), 0, 0
+    for m in WORD.finditer(text):
+        while i < len(ends) and ends[i][0] < m.end():
+            last = max(last, ends[i][1])
+            i += 1
+        if last <= m.start():
+            out.append((m[0].lower(), m.start(), m.end()))
     return out
 
 
-NEAR = "array<struct<entity:string,term:string,s:int,e:int>>"
-FOUND = f"row long, base string, n_email long, n_ip long, n_card long, n_phone long, near {NEAR}"
+def near_terms(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, str, int, int]]:
+    """(entity, term, start, end) for every entity and word of the text."""
+    names = sorted({entity(k, text[s:e]) for s, k, e in spans})
+    return [(name, *word) for name in names for word in words_of(text, spans)]
+
+
+FOUND = "row long, base string, n_email long, n_ip long, n_card long, n_phone long, entities array<string>, words array<struct<term:string,s:int,e:int>>"
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("s", pa.int32()), ("e", pa.int32())]))
-    for batch in batches:
-        base, near, counts = [], [], []
+    """In slices, so that the words of large documents stay small in memory."""
+    kind = pa.list_(pa.struct([("term", pa.string()), ("s", pa.int32()), ("e", pa.int32())]))
+    for batch in (b.slice(i, 256) for b in batches for i in range(0, len(b), 256)):
+        base, names, words, counts = [], [], [], []
         for cell in batch.column(1):
             text = cell.as_py() or ""
             spans = base_spans(text)
             base.append(joined(spans))
             counts.append(Counter(k for _, k, _ in spans))
-            near.append([dict(zip(("entity", "term", "s", "e"), x)) for x in near_terms(text, spans)] if spans else None)
+            names.append(sorted({entity(k, text[s:e]) for s, k, e in spans}) if spans else None)
+            words.append([dict(zip(("term", "s", "e"), x)) for x in words_of(text, spans)] if spans else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(base, pa.string()), *[pa.array([c[k] for c in counts], pa.int64()) for k in range(4)], pa.array(near, kind)],
-            names=["row", "base", "n_email", "n_ip", "n_card", "n_phone", "near"],
+            [batch.column(0), pa.array(base, pa.string()), *[pa.array([c[k] for c in counts], pa.int64()) for k in range(4)], pa.array(names, pa.list_(pa.string())), pa.array(words, kind)],
+            names=["row", "base", "n_email", "n_ip", "n_card", "n_phone", "entities", "words"],
         )
 
 
@@ -228,11 +222,11 @@ def document_frequencies(docs: DataFrame, terms: DataFrame, text: str = "text")
 
 def disclosures(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
     """(entity, term, npmi) over GENERALISE, from counts over all rows of docs."""
-    near = found.filter("near IS NOT NULL").select("row", F.explode("near").alias("x")).select("row", "x.entity", "x.term")
-    once = near.distinct()
-    both = once.groupBy("entity", "term").agg(F.count("*").alias("n_te"))
-    rows_of = found.filter("near IS NOT NULL").select("row", F.explode(F.array_distinct(F.col("near.entity"))).alias("entity"))
-    df_e = rows_of.groupBy("entity").agg(F.count("*").alias("df_e"))
+    rows_of = found.select("row", F.explode("entities").alias("entity"))
+    df_e = rows_of.groupBy("entity").agg(F.count("*").alias("df_e")).filter(F.col("df_e") >= SUPPORT)
+    held = rows_of.join(df_e, "entity", "left_semi").groupBy("row").agg(F.collect_list("entity").alias("held"))
+    once = found.join(held, "row").select("held", F.explode(F.array_distinct(F.col("words.term"))).alias("term"))
+    both = once.select(F.explode("held").alias("entity"), "term").groupBy("entity", "term").agg(F.count("*").alias("n_te"))
     often = both.filter(F.col("n_te") >= SUPPORT)
     df_t = document_frequencies(docs, often.select("term").distinct(), text).withColumnRenamed("df", "df_t")
     n = F.lit(float(docs.count()))
@@ -251,10 +245,12 @@ def sanitised_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, Dat
     rows = numbered(docs, "_row")
     found = written(rows.select("_row", F.col(text).cast("string").alias("text")).mapInArrow(_find, FOUND))
     told = disclosures(found, docs, text)
-    near = found.filter("near IS NOT NULL").select("row", F.explode("near").alias("x")).select("row", "x.*")
-    hits = near.join(told, ["entity", "term"]).groupBy("row", "s", "e").agg((F.max("npmi") > REMOVE).alias("removed"))
+    rows_of = found.select("row", F.explode("entities").alias("entity"))
+    telling = rows_of.join(told, "entity").groupBy("row", "term").agg((F.max("npmi") > REMOVE).alias("removed"))
+    places = found.join(telling.select("row").distinct(), "row", "left_semi").select("row", F.explode("words").alias("x")).select("row", "x.*")
+    hits = places.join(telling, ["row", "term"])
     terms = hits.groupBy(F.col("row").alias("_hit")).agg(F.sort_array(F.collect_list(F.struct("s", "e", "removed"))).alias("terms"))
-    spans = found.drop("near").join(terms, F.col("row") == F.col("_hit"), "left").drop("_hit").withColumnRenamed("row", "_row")
+    spans = found.drop("entities", "words").join(terms, F.col("row") == F.col("_hit"), "left").drop("_hit").withColumnRenamed("row", "_row")
     return rows, spans
 
 

@@ -76,3 +76,12 @@ def test_query_and_empty_table(spark, tmp_path):
     got = sorted((r.doc_id, r.base_sha256, r.spans) for r in pii.op9_pii(spark, str(tmp_path)).collect())
     assert got == sorted((d, pii.digest(t or ""), pii.joined(pii.base_spans(t or ""))) for d, t in df.collect())
     assert pii.sanitise(df.limit(0)).collect() == []
+
+
+def test_every_occurrence_of_a_revealing_term_goes(spark):
+    far = "Zorblax came over the hill and then over the sea and to the town where bob@corp.example.com was, said zorblax"
+    rows = [(i, "came over the hill and then over the sea and to the town where was, said") for i in range(200)]
+    rows += [(1000, far), (1001, far), (1002, "Zorblax alone")]
+    out = {r.doc_id: r.text for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[1000] == out[1001] == "[WORD] " + far[8:].replace("bob@corp.example.com", "[EMAIL]").replace("zorblax", "[WORD]")
+    assert out[1002] == "Zorblax alone" and out[0] == rows[0][1]

@@ -7,7 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FALLBACK_DIR = "/tmp/checkpoints"
+#: Where intermediate tables go on a single machine that names no folder.
+LOCAL_DIR = "/tmp/checkpoints"
+#: Most bytes of one Arrow batch that is sent to a Python worker.
+ARROW_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,8 +18,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; a local one only where it is unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or FALLBACK_DIR
+    """The folder the cluster names in spark.checkpoint.dir; a local one only in local mode where it is unset."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return named or LOCAL_DIR
+
+
+def arrow_bounded(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches by ARROW_BYTES, so that rows of any length do not fill a worker."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch()
+    if now <= 0 or now > ARROW_BYTES:
+        spark.conf.set(name, str(ARROW_BYTES))
+
+
+def fresh(name: str, *frames: DataFrame) -> str:
+    """name, or the first of name1, name2 ... that no column of the frames has, upper or lower case."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    return next(x for x in (name, *(f"{name}{i}" for i in range(1, len(taken) + 2))) if x.lower() not in taken)
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -44,12 +64,5 @@ def text_or_empty(col="text") -> F.Column:
 
 
 def numbered(docs: DataFrame, name: str) -> DataFrame:
-    """docs with a unique long per row that stays the same wherever the result is used.
-
-    Numbers repeat from run to run over plain file scans only; behind anything that may reorder rows
-    they are written once.
-    """
-    out = docs.withColumn(name, F.monotonically_increasing_id())
-    plan = docs._jdf.queryExecution().optimizedPlan().toString()
-    moves = any(x in plan for x in ("Join", "Aggregate", "Repartition", "Sort", "Window", "Map", "LogicalRDD", "Union", "Rebalance"))
-    return written(out) if moves else out
+    """docs with a unique long per row, written once so that it stays the same wherever it is used."""
+    return written(docs.withColumn(name, F.monotonically_increasing_id()))

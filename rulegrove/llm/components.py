@@ -19,7 +19,8 @@ MAX_ROUNDS = 60
 def _with_minimum(edges: DataFrame) -> DataFrame:
     """Directed edges (a, b) with m, the least of a and its neighbours."""
     least = edges.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-    return edges.join(least, "a")
+    # written, so that the join sees plain rows of a hot node and can split them over tasks
+    return edges.join(written(least).hint("merge"), "a")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -45,7 +46,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = written(edges)
     mark = None
     for _ in range(MAX_ROUNDS):
-        edges = written(_small_star(_large_star(edges).distinct()).filter("a <> b").distinct())
+        edges = written(_small_star(written(_large_star(edges).distinct())).filter("a <> b").distinct())
         seen = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if (seen.n, seen.h) == mark:
             break

@@ -4,8 +4,9 @@ A document is a bag of passages of PASSAGE bytes. Every passage of every whole t
 (byte-class shares, hashed byte-class bigrams, word-shape and repetition figures), projected through
 a learned layer, and weighed by gated attention (Ilse et al., 2018): a_i ~ exp(w . (tanh(V h_i) *
 sigmoid(U h_i))). The weighted sum of passages is scored by a logistic unit. Encoder, attention and
-scorer are learned together from document labels alone, on at most TRAIN_ROWS labelled documents
-chosen by a hash of their key; the model has a fixed size. Scoring covers all documents.
+scorer are learned together from document labels alone, on at most TRAIN_ROWS whole labelled
+documents of at most TRAIN_PASSAGES passages in all, chosen by a hash of their key; the model has a
+fixed size. Scoring covers all documents.
 """
 
 from __future__ import annotations
@@ -17,17 +18,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rulegrove.llm.common import crc_text, table
+from rulegrove.llm.common import arrow_bounded, crc_text, table
 
 PASSAGE = 512
 #: Bound of the labelled sample that the model is fitted on.
 TRAIN_ROWS = 4000
-#: Passages of one training document that are learned from; scoring uses all.
-TRAIN_PASSAGES = 48
+#: Bound of its passages in all; documents are taken whole or not at all.
+TRAIN_PASSAGES = 40_000
 FOLDS = 5
 THRESHOLD = 0.3
 BIGRAMS = 256
-BYTES_PER_BATCH = 4_000_000
+BYTES_PER_BATCH = 500_000
 
 
 def _classes() -> np.ndarray:
@@ -73,14 +74,8 @@ LAGS = (1, 2, 3, 4, 5, 6, 8, 10, 12, 16, 24)
 FEATURES = BIGRAMS + len(LAGS) + 6
 
 
-def encode(texts: list[bytes], most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(features of all passages, document of each). An empty text is one passage of zeros."""
-    if most is not None:  # evenly spaced passages of a training document
-        cut = []
-        for t in texts:
-            n = -(-len(t) // PASSAGE)
-            cut.append(t if n <= most else b"".join(t[p * PASSAGE : (p + 1) * PASSAGE] for p in np.linspace(0, n - 1, most).astype(int)))
-        texts = cut
     sizes = np.array([len(t) for t in texts], np.int64)
     counts = np.maximum(1, -(-sizes // PASSAGE))
     doc = np.repeat(np.arange(len(texts)), counts)
@@ -166,8 +161,8 @@ class GatedAttention:
         return self.forward((x - self.mean) / self.scale, doc, n)[5]
 
     def fit(self, x: np.ndarray, doc: np.ndarray, y: np.ndarray, epochs: int = 60, rate: float = 0.01, decay: float = 1e-4, bag: int = 256):
-        self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-3
-        x = ((x - self.mean) / self.scale).astype(np.float32)
+        self.mean, self.scale = x.mean(axis=0, dtype=np.float64), x.std(axis=0, dtype=np.float64) + 1e-3
+        x = (x - self.mean.astype(np.float32)) / self.scale.astype(np.float32)
         n = len(y)
         starts, ends = np.searchsorted(doc, np.arange(n)), np.searchsorted(doc, np.arange(n), side="right")
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
@@ -216,18 +211,40 @@ def labelled(labels: DataFrame, key: str = "doc_id", label: str = "quality") ->
     return one.orderBy(F.xxhash64("_key"), "_key").limit(TRAIN_ROWS)
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> GatedAttention:
-    """Fit on the sample. Without labels the untrained model is returned."""
+def sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(_doc, _label, _print, _text): whole documents to learn from, equal rows once.
+
+    Rows come in the order of a hash of their key; a row is left out if it would take the sample over
+    TRAIN_ROWS rows or TRAIN_PASSAGES passages.
+    """
     keys = F.broadcast(labelled(labels, key))  # TRAIN_ROWS rows of two numbers
+    own = docs.select(F.col(key).cast("long").alias("_doc"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("_text"))
+    rows = own.join(keys, F.col("_doc") == F.col("_key")).select("_doc", "_label", F.xxhash64("_text").alias("_print"), "_text")
+    passages = F.greatest(F.lit(1), F.ceil(F.octet_length("_text") / PASSAGE)).alias("n")
+    told = rows.select("_doc", "_label", "_print", passages).distinct().orderBy(F.xxhash64("_doc"), "_doc", "_print").limit(TRAIN_ROWS).collect()
+    chosen, left = [], TRAIN_PASSAGES
+    for r in told:
+        if r.n <= left:
+            left -= r.n
+            chosen.append((r["_doc"], r["_print"]))
+    spark = docs.sparkSession
+    wanted = F.broadcast(spark.createDataFrame(chosen, "_doc long, _print long"))
+    return rows.join(wanted, ["_doc", "_print"], "left_semi").groupBy("_doc", "_label", "_print").agg(F.first("_text").alias("_text"))
+
+
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> GatedAttention:
+    """Fit on all passages of the sample. Without labels the untrained model is returned."""
+    arrow_bounded(docs.sparkSession)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k, y, cell in zip(*b.columns):
-                x, _ = encode([cell.as_py() or b""], TRAIN_PASSAGES)
-                yield pa.RecordBatch.from_arrays([pa.array([k.as_py()]), pa.array([y.as_py()], pa.int32()), pa.array([x.tobytes()], pa.binary())], names=["k", "y", "x"])
+            for k, p, y, cell in zip(*b.columns):
+                x, _ = encode([cell.as_py()])
+                values = [pa.array([k.as_py()]), pa.array([p.as_py()]), pa.array([y.as_py()], pa.int32()), pa.array([x.tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(values, names=["k", "p", "y", "x"])
 
-    rows = docs.select(F.col(key).cast("long").alias("_doc"), F.col(text).cast("binary").alias("_text")).join(keys, F.col("_doc") == F.col("_key"))
-    got = rows.select("_doc", "_label", "_text").mapInArrow(encoded, "k long, y int, x binary").orderBy("k", "x").limit(2 * TRAIN_ROWS).collect()
+    rows = sample(docs, labels, key, text).select("_doc", "_print", "_label", "_text")
+    got = sorted(rows.mapInArrow(encoded, "k long, p long, y int, x binary").collect(), key=lambda r: (r.k, r.p))  # TRAIN_ROWS rows, TRAIN_PASSAGES passages
     model = GatedAttention()
     if not got:
         return model
@@ -236,34 +253,39 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     return model.fit(np.concatenate(bags), doc, np.array([r.y for r in got], float))
 
 
-def quality_scores(docs: DataFrame, model: GatedAttention, key: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """keep (default: the key) and score of every row of docs.
+def scored(docs: DataFrame, model: GatedAttention, text: str = "text", into: str = "score") -> DataFrame:
+    """docs with the score of every row in a column `into`, which replaces one of that name.
 
-    score: 0 to 1, higher if label 1 is likelier. Null and empty texts get the score of an empty
-    passage. Rows are scored one by one, so ties and repeated rows get equal scores and an empty
-    table an empty result; other columns and their names do not matter.
+    0 to 1, higher if label 1 is likelier. Null and empty texts get the score of an empty passage.
+    Rows are scored one by one, so ties and repeated rows get equal scores and an empty table an
+    empty result; other columns and their names do not matter. Only the text goes to Python and only
+    the score comes back.
     """
-    keep = [key] if keep is None else keep
+    arrow_bounded(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = docs.select(*keep).schema.add("score", "double")
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = shared.value
-        for b in batches:
-            texts = b.column(len(keep))
-            at = 0
-            while at < len(b):
-                start, size, part = at, 0, []
-                while at < len(b) and (size < BYTES_PER_BATCH or not part):
+        for texts in batches:
+            parts, at = [np.zeros(0)], 0
+            while at < len(texts):
+                size, part = 0, []
+                while at < len(texts) and (size < BYTES_PER_BATCH or not part):
                     part.append(texts[at].as_py() or b"")
                     size += len(part[-1])
                     at += 1
                 x, doc = encode(part)
-                out = own.score(x, doc, len(part))
-                kept = [b.column(i).slice(start, at - start) for i in range(len(keep))]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(out, pa.float64())], names=[*keep, "score"])
+                parts.append(own.score(x, doc, len(part)))
+            yield pa.array(np.concatenate(parts), pa.float64())
+
+    return docs.withColumn(into, score(F.col(text).cast("binary")))
 
-    return docs.select(*keep, F.col(text).cast("binary").alias("_bytes_of_text")).mapInArrow(scored, schema)
+
+def quality_scores(docs: DataFrame, model: GatedAttention, key: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """keep (default: the key) and score of every row of docs, as `scored` gives it."""
+    keep = [key] if keep is None else keep
+    return scored(docs, model, text).select(*keep, "score")
 
 
 def predicted(score="score") -> F.Column:

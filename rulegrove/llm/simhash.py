@@ -7,7 +7,8 @@ Links. Two fingerprints link when at most RADIUS = 4 bits differ. Equal fingerpr
 from the start. If two differ by at most four bits, some half of 32 bits differs by at most two, so
 flipping up to half of that (one bit) on either side meets at a common variant: each fingerprint
 emits the 33 variants of each half (66 rows), the rows are shuffled on the variant, and what
-collides is verified bit by bit. A variant with more than DENSE fingerprints would need too many
+collides is verified bit by bit: what all pairs of a variant would connect comes out as a spanning
+forest, fewer links than members. A variant with more than DENSE fingerprints would need too many
 comparisons; all fingerprints in such a variant go to the full-width form instead: each emits its
 2,081 variants within two bits of all 64. There any two in one variant are within four bits of each
 other, so a star to the least is exact and nothing is compared. Both ends of a link in a dense
@@ -24,15 +25,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rulegrove.llm.common import numbered, table, written
+from rulegrove.llm.common import arrow_bounded, fresh, numbered, table, written
 from rulegrove.llm.components import components
 
 RADIUS = 4
 SHINGLE = 4
 SEED = 42
-DENSE = 128
+DENSE = 4096
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-BYTES_PER_BATCH = 4_000_000
+BYTES_PER_BATCH = 1_000_000
 
 
 def shingle_hashes(text: bytes, width: int = SHINGLE) -> list[int]:
@@ -90,6 +91,7 @@ def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, fp): the fingerprint as a signed 64-bit number. Null texts count as empty (zero)."""
+    arrow_bounded(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     return rows.mapInArrow(_fingerprint_batches, "doc_id long, fp long").withColumnRenamed("doc_id", key)
 
@@ -122,24 +124,47 @@ def _full_variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.repeat(part, len(flips)).view(np.int64))], names=["variant", "fp"])
 
 
+def spanning(x: np.ndarray, radius: int = RADIUS) -> np.ndarray:
+    """Index of an earlier linked member for each of a group's fingerprints (its own: none).
+
+    Breadth-first: a member is compared with those not reached yet, so a tight group of any size
+    takes a few passes, and the links that come out connect what all pairs would.
+    """
+    n = len(x)
+    parent = np.arange(n)
+    open_ = np.arange(1, n)
+    frontier = [0] if n else []
+    while len(open_):
+        if not frontier:
+            frontier = [int(open_[0])]
+            open_ = open_[1:]
+            continue
+        at = frontier.pop()
+        near = np.bitwise_count(x[open_] ^ x[at]) <= radius
+        hit = open_[near]
+        if len(hit):
+            parent[hit] = at
+            frontier.extend(hit.tolist())
+            open_ = open_[~near]
+    return parent
+
+
 def _verify_runs(batches: Iterator[pa.RecordBatch], limit: int = DENSE) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by variant. Emits links (a, b) within RADIUS, or (a, null) for dense members."""
-
-    def pairs(keys: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All whole runs in keys, each of at most `limit` rows, matched at growing distance in the order."""
-        found_a, found_b = [], []
-        for gap in range(1, limit):
-            if gap >= len(keys):
-                break
-            same = np.flatnonzero(keys[gap:] == keys[:-gap])
-            if not len(same):
-                break
-            a, b = fps[same], fps[same + gap]
-            near = np.bitwise_count(a ^ b) <= RADIUS
-            found_a.append(a[near])
-            found_b.append(b[near])
-        if not found_a:
-            return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    """Rows come sorted by variant. Emits a forest of links (a, b) within RADIUS for each run, or (a, null) for dense members."""
+
+    def forest(keys: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All whole runs in keys, each of at most `limit` rows."""
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        sizes = np.diff(np.r_[starts, len(keys)])
+        two = starts[sizes == 2]
+        two = two[np.bitwise_count(fps[two] ^ fps[two + 1]) <= RADIUS]
+        found_a, found_b = [fps[two]], [fps[two + 1]]
+        for s, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
+            part = fps[s : s + n]
+            parent = spanning(part)
+            own = np.flatnonzero(parent != np.arange(n))
+            found_a.append(part[own])
+            found_b.append(part[parent[own]])
         return np.concatenate(found_a), np.concatenate(found_b)
 
     def out(a: np.ndarray, b: np.ndarray | None) -> pa.RecordBatch:
@@ -167,12 +192,13 @@ def _verify_runs(batches: Iterator[pa.RecordBatch], limit: int = DENSE) -> Itera
             yield out(np.unique(fps[row_big]), None)
         small = ~row_big
         small[keep:] = False
-        a, b = pairs(keys[small], fps[small])
-        if len(a):
-            yield out(a, b)
+        if small.any():
+            a, b = forest(keys[small], fps[small])
+            if len(a):
+                yield out(a, b)
         held_k, held_f = keys[keep:], fps[keep:]
     if len(held_k):
-        a, b = pairs(held_k, held_f)
+        a, b = forest(held_k, held_f)
         if len(a):
             yield out(a, b)
 
@@ -186,7 +212,7 @@ def links_of(nodes: DataFrame, dense_over: int = DENSE) -> DataFrame:
     dense = found.filter("b IS NULL").select(F.col("a").alias("fp")).distinct()
     ball = dense.mapInArrow(_full_variants, "variant long, fp long")
     least = ball.groupBy("variant").agg(F.min("fp").alias("m"), F.max("fp").alias("x")).filter("m <> x").select("variant", "m")
-    stars = ball.join(least, "variant").select(F.col("fp").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+    stars = ball.join(written(least).hint("merge"), "variant").select(F.col("fp").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
     return found.filter("b IS NOT NULL").union(stars)
 
 
@@ -198,14 +224,15 @@ def simhash_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     form part of their component but never name it, unless all its keys are null. Repeated rows are
     returned as often as they come. An empty table gives an empty result. Other columns are ignored.
     """
-    marked = written(fingerprints(docs, key, text))
-    nodes = marked.groupBy("fp").agg(F.min(key).alias("least"), F.count("*").alias("rows"))
+    marked = written(fingerprints(docs, key, text).toDF("doc", "fp"))
+    nodes = written(marked.groupBy("fp").agg(F.min("doc").alias("least"), F.count("*").alias("rows")))
     comps = components(links_of(nodes, dense_over))
-    placed = nodes.join(comps, nodes.fp == comps.node, "left").select("fp", "least", "rows", F.coalesce("component", "fp").alias("component"))
-    ids = placed.groupBy("component").agg(F.min("least").alias("component_id"), F.sum("rows").alias("group_size"))
-    by_fp = placed.join(ids, "component").select(F.col("fp").alias("_fp"), "component_id", "group_size")
-    joined = marked.join(by_fp, F.col("fp") == F.col("_fp"))
-    return joined.select(key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "group_size")
+    placed = nodes.join(comps.hint("merge"), nodes.fp == comps.node, "left").select("fp", "least", "rows", F.coalesce("component", "fp").alias("component"))
+    # written before they are joined, so that a hot component or fingerprint can be split over tasks
+    ids = written(placed.groupBy("component").agg(F.min("least").alias("component_id"), F.sum("rows").alias("group_size")))
+    by_fp = written(placed.join(ids.hint("merge"), "component").select(F.col("fp").alias("_fp"), "component_id", "group_size"))
+    joined = marked.join(by_fp.hint("merge"), F.col("fp") == F.col("_fp"))
+    return joined.select(F.col("doc").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "group_size")
 
 
 def op8_simhash(spark, sf_dir):
@@ -260,26 +287,18 @@ def _wide_variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             )
 
 
-def spanning(x: np.ndarray, y: np.ndarray, radius: int) -> np.ndarray:
-    """Index of an earlier linked member for each of a group's fingerprints (its own: none).
-
-    Breadth-first: a member is compared with those not reached yet, so a tight group of any size
-    takes a few passes, and the links that come out connect what all pairs would.
-    """
+def _wide_forest(x: np.ndarray, y: np.ndarray, radius: int) -> np.ndarray:
+    """spanning() for the two halves of wide fingerprints."""
     n = len(x)
-    parent = np.arange(n)
-    open_ = np.arange(1, n)
-    frontier = [0] if n else []
+    parent, open_, frontier = np.arange(n), np.arange(n), []
     while len(open_):
         if not frontier:
-            frontier = [int(open_[0])]
-            open_ = open_[1:]
+            frontier, open_ = [int(open_[0])], open_[1:]
             continue
         at = frontier.pop()
         near = np.bitwise_count(x[open_] ^ x[at]).astype(np.int16) + np.bitwise_count(y[open_] ^ y[at]) <= radius
-        hit = open_[near]
-        parent[hit] = at
-        frontier.extend(hit.tolist())
+        parent[open_[near]] = at
+        frontier.extend(open_[near].tolist())
         open_ = open_[~near]
     return parent
 
@@ -312,7 +331,7 @@ def _wide_runs(radius: int):
         a.append(node[two[near]])
         b.append(node[two[near] + 1])
         for s, n in zip(starts[sizes > 2], sizes[sizes > 2]):
-            parent = spanning(x[s : s + n], y[s : s + n], radius)
+            parent = _wide_forest(x[s : s + n], y[s : s + n], radius)
             own = np.flatnonzero(parent != np.arange(n))
             a.append(node[s + own])
             b.append(node[s + parent[own]])

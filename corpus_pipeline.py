@@ -18,8 +18,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    scored = quality.quality_scores(docs.select(*COLUMNS), model, keep=list(COLUMNS))
-    return scored.filter(quality.predicted() == 1).select(*COLUMNS)
+    return quality.scored(docs.select(*COLUMNS), model).filter(quality.predicted() == 1).select(*COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

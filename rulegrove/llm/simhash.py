@@ -364,9 +364,8 @@ def near_groups(docs: DataFrame, row: str, text: str = "text", radius: int = WID
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = WIDE_RADIUS) -> DataFrame:
     """docs with one row of each near-duplicate group: the one with the smallest key (null keys last)."""
-    rows = numbered(docs, "_row")
-    groups = near_groups(rows, "_row", text, radius)
-    named = groups.join(rows.select("_row", F.col(key).alias("_key")), "_row")
-    first = F.struct(F.col("_key").isNull(), "_key", "_row")
-    kept = named.groupBy("component").agg(F.min(first).alias("m")).select(F.col("m._row").alias("_row"))
-    return rows.join(kept.hint("shuffle_hash"), "_row", "left_semi").select(*docs.columns)
+    row = fresh("_row", docs)
+    rows = numbered(docs, row)
+    named = near_groups(rows, row, text, radius).toDF("r", "c").join(rows.select(F.col(row).alias("r"), F.col(key).alias("k")), "r")
+    kept = written(named.groupBy("c").agg(F.min(F.struct(F.col("k").isNull(), "k", "r")).alias("m")).select(F.col("m.r").alias(row)))
+    return rows.join(kept.hint("shuffle_hash"), row, "left_semi").select(*docs.columns)

@@ -6,9 +6,10 @@ SimHash of simhash.py, and BANDS keys of DEEP min-wise hashes of the set each, o
 share 0.8 have one in common with probability 1 - (1 - 0.8 ** DEEP) ** BANDS = 0.9996. A pair links
 only if the Jaccard similarity of its sets, counted in full, is at least LEAST.
 
-Members of one key are not all compared at once, which would grow with the square of a tight group.
-Neighbours come first, then neighbours of different groups, and in the end every pair of one key
-that is in different groups still, so what all pairs of all keys would connect is connected.
+Members of one key are not all counted at once, which would grow with the square of a tight group.
+Neighbours come first, then neighbours of different groups, and in the end all that share a key and
+are in different groups still: their sketches of BITS bits are compared in blocks of BLOCK members,
+and pairs that may share 0.8 are counted in full, so what all pairs would connect is connected.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rulegrove.llm.common import numbered, written
+from rulegrove.llm.common import arrow_bounded, fresh, numbered, written
 from rulegrove.llm.components import components
 from rulegrove.llm.simhash import BYTES_PER_BATCH, WIDE_RADIUS, _wide_runs, _wide_variants, shingle_hashes, wide_fingerprints_of
 
@@ -33,6 +34,13 @@ DEEP = 5
 _RNG = np.random.default_rng(8)
 _XOR = _RNG.integers(0, 1 << 63, (BANDS, DEEP), np.uint64)
 _ODD = _RNG.integers(0, 1 << 63, (BANDS, DEEP), np.uint64) << np.uint64(1) | np.uint64(1)
+#: Sketches of one-bit min-wise hashes. Sets that share 0.8 differ in a tenth of the bits; in over FAR with probability 0.0001.
+BITS = 1024
+FAR = 138
+#: Members of a key that are compared in one task.
+BLOCK = 2048
+_SKETCH_XOR = _RNG.integers(0, 1 << 63, BITS, np.uint64)
+_SKETCH_ODD = _RNG.integers(0, 1 << 63, BITS, np.uint64) << np.uint64(1) | np.uint64(1)
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
@@ -87,30 +95,71 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([rows, pa.array([s.view(np.int64) for s in shingle_sets(texts)], pa.list_(pa.int64()))], names=["node", "set"])
 
 
+def sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """BITS one-bit min-wise hashes of each set, none of them empty, as rows of 64-bit words."""
+    starts = np.cumsum([0, *[len(s) for s in sets[:-1]]])
+    joined = np.concatenate(sets)
+    bits = np.empty((len(sets), BITS), np.uint8)
+    for i in range(BITS):
+        least = np.minimum.reduceat((joined ^ _SKETCH_XOR[i]) * _SKETCH_ODD[i], starts)
+        bits[:, i] = (least >> np.uint64(13)) & np.uint64(1)
+    return np.packbits(bits, axis=1).view(np.uint64)
+
+
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        own = [np.array(x, np.int64).view(np.uint64) for x in batch.column(1).to_pylist()]
+        full = [i for i, x in enumerate(own) if len(x)]
+        if full:
+            bits = [r.tobytes() for r in sketches([own[i] for i in full])]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(full)), pa.array(bits, pa.binary())], names=["node", "bits"])
+
+
+CROSSED = ("key", "i", "j", "block", "band", "component", "node", "bits", "keys")
+
+
 def _crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, component, node) by key and component. All pairs of one key and two components."""
+    """Rows CROSSED by (key, i, j). Pairs of blocks i and j in two components whose sketches are FAR bits apart at most.
+
+    A pair that shares several keys comes out once, at the first of them.
+    """
     held = None
 
-    def pairs(key, comp, node) -> Iterator[pa.RecordBatch]:
-        if not len(key):
-            return
-        cuts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (comp[1:] != comp[:-1]), True])
-        ends = np.searchsorted(key[cuts[:-1]], key[cuts[:-1]], side="right")
-        for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
-            others = node[b : cuts[ends[i]]]
-            for one in node[a:b] if len(others) else ():
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, others)), pa.array(np.maximum(one, others))], names=["a", "b"])
+    def pairs(block, band, comp, node, bits, keys) -> Iterator[pa.RecordBatch]:
+        low, high = block.min(), block.max()
+        left = np.flatnonzero(block == low)
+        for at in left.tolist():
+            others = np.flatnonzero(block == high) if high != low else np.arange(at + 1, len(node))
+            others = others[comp[others] != comp[at]]
+            others = others[np.bitwise_count(bits[others] ^ bits[at]).sum(axis=1) <= FAR]
+            others = others[(keys[others] == keys[at]).argmax(axis=1) == band[at]]
+            if len(others):
+                b = node[others]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[at], b)), pa.array(np.maximum(node[at], b))], names=["a", "b"])
+
+    def runs(cols, whole: bool):
+        """(columns of each run, what is left of the last one)."""
+        key = np.stack(cols[:3], axis=1)
+        cuts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1), True])
+        last = cuts[-1] if whole else cuts[-2]
+        spans = [(a, b) for a, b in zip(cuts[:-1], cuts[1:]) if b <= last]
+        return [[c[a:b] for c in cols[3:]] for a, b in spans if cols[1][a] == cols[2][a] or len(set(cols[3][a:b].tolist())) == 2], [c[last:] for c in cols]
 
     for batch in batches:
-        cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+        n = len(batch)
+        if not n:
+            continue
+        cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(7)]
+        cols.append(np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint64).reshape(n, -1))
+        cols.append(np.array(batch.column(8).to_pylist(), np.int64).reshape(n, BANDS))
         if held is not None:
             cols = [np.concatenate([h, c]) for h, c in zip(held, cols)]
-        if len(cols[0]):
-            last = np.searchsorted(cols[0], cols[0][-1])
-            held = [c[last:] for c in cols]
-            yield from pairs(*[c[:last] for c in cols])
+        done, held = runs(cols, False)
+        for run in done:
+            yield from pairs(*run)
     if held is not None:
-        yield from pairs(*held)
+        for run in runs(held, True)[0]:
+            yield from pairs(*run)
 
 
 def similar_groups(docs: DataFrame, row: str, text: str = "text") -> DataFrame:
@@ -118,16 +167,17 @@ def similar_groups(docs: DataFrame, row: str, text: str = "text") -> DataFrame:
 
     row: a unique long. Null and empty texts are one group; an empty table gives an empty result.
     """
+    arrow_bounded(docs.sparkSession)
     source = docs.select(F.col(row).alias("row"), F.col(text).cast("binary").alias("text"))
     marked = written(source.mapInArrow(_mark, MARKED))
-    least = marked.groupBy("d", "e").agg(F.min("row").alias("node"))
-    nodes = marked.join(least, ["d", "e"]).filter("row = node").select("node", "x", "y", "keys")
+    least = written(marked.groupBy("d", "e").agg(F.min("row").alias("node")))
+    nodes = marked.join(least.select("node").hint("merge"), F.col("row") == F.col("node")).select("node", "x", "y", "keys")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     variants = nodes.select("node", "x", "y").mapInArrow(_wide_variants, "variant long, node long, x long, y long")
     runs = variants.repartition(n, "variant").sortWithinPartitions("variant")
     ordered = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
     close = runs.mapInArrow(_wide_runs(WIDE_RADIUS), "a long, b long").select(*ordered("a", "b"))
-    keyed = nodes.select("node", F.explode("keys").alias("key"))
+    keyed = nodes.select("node", F.posexplode("keys").alias("band", "key"))
     beside = Window.partitionBy("key").orderBy("node")
     keyed = written(keyed.withColumn("before", F.lag("node").over(beside)).withColumn("after", F.lead("node").over(beside)).filter("before IS NOT NULL OR after IS NOT NULL"))
     pairs = written(close.union(keyed.filter("before IS NOT NULL").select(*ordered("before", "node"))).distinct())
@@ -142,31 +192,41 @@ def similar_groups(docs: DataFrame, row: str, text: str = "text") -> DataFrame:
     def grouped(links: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(components, members of keys that hold more than one of them)."""
         comps = written(components(links))
-        placed = keyed.select("key", "node").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        open_ = placed.groupBy("key").agg(F.min("component").alias("m"), F.max("component").alias("x")).filter("m <> x").select("key")
-        return comps, written(placed.join(open_, "key", "left_semi").select("key", "component", "node"))
+        placed = written(keyed.select("key", "band", "node").join(comps.hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node")))
+        shared = placed.groupBy("key").agg(F.min("component").alias("m"), F.max("component").alias("x"), F.count("*").alias("members")).filter("m <> x")
+        return comps, written(placed.join(written(shared.select("key", "members")).hint("merge"), "key"))
+
+    def beside(open_: DataFrame) -> DataFrame:
+        order = Window.partitionBy("key").orderBy("component", "node")
+        near = open_.withColumn("other", F.lag("node").over(order)).withColumn("c", F.lag("component").over(order))
+        return near.filter("c <> component").select(*ordered("node", "other"))
+
+    def crossed(open_: DataFrame) -> DataFrame:
+        """A key's members are dealt to blocks by hash; two blocks meet in one place."""
+        these = open_.select("node").distinct()
+        bits = written(sets.join(these.hint("merge"), "node", "left_semi").mapInArrow(_sketched, "node long, bits binary"))
+        full = open_.join(bits.hint("merge"), "node").join(nodes.select("node", "keys").hint("merge"), "node")
+        blocks = F.ceil(F.col("members") / BLOCK)
+        dealt = full.withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+        dealt = dealt.withColumn("i", F.least("block", "with")).withColumn("j", F.greatest("block", "with"))
+        return dealt.select(*CROSSED).repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_crossed, "a long, b long")
 
     links, tested = linked(pairs), pairs
     comps, open_ = grouped(links)
-    order = Window.partitionBy("key").orderBy("component", "node")
-    beside = open_.withColumn("other", F.lag("node").over(order)).withColumn("c", F.lag("component").over(order)).filter("c <> component")
-    for step in (1, 2):
-        if step == 2:
-            beside = open_.repartition(n, "key").sortWithinPartitions("key", "component").mapInArrow(_crossed, "a long, b long")
-        else:
-            beside = beside.select(*ordered("node", "other"))
-        fresh = written(beside.distinct().join(tested, ["a", "b"], "left_anti"))
-        if fresh.isEmpty():
+    for step in (beside, crossed):
+        more = written(step(open_).distinct().join(tested, ["a", "b"], "left_anti"))
+        if more.isEmpty():
             continue
-        links, tested = links.union(linked(fresh)), tested.union(fresh)
+        links, tested = links.union(linked(more)), tested.union(more)
         comps, open_ = grouped(links)
-    placed = least.join(comps, "node", "left").select("d", "e", F.coalesce("component", "node").alias("component"))
-    return marked.join(placed, ["d", "e"]).select(F.col("row").alias(row), "component")
+    placed = written(least.join(comps.hint("merge"), "node", "left").select("d", "e", F.coalesce("component", "node").alias("component")))
+    return marked.join(placed.hint("merge"), ["d", "e"]).select(F.col("row").alias(row), "component")
 
 
 def drop_similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with one row of each group of similar texts: the one with the smallest key (null keys last)."""
-    rows = numbered(docs, "_row")
-    named = similar_groups(rows, "_row", text).join(rows.select("_row", F.col(key).alias("_key")), "_row")
-    kept = named.groupBy("component").agg(F.min(F.struct(F.col("_key").isNull(), "_key", "_row")).alias("m")).select(F.col("m._row").alias("_row"))
-    return rows.join(kept.hint("shuffle_hash"), "_row", "left_semi").select(*docs.columns)
+    row = fresh("_row", docs)
+    rows = numbered(docs, row)
+    named = similar_groups(rows, row, text).toDF("r", "c").join(rows.select(F.col(row).alias("r"), F.col(key).alias("k")), "r")
+    kept = written(named.groupBy("c").agg(F.min(F.struct(F.col("k").isNull(), "k", "r")).alias("m")).select(F.col("m.r").alias(row)))
+    return rows.join(kept.hint("shuffle_hash"), row, "left_semi").select(*docs.columns)

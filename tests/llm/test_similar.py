@@ -50,9 +50,33 @@ def test_groups_are_those_of_exact_similarity(spark):
 
 
 def test_members_of_one_key_in_different_groups_are_all_compared():
+    import numpy as np
     import pyarrow as pa
 
-    key, comp, node = [1, 1, 1, 1, 2, 2, 3], [7, 7, 8, 9, 7, 7, 9], [7, 10, 8, 9, 7, 10, 9]
-    batches = [pa.record_batch([pa.array(c[a:b]) for c in (key, comp, node)], names=["k", "c", "n"]) for a, b in ((0, 2), (2, 5), (5, 7))]
+    comp = {7: 7, 10: 7, 8: 8, 9: 9, 11: 11}
+    far = {11}  # its sketch is far from the others'
+    keys = {x: [1, 2, *[100 * x + i for i in range(2, similar.BANDS)]] for x in comp}
+    keys[9][0] = 3  # shares the second key alone
+
+    def row(key, i, j, block, node):
+        bits = (np.zeros(similar.BITS // 8, np.uint8) + (255 if node in far else 0)).tobytes()
+        return key, i, j, block, keys[node].index(key), comp[node], node, bits, keys[node]
+
+    rows = [row(1, 0, 0, 0, x) for x in (7, 8, 11)] + [row(1, 0, 1, b, x) for b, x in ((0, 7), (0, 8), (0, 11), (1, 10))] + [row(1, 1, 1, 1, 10)]
+    rows += [row(2, 0, 0, 0, x) for x in (7, 10, 8, 9, 11)]
+    types = [pa.int64()] * 7 + [pa.binary(), pa.list_(pa.int64())]
+    batches = [pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows[a:b]), types)], names=similar.CROSSED) for a, b in ((0, 2), (2, 9), (9, 13))]
     got = sorted((r["a"], r["b"]) for b in similar._crossed(iter(batches)) for r in b.to_pylist())
     assert got == [(7, 8), (7, 9), (8, 9), (8, 10), (9, 10)]
+
+
+def test_sketches_estimate_similarity():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    a = rng.integers(0, 1 << 63, 1000, np.uint64)
+    for share in (0.6, 0.8, 0.95):
+        k = round(1000 * 2 * share / (1 + share))  # of 1000 in both
+        b = np.r_[a[:k], rng.integers(0, 1 << 63, 1000 - k, np.uint64)]
+        x, y = similar.sketches([a, b])
+        assert abs(np.bitwise_count(x ^ y).sum() / similar.BITS - (1 - share) / 2) < 0.045

@@ -10,7 +10,8 @@ What passes CANDIDATE is verified on the words themselves: the longest common su
 item and a stretch of at most one and a half times its length, and for paraphrases the answer (the
 item's last words) as well.
 
-Texts and items are lower-cased. Items are handled in rounds of at most ITEMS, so what each round ships to the tasks is bounded.
+Texts and items are lower-cased. Items are handled in rounds of at most some ITEMS and ROUND_BYTES, one
+round after the other, so what the driver and the tasks hold of the benchmark is bounded.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rulegrove.llm.common import table
+from rulegrove.llm.common import arrow_bounded, fresh, numbered, table, written
 
 BLOCK = 16
 TERMS = 1 << 13
@@ -40,7 +41,11 @@ ANSWER = 0.75
 #: Items longer than this are searched by pieces.
 ITEM_PIECE = 48
 ITEMS = 20_000
-BYTES_PER_BATCH = 1_500_000
+#: Items are also split into rounds of at most so many bytes in all.
+ROUND_BYTES = 32_000_000
+#: Places where item words are found that are held at once.
+PLACES = 1_000_000
+BYTES_PER_BATCH = 400_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
@@ -178,6 +183,7 @@ def _added(key, rows):
 
 def latent_space(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, np.ndarray] | None:
     """(term weights, TERMS x at most RANK, and term frequencies). A passage's sum of weights is its whitened place."""
+    arrow_bounded(docs.sparkSession)
     sums = docs.select(F.lower(F.col(text)).cast("binary").alias("_t")).mapInArrow(_sketch, "piece int, sums binary, n long")
     some = sums.withColumn("salt", F.spark_partition_id() % 256).groupBy("piece", "salt").applyInArrow(_added, "piece int, sums binary, n long")
     rows = some.groupBy("piece").applyInArrow(_added, "piece int, sums binary, n long").collect()  # PIECES rows
@@ -285,8 +291,29 @@ class Benchmark:
         """Keys text * items + item, sorted, and places where enough of an item's words begin close together."""
         at = np.flatnonzero(self.seen[(h >> np.uint64(44)).astype(np.int64)])
         lo, hi = np.searchsorted(self.key, h[at], side="left"), np.searchsorted(self.key, h[at], side="right")
+        total = int((hi - lo).sum())
+        if total <= PLACES:
+            return self._close(self.owner, at, lo, hi, text)
+        # a word that many items share: a few items at a time, each with all its places
+        change = np.zeros(len(self.key) + 1, np.int64)
+        np.add.at(change, lo, 1)
+        np.add.at(change, hi, -1)
+        of_item = np.bincount(self.owner, weights=np.cumsum(change)[:-1], minlength=len(self.items))
+        group = (np.cumsum(of_item) // PLACES).astype(np.int64)
+        parts = []
+        for g in np.unique(group[of_item > 0]).tolist():
+            mine = group[self.owner] == g
+            before = np.r_[0, np.cumsum(mine)]
+            some = before[hi] > before[lo]
+            parts.append(self._close(self.owner[mine], at[some], before[lo[some]], before[hi[some]], text))
+        key, place = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((place, key))
+        return key[order], place[order]
+
+    def _close(self, owner: np.ndarray, at: np.ndarray, lo: np.ndarray, hi: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the words at places `at`, which the items owner[lo:hi] hold: those that begin a stretch with enough of them."""
         n = hi - lo
-        item = self.owner[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
+        item = owner[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
         place = np.repeat(at, n)
         key = text[place] * len(self.items) + item
         order = np.argsort(key, kind="stable")  # places stay in order
@@ -356,43 +383,60 @@ def search(texts: list[bytes], bench: Benchmark) -> list[list[dict]]:
     return out
 
 
-def matched(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
-    """docs with `matches`: array of struct(item_id, share, cosine), empty for clean rows.
+def _finder(spark, bench: Benchmark):
+    """(column function from a text to its matches, broadcast that it reads)."""
+    held = spark.sparkContext.broadcast(bench)
+
+    @F.arrow_udf(MATCHES)
+    def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = held.value
+        for column in batches:
+            hits = [x for _, texts in _batches(column) for x in search(texts, own)]
+            yield pa.array(hits, _MATCH)
+
+    find = find.asNondeterministic()  # runs once, wherever its result is used
+    return lambda text: find(F.lower(F.col(text)).cast("binary")), held
+
+
+def matched(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", into: str = "matches") -> DataFrame:
+    """docs with `into`: array of struct(item_id, share, cosine), empty for clean rows.
 
     Items without words match nothing; equal items are searched once and all reported. Null and
     empty texts are clean. Every row is searched on its own, whole; repeated rows get equal matches.
-    An empty benchmark or table gives no matches. A column named `matches` is replaced.
+    An empty benchmark or table gives no matches. A column of that name is replaced; all others
+    stay, whatever they are called. A benchmark of several rounds numbers and writes the rows once.
     """
-    kept = [c for c in docs.columns if c != "matches"]
-    out = docs.select(*kept)
+    spark = docs.sparkSession
+    arrow_bounded(spark)
+    none = F.expr(f"CAST(array() AS {MATCHES})")
     fitted = latent_space(docs, text)
     once = benchmark.filter(F.col(item_text).isNotNull()).groupBy(F.lower(F.col(item_text)).alias("t")).agg(F.sort_array(F.collect_list(F.col(item).cast("long"))).alias("ids"))
-    n = once.count()
-    rounds = -(-n // ITEMS) if fitted is not None else 0
-    steps = []
+    size = once.agg(F.count("*").alias("n"), F.sum(F.octet_length("t")).alias("bytes")).first()
+    rounds = max(-(-size.n // ITEMS), -(-(size.bytes or 0) // ROUND_BYTES)) if fitted is not None else 0
+    if not rounds:
+        return docs.withColumn(into, none)
+
+    def finder(k: int):
+        part = once.filter(F.pmod(F.xxhash64("t"), F.lit(rounds)) == k) if rounds > 1 else once
+        return _finder(spark, Benchmark([(r.ids, r.t) for r in part.orderBy("t").collect()], *fitted))
+
+    if rounds == 1:
+        return docs.withColumn(into, finder(0)[0](text))
+    row, hit = fresh("_row", docs), fresh("_hit", docs)
+    rows, found = numbered(docs, row), None
     for k in range(rounds):
-        part = once.filter(F.pmod(F.xxhash64("t"), F.lit(rounds)) == k)
-        steps.append(docs.sparkSession.sparkContext.broadcast(Benchmark([(r.ids, r.t) for r in part.orderBy("t").collect()], *fitted)))
-    if not steps:
-        return out.withColumn("matches", F.expr(f"CAST(array() AS {MATCHES})"))
-    at = len(kept)
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for start, texts in _batches(b.column(at)):
-                hits: list[list[dict]] = [[] for _ in texts]
-                for step in steps:
-                    hits = [x + y for x, y in zip(hits, search(texts, step.value))]
-                own = [b.column(i).slice(start, len(texts)) for i in range(at)]
-                yield pa.RecordBatch.from_arrays([*own, pa.array(hits, _MATCH)], names=[*kept, "matches"])
-
-    schema = out.withColumn("matches", F.expr(f"CAST(array() AS {MATCHES})")).schema
-    return docs.select(*kept, F.lower(F.col(text)).cast("binary").alias("_bytes_of_text")).mapInArrow(scan, schema)
+        find, held = finder(k)
+        some = written(rows.select(row, find(text).alias(hit)).filter(F.size(hit) > 0))
+        held.destroy()
+        found = some if found is None else found.union(some)
+    every = written(found.groupBy(row).agg(F.flatten(F.collect_list(hit)).alias(hit)))
+    return rows.join(every, row, "left").withColumn(into, F.coalesce(hit, none)).select(*[c for c in docs.columns if c != into], into)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """docs without the rows that match a benchmark item."""
-    return matched(docs, benchmark, text).filter(F.size("matches") == 0).select(*[c for c in docs.columns if c != "matches"])
+    into = fresh("_matches", docs)
+    return matched(docs, benchmark, text, into=into).filter(F.size(into) == 0).select(*docs.columns)
 
 
 def op10_decontamination(spark, sf_dir):

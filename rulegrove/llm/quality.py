@@ -279,7 +279,7 @@ def scored(docs: DataFrame, model: GatedAttention, text: str = "text", into: str
                 parts.append(own.score(x, doc, len(part)))
             yield pa.array(np.concatenate(parts), pa.float64())
 
-    return docs.withColumn(into, score(F.col(text).cast("binary")))
+    return docs.withColumn(into, score.asNondeterministic()(F.col(text).cast("binary")))  # runs once, wherever the score is used
 
 
 def quality_scores(docs: DataFrame, model: GatedAttention, key: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -17,10 +17,13 @@ MAX_ROUNDS = 60
 
 
 def _with_minimum(edges: DataFrame) -> DataFrame:
-    """Directed edges (a, b) with m, the least of a and its neighbours."""
-    least = edges.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-    # written, so that the join sees plain rows of a hot node and can split them over tasks
-    return edges.join(written(least).hint("merge"), "a")
+    """Directed edges (a, b) with m, the least of a and its neighbours.
+
+    The join's key is ~a, not a: so both of its sides are shuffled for it alone, after the minima
+    are known, and adaptive execution can split the edges of a hot node over tasks.
+    """
+    least = edges.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")).select(F.bitwise_not("a").alias("k"), "m")
+    return edges.withColumn("k", F.bitwise_not("a")).join(least.hint("merge"), "k").drop("k")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -40,13 +43,13 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node that has a link; component is the least node reachable.
 
     Self-links, repeated links and links with a null end are ignored; an empty table gives an empty
-    result. Ends may be of any ordered type.
+    result. Ends are whole numbers.
     """
     edges = links.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b").distinct()
     edges = written(edges)
     mark = None
     for _ in range(MAX_ROUNDS):
-        edges = written(_small_star(written(_large_star(edges).distinct())).filter("a <> b").distinct())
+        edges = written(_small_star(_large_star(edges).distinct()).filter("a <> b").distinct())
         seen = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if (seen.n, seen.h) == mark:
             break

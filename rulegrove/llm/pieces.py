@@ -18,26 +18,32 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import math
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rulegrove.llm.common import table
+from rulegrove.llm.common import arrow_bounded, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = re.compile(r"\n| *[^ \n]+| +")
 BLANK, LITERAL = 0x2581, 0x110000
-LONGEST = 16
 ZIPF = 2.7
 SAMPLES = 2
-TEXT_PER_STEP = 2_000_000
-#: What is left of a word's mass below this is rounding; segmentations that rare count as none.
-LEFT = 1e-12
+TEXT_PER_STEP = 1_000_000
+#: Lattices are kept for the next texts until they have more nodes than this.
+NODES_KEPT = 2_000_000
+#: Where less than this is left of a word's mass beside a segmentation, it is summed over the others, if the cell matters at all.
+SUMMED = 1e-6
+#: More than rounding adds to what is left.
+ROUNDING = 1e-9
 _M = np.uint64(0x9E3779B97F4A7C15)
 _MI = np.uint64(pow(int(_M), -1, 1 << 64))
 _FILTER_BITS = 18
@@ -59,6 +65,11 @@ def uniforms(seed: np.ndarray, *counters) -> np.ndarray:
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
 
 
+def _step(n: int) -> np.uint64:
+    """_M times n + 1, wrapped."""
+    return np.uint64((n + 1) * int(_M) & 0xFFFFFFFFFFFFFFFF)
+
+
 def seed_of(key) -> int:
     return int.from_bytes(hashlib.blake2b(repr(key).encode(), digest_size=8).digest(), "little")
 
@@ -75,20 +86,23 @@ class Vocabulary:
         for i, p in enumerate(pieces):
             if sp.is_byte(i):
                 self.byte_ids[int(p[3:5], 16)] = i
-            elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)) and p and len(p) <= LONGEST:
+            elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)) and p:
                 normal.append((i, p))
         for _, p in normal:
             if "\n" in p or " " in p or "▁" in p.lstrip("▁"):
                 raise ValueError("a piece crosses a word boundary")
+        self.longest = max((len(p) for _, p in normal), default=1)
+        self.width = -(-self.longest // 8) * 8
         rank = np.arange(n, dtype=np.float64)
         self.logp = -np.log(rank + ZIPF)
         self.logp -= np.log(np.exp(self.logp).sum())
         self.byte_logp = float(self.logp[-1])
+        self.logs = self.logp.tolist()
         self.bytes_of = [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        up = np.multiply.accumulate(np.r_[np.uint64(1), np.full(LONGEST, _M, np.uint64)])
+        up = np.multiply.accumulate(np.r_[np.uint64(1), np.full(self.longest, _M, np.uint64)])
         self.tables, self.begun = [], []
         points_of = [np.array([ord(c) for c in p], np.uint64) for _, p in normal]
-        for size in range(1, LONGEST + 1):
+        for size in range(1, self.longest + 1):
             own = [(i, np.array([ord(c) for c in p], np.uint64)) for i, p in normal if len(p) == size]
             h = np.array([int(((cps + np.uint64(1)) * up[:size]).sum()) for _, cps in own], np.uint64)
             ids = np.array([i for i, _ in own], np.int32)
@@ -129,21 +143,32 @@ def _power(base, name: str, n: int) -> np.ndarray:
 class Lattices:
     """The lattices of distinct words. Node of word w at character i: node[w] + i; edges by length."""
 
-    def __init__(self, voc: Vocabulary, words: list[str]):
-        sizes = np.array([len(w) for w in words], np.int64)
-        self.sizes = sizes
+    def __init__(self, voc: Vocabulary, words: list[str] = ()):
+        self.voc = voc
+        self.sizes, self.node, self.single = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+        # edges of node i are those from edge[i] to edge[i + 1], by length; cum: shares of a node's edges up to each
+        self.edge, self.beta = np.zeros(1, np.int64), np.zeros(0)
+        self.code, self.length, self.cum = np.zeros(0, np.int32), np.zeros(0, np.uint8), np.zeros(0)
+        self._shares: dict[int, list[tuple[int, float]]] = {}
+        if words:
+            self.add(words)
+
+    def add(self, words: list[str]) -> None:
+        """Set up more words; those set up before keep their numbers."""
+        voc, sizes = self.voc, np.array([len(w) for w in words], np.int64)
         cps = points("".join(words))
         n = len(cps)
         ends = np.cumsum(sizes)
-        self.node = ends - sizes
+        first = ends - sizes
         rem = np.repeat(ends, sizes) - np.arange(n)  # characters to the word's end
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum((cps + np.uint64(1)) * _power(_M, "up", n), out=sums[1:])
         down = _power(_MI, "down", n + 1)
-        self.piece = np.full((n, LONGEST), -1, np.int32)
-        logp = np.full((n, LONGEST), -np.inf)
+        width = voc.width
+        piece = np.full((n, width), -1, np.int32)
+        logp = np.full((n, width), -np.inf)
         live = np.arange(n)
-        for size in range(1, LONGEST + 1):
+        for size in range(1, voc.longest + 1):
             h_all, ids, seen = voc.tables[size - 1]
             if size > 1:
                 live = live[rem[live] >= size]
@@ -159,21 +184,21 @@ class Lattices:
             where = np.minimum(np.searchsorted(h_all, h), len(h_all) - 1)
             hit = h_all[where] == h
             at, ids = at[hit], ids[where[hit]]
-            self.piece[at, size - 1] = ids
+            piece[at, size - 1] = ids
             logp[at, size - 1] = voc.logp[ids]
         # characters without a piece are spelled in bytes: coded as -2 - code point
-        bare = np.flatnonzero(self.piece[:, 0] < 0)
+        bare = np.flatnonzero(piece[:, 0] < 0)
         real = np.where(cps[bare] == LITERAL, BLANK, cps[bare]).astype(np.int64)
-        self.piece[bare, 0] = -2 - real
-        logp[bare, 0] = voc.byte_logp * (1 + (real > 0x7F) + (real > 0x7FF) + (real > 0xFFFF))
+        piece[bare, 0] = -2 - real
+        logp[bare, 0] = voc.byte_logp * _utf8_sizes(real)
         beta = np.zeros(n + 1)  # log mass from a node to its word's end
-        cum = np.full((n, LONGEST), 2, np.float32)
+        cum = np.empty((n, width))
         order = np.argsort(rem, kind="stable")
-        steps = np.arange(1, LONGEST + 1)
+        steps = np.arange(1, width + 1)
         cut = np.searchsorted(rem[order], np.arange(1, int(rem.max(initial=0)) + 2))
         for d in range(1, len(cut)):
             rows = order[cut[d - 1] : cut[d]]
-            w = min(d, LONGEST)
+            w = min(d, width)
             ahead = beta[rows[:, None] + steps[:w]]
             if w == d:
                 ahead[:, w - 1] = 0.0
@@ -183,48 +208,62 @@ class Lattices:
             total = e.sum(axis=1)
             beta[rows] = top + np.log(total)
             share = np.cumsum(e, axis=1) / total[:, None]
-            # the last edge takes what rounding leaves
-            last = w - 1 - np.argmax(e[:, ::-1] > 0, axis=1)
-            share[steps[:w] > last[:, None]] = 2
             cum[rows, :w] = share
-        self.voc, self.beta, self.cum, self.ends = voc, beta, cum, ends
-        self.total = beta[self.node]  # log mass of each word
+            cum[rows, w - 1 - np.argmax(e[:, ::-1] > 0, axis=1)] = 1  # the last edge takes what rounding leaves
+        rows, cols = np.nonzero(piece != -1)
+        each = np.bincount(rows, minlength=n)
+        #: Words of one segmentation: every node has one edge.
+        single = np.add.reduceat(each, first) == sizes
+        self.node = np.r_[self.node, len(self.beta) + first]
+        self.sizes, self.single = np.r_[self.sizes, sizes], np.r_[self.single, single]
+        self.edge, self.beta = np.r_[self.edge, self.edge[-1] + np.cumsum(each)], np.r_[self.beta, beta[:n]]
+        self.code, self.cum = np.r_[self.code, piece[rows, cols]], np.r_[self.cum, cum[rows, cols]]
+        self.length = np.r_[self.length, (cols + 1).astype(np.uint8)]
+        self.total = self.beta[self.node]  # log mass of each word
 
     def log_weights(self, codes: np.ndarray) -> np.ndarray:
         out = self.voc.logp[np.maximum(codes, 0)]
         bare = np.flatnonzero(codes < 0)
         if len(bare):
-            real = -2 - codes[bare].astype(np.int64)
-            out[bare] = self.voc.byte_logp * (1 + (real > 0x7F) + (real > 0x7FF) + (real > 0xFFFF))
+            out[bare] = self.voc.byte_logp * _utf8_sizes(-2 - codes[bare].astype(np.int64))
         return out
 
-    def shares(self, at: int, end: int) -> np.ndarray:
-        """Probability of each edge of a node of a word that ends at `end`."""
-        out = np.zeros(LONGEST)
-        edge = np.flatnonzero(self.piece[at] != -1)
-        ahead = np.where(at + edge + 1 < end, self.beta[at + edge + 1], 0.0)
-        out[edge] = np.exp(self.log_weights(self.piece[at, edge]) + ahead - self.beta[at])
+    def _log_weight(self, code: int) -> float:
+        return self.voc.logs[code] if code >= 0 else self.voc.byte_logp * len(chr(-2 - code).encode())
+
+    def shares(self, at: int, end: int) -> list[tuple[int, float]]:
+        """(length, probability) of each edge of a node of a word that ends at `end`."""
+        out = self._shares.get(at)
+        if out is None:
+            here = float(self.beta[at])
+            a, b = int(self.edge[at]), int(self.edge[at + 1])
+            own = list(zip(self.length[a:b].tolist(), self.code[a:b].tolist()))
+            ahead = [0.0 if at + n >= end else float(self.beta[at + n]) for n, _ in own]
+            out = self._shares[at] = [(n, math.exp(self._log_weight(c) + x - here)) for (n, c), x in zip(own, ahead)]
         return out
 
-    def draw(self, word: np.ndarray, seed: np.ndarray, sample, place: np.ndarray):
-        """Independent segmentations: (piece codes, pieces of each occurrence, log probability of each)."""
+    def draw(self, word: np.ndarray, base: np.ndarray):
+        """Independent segmentations: (piece codes, pieces of each occurrence, log probability of each).
+
+        base: a well-mixed number of each occurrence's own.
+        """
         n = len(word)
-        at, end = self.node[word].copy(), (self.node + self.sizes)[word]
+        at, end = self.node[word], (self.node + self.sizes)[word]
         count = np.zeros(n, np.int64)
         live = np.arange(n)
-        base = mixed(mixed(seed + _M * np.array([int(sample) + 1], np.uint64)) + _M * (place.astype(np.uint64) + np.uint64(1)))
         rounds = []
         step = 0
         while len(live):
-            # a mixed word times an odd number of its own per step
-            odd = np.uint64(int(mixed(np.array([step + 1], np.uint64))[0]) | 1)
-            u = ((base[live] * odd) >> np.uint64(40)).astype(np.float32) * np.float32(2.0**-24)
+            u = ((mixed(base[live] + _step(step)) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
             here = at[live]
-            passed = np.bitwise_count((self.cum[here] <= u[:, None]).view(np.uint64))
-            edge = (passed[:, 0] + passed[:, 1]).astype(np.int64)
-            rounds.append((live, self.piece[here, edge]))
+            edge = self.edge[here]
+            on = np.flatnonzero(self.cum[edge] <= u)
+            while len(on):
+                edge[on] += 1
+                on = on[self.cum[edge[on]] <= u[on]]
+            rounds.append((live, self.code[edge]))
             count[live] += 1
-            here += edge + 1
+            here += self.length[edge]
             at[live] = here
             live = live[here < end[live]]
             step += 1
@@ -233,63 +272,86 @@ class Lattices:
         for k, (who, code) in enumerate(rounds):
             out[first[who] + k] = code
         score = np.add.reduceat(self.log_weights(out), first) if n else np.zeros(0)
-        return out, count, score - self.total[word]
+        return out, count, np.minimum(score - self.total[word], 0)
+
+    def others(self, word: int, paths: list[tuple[int, ...]]) -> list[list]:
+        """Trie of distinct segmentations of a word (edge lengths): [node, child by edge, share that is on none of them].
+
+        Shares are sums of what the other edges have, so they are right however little is left.
+        """
+        end = int(self.node[word] + self.sizes[word])
+        trie: list[list] = [[int(self.node[word]), {}, 0.0]]
+        for path in paths:
+            here = 0
+            for edge in path:
+                if edge not in trie[here][1]:
+                    trie[here][1][edge] = len(trie)
+                    trie.append([trie[here][0] + edge, {}, 0.0])
+                here = trie[here][1][edge]
+        for node in reversed(trie):
+            if node[0] < end:
+                node[2] = sum(p * (trie[node[1][edge]][2] if edge in node[1] else 1.0) for edge, p in self.shares(node[0], end))
+        return trie
 
     def draw_other(self, word: int, taken: list[tuple[int, ...]], us: Iterator[float]) -> tuple[tuple[int, ...], float]:
         """One segmentation of a word other than those taken (edge lengths), and its log probability."""
         at, end = int(self.node[word]), int(self.node[word] + self.sizes[word])
-        live = [(t, self._mass(at, end, t)) for t in taken]
+        trie = self.others(word, taken)
+        here: int | None = 0
         path: list[int] = []
         total = 0.0
         while at < end:
-            shares = self.shares(at, end)
-            weights = shares.copy()
-            for t, m in live:
-                weights[t[len(path)] - 1] -= m
-            weights = np.maximum(weights, 0)
-            if weights.sum() <= 0:  # rounding: nothing but taken ones is left
-                weights = (shares > 0).astype(float)
-            c = np.cumsum(weights)
-            edge = int(np.searchsorted(c, next(us) * c[-1], side="right"))
-            edge = min(edge, int(np.flatnonzero(weights)[-1]))
-            p = float(shares[edge])
-            live = [(t, m / p) for t, m in live if t[len(path)] == edge + 1]
-            path.append(edge + 1)
-            total += np.log(p)
-            at += edge + 1
+            kids = {} if here is None else trie[here][1]
+            edges = [(edge, p, p * trie[kids[edge]][2] if edge in kids else p) for edge, p in self.shares(at, end)]
+            left = next(us) * sum(w for _, _, w in edges)
+            for edge, p, w in edges:
+                if w > 0:
+                    chosen, share = edge, p
+                    left -= w
+                    if left < 0:
+                        break
+            here = kids.get(chosen)
+            path.append(chosen)
+            total += float(np.log(share))
+            at += chosen
         return tuple(path), total
 
-    def _mass(self, at: int, end: int, path: tuple[int, ...]) -> float:
-        m = 1.0
-        for size in path:
-            m *= self.shares(at, end)[size - 1]
-            at += size
-        return m
-
     def codes(self, word: int, path: tuple[int, ...]) -> list[int]:
         at, out = int(self.node[word]), []
         for size in path:
-            out.append(int(self.piece[at, size - 1]))
+            a, b = int(self.edge[at]), int(self.edge[at + 1])
+            out.append(int(self.code[a + int(np.searchsorted(self.length[a:b], size))]))
             at += size
         return out
 
 
-def spelled(voc: Vocabulary, codes: np.ndarray) -> np.ndarray:
-    """Piece ids of codes; characters without a piece become byte pieces."""
+def _utf8_sizes(points_: np.ndarray) -> np.ndarray:
+    return 1 + (points_ > 0x7F) + (points_ > 0x7FF) + (points_ > 0xFFFF)
+
+
+def spelled(voc: Vocabulary, codes: np.ndarray, counts: np.ndarray | None = None):
+    """Piece ids of codes; characters without a piece become byte pieces. With counts also those of the ids."""
+    sizes = np.ones(len(codes), np.int64)
     bare = np.flatnonzero(codes < 0)
-    if not len(bare):
-        return codes
-    parts, at = [], 0
-    for i in bare.tolist():
-        parts.append(codes[at:i])
-        parts.append(voc.byte_ids[list(chr(-2 - int(codes[i])).encode())].astype(np.int32))
-        at = i + 1
-    parts.append(codes[at:])
-    return np.concatenate(parts)
-
-
-def truncated(phi, bound: float, u):
-    """A Gumbel of location phi below bound."""
+    out = codes
+    if len(bare):
+        real = -2 - codes[bare].astype(np.int64)
+        own = _utf8_sizes(real)
+        sizes[bare] = own
+        out = np.repeat(codes, sizes)
+        first = (np.cumsum(sizes) - sizes)[bare]
+        for j in range(int(own.max())):
+            some = own > j
+            value = real[some] >> 6 * (own[some] - 1 - j)
+            lead = np.where(own[some] == 1, 0, 0xF00 >> own[some] & 0xFF) if j == 0 else 0x80
+            out[first[some] + j] = voc.byte_ids[value | lead if j == 0 else value & 0x3F | lead]
+    if counts is None:
+        return out
+    return out, np.add.reduceat(sizes, np.cumsum(counts) - counts) if len(counts) else counts
+
+
+def truncated(phi, bound, u):
+    """Gumbels of location phi below bound."""
     return -np.logaddexp(-bound, np.log(-np.log(u)) - phi)
 
 
@@ -304,9 +366,20 @@ class Sample:
         return tuple(voc_len(c) for c in self.codes[self.first[w] : self.first[w] + self.counts[w]].tolist())
 
 
+class _Text:
+    """A text on its way: word numbers, samples found and a heap of open cells."""
+
+    def __init__(self, place: int, seed: int, word: np.ndarray):
+        self.place, self.seed, self.word = place, seed, word
+        self.found: list[Sample] = []
+        self.heap: list[tuple] = []
+        self.begin, self.taken, self.parent, self.value = 0, [], None, 0.0
+
+
 class Encoder:
     def __init__(self, path: str, k: int):
         self.voc, self.k = vocabulary(path), k
+        self.lat: Lattices | None = None  # kept from call to call
         self.size_of = np.ones(len(self.voc.bytes_of), np.int64)
         for i, b in enumerate(self.voc.bytes_of):
             self.size_of[i] = max(1, len(b.decode("utf-8", "replace")))
@@ -316,87 +389,118 @@ class Encoder:
 
     def encode(self, keys: list, texts: list[str]) -> list[list[tuple[np.ndarray, float, float, float]]]:
         """Per text up to k of (ids, log probability, perturbed value, log inclusion), best first."""
-        known: dict[str, int] = {}
-        words: list[int] = []
-        counts = []
-        for t in texts:
-            own = [known.setdefault(c, len(known)) for c in CHUNK.findall(" " + t)] if t else []
-            words += own
-            counts.append(len(own))
-        word = np.array(words, np.int64)
-        count = np.array(counts, np.int64)
-        seeds = np.array([seed_of(k) for k in keys], np.uint64)
-        if not len(word):
-            return [[(np.zeros(0, np.int32), 0.0, 0.0, 0.0)] for _ in texts]
-        lat = Lattices(self.voc, list(known))
-        first = np.cumsum(count) - count
-        place = np.arange(len(word)) - np.repeat(first, count)
-        codes, pieces, scores = lat.draw(word, np.repeat(seeds, count), 0, place)
-        ends = np.cumsum(pieces)
-        out = []
-        for i in range(len(texts)):
-            a, b = int(first[i]), int(first[i] + count[i])
-            if a == b:
-                out.append([(np.zeros(0, np.int32), 0.0, 0.0, 0.0)])
-                continue
-            lo, hi = int(ends[a] - pieces[a]), int(ends[b - 1])
-            value = -float(np.log(-np.log(uniforms(seeds[i], 0, 0xFFFFFFFF)))[0])
-            top = Sample(codes[lo:hi], pieces[a:b], scores[a:b], value)
-            out.append(self._rest(lat, word[a:b], int(seeds[i]), top))
+        if self.lat is None or len(self.lat.beta) > NODES_KEPT:
+            self.lat, self.known = Lattices(self.voc), defaultdict()
+            self.known.default_factory = self.known.__len__
+        lat, number, before = self.lat, self.known.__getitem__, len(self.known)
+        words = [np.fromiter(map(number, CHUNK.findall(" " + t)), np.int64) if t else np.zeros(0, np.int64) for t in texts]
+        out: list = [[(np.zeros(0, np.int32), 0.0, 0.0, 0.0)] for _ in texts]
+        open_ = [_Text(i, seed_of(k), w) for i, (k, w) in enumerate(zip(keys, words)) if len(w)]
+        if not open_:
+            return out
+        if len(self.known) > before:
+            lat.add(list(islice(self.known, before, None)))
+        every = open_
+        for n in range(self.k):
+            self._sample(lat, open_, n)
+            self._cells(lat, open_, n)
+            open_ = [t for t in open_ if t.heap]
+        samples = [x for t in every for x in t.found]
+        ids, sizes = spelled(self.voc, np.concatenate([x.codes for x in samples]), np.array([len(x.codes) for x in samples]))
+        ids = iter(np.split(ids, np.cumsum(sizes)[:-1]))
+        for t in every:
+            threshold = -t.heap[0][0] if t.heap else -np.inf
+            rows = []
+            for x in t.found:
+                logp = float(x.scores.sum())
+                lift = logp - threshold
+                inclusion = lift if lift < -30 else float(np.log(-np.expm1(-np.exp(min(lift, 700)))))
+                rows.append((next(ids), logp, float(x.value), inclusion))
+            out[t.place] = rows
         return out
 
-    def _cells(self, found: list[Sample], s: int, begin: int, taken: list, mass: float, seed: int) -> list[tuple]:
-        """The best cells that sample s leaves: (-value, sample, word, taken paths, their mass)."""
-        own = found[s]
-        p = np.exp(np.minimum(own.scores, 0))
-        gone = p.copy()
-        gone[:begin] = 1
-        gone[begin] += mass
-        left = 1 - gone
-        before = np.cumsum(own.scores) - own.scores
-        at = np.flatnonzero(left > LEFT)
-        if not len(at):
-            return []
-        u = uniforms(np.full(len(at), seed, np.uint64), np.uint64(s), np.uint64(0xFFFFFFFE), at)
-        values = truncated(before[at] + np.log(left[at]), own.value, u)
-        best = np.argsort(-values, kind="stable")[: self.k + 1]
-        return [(-float(values[j]), s, int(at[j]), taken if at[j] == begin else [], mass if at[j] == begin else 0.0) for j in best]
-
-    def _rest(self, lat: Lattices, word: np.ndarray, seed: int, top: Sample):
-        found = [top]
-        heap: list[tuple] = []
-        begin, taken, mass = 0, [], 0.0
-        while True:
-            for cell in self._cells(found, len(found) - 1, begin, taken, mass, seed):
-                heapq.heappush(heap, cell)
-            if len(found) == self.k or not heap:
-                break
-            value, s, w, old, old_mass = heapq.heappop(heap)
-            parent = found[s]
-            path = parent.path(w, self._length)
-            taken, mass, begin = [*old, path], old_mass + float(np.exp(parent.scores[w])), w
-            n = len(found)
-            us = (float(u) for i in range(1 << 20) for u in uniforms(np.uint64(seed), n, 0xFFFFFFFD, np.arange(16 * i, 16 * i + 16)))
-            other, score = lat.draw_other(int(word[w]), taken, us)
-            tail = word[w + 1 :]
-            codes, pieces, scores = lat.draw(tail, np.full(len(tail), seed, np.uint64), n, np.arange(w + 1, len(word)))
-            cut = int(parent.first[w])
-            found.append(
-                Sample(
-                    np.concatenate([parent.codes[:cut], np.array(lat.codes(int(word[w]), other), np.int32), codes]),
-                    np.concatenate([parent.counts[:w], [len(other)], pieces]),
-                    np.concatenate([parent.scores[:w], [score], scores]),
-                    -value,
+    def _sample(self, lat: Lattices, texts: list[_Text], n: int) -> None:
+        """The n-th sample of each text: the perturbed maximum, then the best open cell's."""
+        if not texts:
+            return
+        for t in texts:
+            t.begin, t.taken, t.parent, t.value = 0, [], None, 0.0
+            if n:
+                value, s, t.begin, old = heapq.heappop(t.heap)
+                t.parent, t.value = t.found[s], -value
+                t.taken = [*old, t.parent.path(t.begin, self._length)]
+        skip = 1 if n else 0
+        tails = [t.word[t.begin + skip :] for t in texts]
+        sizes = [len(w) for w in tails]
+        seeds = mixed(np.array([t.seed for t in texts], np.uint64) + _step(n))
+        place = np.concatenate([np.arange(t.begin + skip, len(t.word)) for t in texts])
+        base = mixed(np.repeat(seeds, sizes) + _M * (place.astype(np.uint64) + np.uint64(1)))
+        codes, pieces, scores = lat.draw(np.concatenate(tails), base)
+        ends = np.cumsum(sizes)
+        stops = np.r_[0, np.cumsum(pieces)]
+        for t, a, b in zip(texts, (ends - sizes).tolist(), ends.tolist()):
+            own = codes[stops[a] : stops[b]], pieces[a:b], scores[a:b]
+            if n:
+                w, up = t.begin, t.parent
+                us = (float(u) for i in range(1 << 40) for u in uniforms(np.uint64(t.seed), n, 0xFFFFFFFD, np.arange(16 * i, 16 * i + 16)))
+                other, score = lat.draw_other(int(t.word[w]), t.taken, us)
+                own = (
+                    np.concatenate([up.codes[: int(up.first[w])], np.array(lat.codes(int(t.word[w]), other), np.int32), own[0]]),
+                    np.concatenate([up.counts[:w], [len(other)], own[1]]),
+                    np.concatenate([up.scores[:w], [score], own[2]]),
                 )
-            )
-        threshold = -heap[0][0] if heap else -np.inf
-        out = []
-        for x in found:
-            logp = float(x.scores.sum())
-            lift = logp - threshold
-            inclusion = lift if lift < -30 else float(np.log(-np.expm1(-np.exp(min(lift, 700)))))
-            out.append((spelled(self.voc, x.codes), logp, float(x.value), inclusion))
-        return out
+            else:
+                t.value = -float(np.log(-np.log(uniforms(np.uint64(t.seed), 0, 0xFFFFFFFF)))[0])
+            t.found.append(Sample(*own, t.value))
+
+    def _cells(self, lat: Lattices, texts: list[_Text], n: int) -> None:
+        """What the n-th sample of each text leaves goes to its heap: the best (-value, sample, word, taken paths)."""
+        if not texts:
+            return
+        sizes = [len(t.word) - t.begin for t in texts]
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
+        before = np.concatenate([(c := np.r_[0, np.cumsum(t.found[-1].scores)])[t.begin : len(c) - 1] for t in texts])
+        scores = np.concatenate([t.found[-1].scores[t.begin :] for t in texts])
+        word = np.concatenate([t.word[t.begin :] for t in texts])
+        # where little is left a bound stands for it until the cell comes out among the best
+        bound = (scores > -SUMMED) & ~lat.single[word]
+        if n:
+            bound[starts] = True
+        left = np.where(lat.single[word], 0.0, -np.expm1(scores) + ROUNDING * bound)
+        some = np.flatnonzero(left > 0)
+        seeds = np.array([t.seed for t in texts], np.uint64)
+        for c in (n, 0xFFFFFFFE):
+            seeds = mixed(seeds + _step(c))
+        owner = np.searchsorted(ends, some, side="right")
+        begin = np.array([t.begin for t in texts])
+        place = some - starts[owner] + begin[owner]
+        u = ((mixed(seeds[owner] + _M * (place.astype(np.uint64) + np.uint64(1))) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+        before, bound = before[some], bound[some]
+        own = np.array([t.found[-1].value for t in texts])
+        values = truncated(before + np.log(left[some]), own[owner], u)
+        cuts = np.searchsorted(owner, np.arange(len(texts) + 1)).tolist()
+        known: dict[tuple, float] = {}
+        for i, t in enumerate(texts):
+            a, b = cuts[i], cuts[i + 1]
+            part = values[a:b]
+            while True:
+                best = np.argpartition(-part, self.k)[: self.k + 1] if len(part) > self.k + 1 else np.arange(len(part))
+                loose = best[bound[a:b][best]]
+                if not len(loose):
+                    break
+                for j in (loose + a).tolist():
+                    w = int(place[j])
+                    paths = (*(t.taken if w == t.begin else ()), t.found[-1].path(w, self._length))
+                    key = (int(t.word[w]), paths)
+                    if key not in known:
+                        known[key] = lat.others(key[0], list(paths))[0][2]
+                    values[j] = truncated(before[j] + math.log(known[key]), t.found[-1].value, u[j]) if known[key] > 0 else -np.inf
+                    bound[j] = False
+            for j in best.tolist():
+                if part[j] > -np.inf:
+                    w = int(place[a + j])
+                    heapq.heappush(t.heap, (-float(part[j]), n, w, t.taken if w == t.begin else []))
 
     def decode(self, ids) -> str:
         raw = b"".join([self.voc.bytes_of[i] for i in ids])
@@ -431,6 +535,7 @@ def encode(docs: DataFrame, *, key: str = "doc_id", text: str = "text", model: s
     the inclusion score is then 0. Repeated rows are encoded each; an empty table gives an empty
     result; other columns are ignored.
     """
+    arrow_bounded(docs.sparkSession)
     rows = docs.select(F.col(key).alias("_k"), F.col(key).cast("string").alias("_s"), F.col(text).cast("string").alias("_t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -474,6 +579,7 @@ def decode(encoded: DataFrame, *, ids: str = "ids", model: str = MODEL, into: st
 
 def digests(docs: DataFrame, *, key: str = "doc_id", text: str = "text", model: str = MODEL, k: int = SAMPLES) -> DataFrame:
     """encode() and decode() in one pass: figures and digests of every sample instead of its ids."""
+    arrow_bounded(docs.sparkSession)
     rows = docs.select(F.col(key).alias("_k"), F.col(key).cast("string").alias("_s"), F.col(text).cast("string").alias("_t"))
     kind = dict(rows.dtypes)["_k"]
 

@@ -212,7 +212,7 @@ def links_of(nodes: DataFrame, dense_over: int = DENSE) -> DataFrame:
     dense = found.filter("b IS NULL").select(F.col("a").alias("fp")).distinct()
     ball = dense.mapInArrow(_full_variants, "variant long, fp long")
     least = ball.groupBy("variant").agg(F.min("fp").alias("m"), F.max("fp").alias("x")).filter("m <> x").select("variant", "m")
-    stars = ball.join(written(least).hint("merge"), "variant").select(F.col("fp").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+    stars = ball.join(least.hint("merge"), "variant").select(F.col("fp").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
     return found.filter("b IS NOT NULL").union(stars)
 
 
@@ -228,9 +228,10 @@ def simhash_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     nodes = written(marked.groupBy("fp").agg(F.min("doc").alias("least"), F.count("*").alias("rows")))
     comps = components(links_of(nodes, dense_over))
     placed = nodes.join(comps.hint("merge"), nodes.fp == comps.node, "left").select("fp", "least", "rows", F.coalesce("component", "fp").alias("component"))
-    # written before they are joined, so that a hot component or fingerprint can be split over tasks
-    ids = written(placed.groupBy("component").agg(F.min("least").alias("component_id"), F.sum("rows").alias("group_size")))
-    by_fp = written(placed.join(ids.hint("merge"), "component").select(F.col("fp").alias("_fp"), "component_id", "group_size"))
+    ids = placed.groupBy("component").agg(F.min("least").alias("component_id"), F.sum("rows").alias("group_size"))
+    # on ~component both sides are shuffled for the join alone, so a hot component can be split over tasks
+    ids = ids.select(F.bitwise_not("component").alias("k"), "component_id", "group_size")
+    by_fp = placed.withColumn("k", F.bitwise_not("component")).join(ids.hint("merge"), "k").select(F.col("fp").alias("_fp"), "component_id", "group_size")
     joined = marked.join(by_fp.hint("merge"), F.col("fp") == F.col("_fp"))
     return joined.select(F.col("doc").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "group_size")
 
@@ -367,5 +368,5 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     row = fresh("_row", docs)
     rows = numbered(docs, row)
     named = near_groups(rows, row, text, radius).toDF("r", "c").join(rows.select(F.col(row).alias("r"), F.col(key).alias("k")), "r")
-    kept = written(named.groupBy("c").agg(F.min(F.struct(F.col("k").isNull(), "k", "r")).alias("m")).select(F.col("m.r").alias(row)))
+    kept = named.groupBy("c").agg(F.min(F.struct(F.col("k").isNull(), "k", "r")).alias("m")).select(F.col("m.r").alias(row))
     return rows.join(kept.hint("shuffle_hash"), row, "left_semi").select(*docs.columns)

@@ -170,7 +170,7 @@ def similar_groups(docs: DataFrame, row: str, text: str = "text") -> DataFrame:
     arrow_bounded(docs.sparkSession)
     source = docs.select(F.col(row).alias("row"), F.col(text).cast("binary").alias("text"))
     marked = written(source.mapInArrow(_mark, MARKED))
-    least = written(marked.groupBy("d", "e").agg(F.min("row").alias("node")))
+    least = marked.groupBy("d", "e").agg(F.min("row").alias("node"))
     nodes = marked.join(least.select("node").hint("merge"), F.col("row") == F.col("node")).select("node", "x", "y", "keys")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     variants = nodes.select("node", "x", "y").mapInArrow(_wide_variants, "variant long, node long, x long, y long")
@@ -194,7 +194,8 @@ def similar_groups(docs: DataFrame, row: str, text: str = "text") -> DataFrame:
         comps = written(components(links))
         placed = written(keyed.select("key", "band", "node").join(comps.hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node")))
         shared = placed.groupBy("key").agg(F.min("component").alias("m"), F.max("component").alias("x"), F.count("*").alias("members")).filter("m <> x")
-        return comps, written(placed.join(written(shared.select("key", "members")).hint("merge"), "key"))
+        shared = shared.select(F.bitwise_not("key").alias("k"), "members")
+        return comps, written(placed.withColumn("k", F.bitwise_not("key")).join(shared.hint("merge"), "k").drop("k"))
 
     def beside(open_: DataFrame) -> DataFrame:
         order = Window.partitionBy("key").orderBy("component", "node")
@@ -219,7 +220,7 @@ def similar_groups(docs: DataFrame, row: str, text: str = "text") -> DataFrame:
             continue
         links, tested = links.union(linked(more)), tested.union(more)
         comps, open_ = grouped(links)
-    placed = written(least.join(comps.hint("merge"), "node", "left").select("d", "e", F.coalesce("component", "node").alias("component")))
+    placed = least.join(comps.hint("merge"), "node", "left").select("d", "e", F.coalesce("component", "node").alias("component"))
     return marked.join(placed.hint("merge"), ["d", "e"]).select(F.col("row").alias(row), "component")
 
 
@@ -228,5 +229,5 @@ def drop_similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     row = fresh("_row", docs)
     rows = numbered(docs, row)
     named = similar_groups(rows, row, text).toDF("r", "c").join(rows.select(F.col(row).alias("r"), F.col(key).alias("k")), "r")
-    kept = written(named.groupBy("c").agg(F.min(F.struct(F.col("k").isNull(), "k", "r")).alias("m")).select(F.col("m.r").alias(row)))
+    kept = named.groupBy("c").agg(F.min(F.struct(F.col("k").isNull(), "k", "r")).alias("m")).select(F.col("m.r").alias(row))
     return rows.join(kept.hint("shuffle_hash"), row, "left_semi").select(*docs.columns)

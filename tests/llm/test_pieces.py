@@ -77,10 +77,24 @@ def test_all_segmentations_are_found_when_few():
     got = enc.encode(["k"], ["ab"])[0]
     total = math.log(sum(math.exp(w) for w in weights.values()))
     found = {tuple(g[0].tolist()) for g in got}
-    assert found <= set(weights) and found >= {x for x, w in weights.items() if w - total > math.log(pieces.LEFT) + 2}
+    assert found == set(weights) and len(got) == len(weights)
+    assert all(abs(g[1] - (weights[tuple(g[0].tolist())] - total)) < 1e-9 for g in got)
     assert all(g[3] == 0 for g in got)
 
 
+def test_what_is_left_of_a_near_certain_word_is_summed():
+    enc = pieces.Encoder(pieces.MODEL, 2)
+    lat = pieces.Lattices(enc.voc, [" the"])
+    weights = all_paths(enc.voc, " the")
+    total = math.log(sum(math.exp(w) for w in weights.values()))
+    for path, w in weights.items():
+        trie = lat.others(0, [tuple(enc._length(c) for c in path)])
+        rest = sum(math.exp(x - total) for other, x in weights.items() if other != path)
+        assert abs(trie[0][2] - rest) < 1e-9 * rest
+    both = [tuple(enc._length(c) for c in p) for p in weights]
+    assert lat.others(0, both)[0][2] == 0
+
+
 def test_inclusion_scores_estimate_sums():
     """Sum over samples of 1 / inclusion is an unbiased count of segmentations."""
     enc = pieces.Encoder(pieces.MODEL, 3)

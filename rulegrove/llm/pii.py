@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rulegrove.llm.common import numbered, table, written
+from rulegrove.llm.common import arrow_bounded, fresh, numbered, table, written
 
 KINDS = ("email", "ip", "card", "phone", "term")
 #: The base patterns. The address part of an email is found from its @ sign, see emails().
@@ -236,14 +236,16 @@ def disclosures(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFr
 
 
 def sanitised_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(numbered docs with `_row`, spans by `_row`).
+    """(docs with a number of each row in `_row`, or a name like it that docs does not have; spans by `_row`).
 
     spans: _row, n_email, n_ip, n_card, n_phone, base (base spans joined), terms: array of
     struct(s, e, removed). A null text counts as empty. Every row is on its own: rows with repeated
     or null keys keep theirs apart.
     """
-    rows = numbered(docs, "_row")
-    found = written(rows.select("_row", F.col(text).cast("string").alias("text")).mapInArrow(_find, FOUND))
+    arrow_bounded(docs.sparkSession)
+    row = fresh("_row", docs)
+    rows = numbered(docs, row)
+    found = written(rows.select(row, F.col(text).cast("string").alias("text")).mapInArrow(_find, FOUND))
     told = disclosures(found, docs, text)
     rows_of = found.select("row", F.explode("entities").alias("entity"))
     telling = rows_of.join(told, "entity").groupBy("row", "term").agg((F.max("npmi") > REMOVE).alias("removed"))
@@ -288,17 +290,19 @@ TERMS_TYPE = "array<struct<s:int,e:int,removed:boolean>>"
 def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with `text` masked, all other columns and rows as they are. Null texts stay null."""
     rows, spans = sanitised_spans(docs, text)
+    row, mask_of = rows.columns[-1], fresh("_masked", docs)
     touched = spans.filter("base <> ''").select("_row", "base", "terms")
 
     def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cells = zip(*(c.to_pylist() for c in b.columns))
             out = [(row, masked(t, base, terms)) for row, t, base, terms in cells]
-            yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in out], pa.int64()), pa.array([t for _, t in out], pa.string())], names=["_row", "_masked"])
+            yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in out], pa.int64()), pa.array([t for _, t in out], pa.string())], names=["row", "masked"])
 
-    changed = rows.select("_row", text).join(touched, "_row").select("_row", text, "base", "terms").mapInArrow(mask, "_row long, _masked string")
-    back = rows.join(changed, "_row", "left")
-    return back.select(*[F.coalesce("_masked", text).alias(text) if c == text else c for c in docs.columns])
+    texts = rows.select(F.col(row).alias("_row"), F.col(text).alias("text"))
+    changed = texts.join(touched, "_row").select("_row", "text", "base", "terms").mapInArrow(mask, "row long, masked string").toDF(row, mask_of)
+    back = rows.join(changed, row, "left")
+    return back.select(*[F.coalesce(mask_of, text).alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns])
 
 
 def op9_pii(spark, sf_dir):

@@ -207,7 +207,8 @@ def find_secrets(docs: DataFrame, text: str = "text", alpha: float = ALPHA) -> D
     """
     own = ["n_assign", "n_access", "n_hex", "n_random", "base", "spans"]
     kept = [c for c in docs.columns if c not in own]
-    tested = scanned(docs, text)
+    # every column of docs in one, so that no name of its own can clash
+    tested = scanned(docs.select(F.struct(*docs.columns).alias("doc"), F.col(text).alias("text")), "text")
     limits = thresholds(tested.select("_tokens"), alpha)
     cases = " ".join(f"WHEN y.t.enc = '{enc}' AND y.t.len = {n} THEN y.t.p >= {t}D" for (enc, n), t in sorted(limits.items()))
     reported = f"filter(_tokens, y -> CASE {cases} ELSE false END)" if cases else "filter(_tokens, y -> false)"
@@ -215,7 +216,7 @@ def find_secrets(docs: DataFrame, text: str = "text", alpha: float = ALPHA) -> D
     out = tested.withColumn("_random", F.expr(f"transform({reported}, y -> named_struct('kind', y.kind, 's', y.s, 'e', y.e))"))
     count = lambda k: F.expr(f"CAST(size(filter(_base, y -> y.kind = {k})) AS BIGINT)")
     return out.select(
-        *kept,
+        *[F.col(f"doc.`{c}`").alias(c) for c in kept],
         count(0).alias("n_assign"),
         count(1).alias("n_access"),
         count(2).alias("n_hex"),

@@ -1,7 +1,7 @@
 """Sharding by a Feistel permutation of global row numbers.
 
-Every row gets a number 0..N-1: rows are dealt to hash buckets of their key, numbered inside each
-bucket, and shifted by the rows of all earlier buckets. A keyed Feistel network permutes the
+Every row gets a number 0..N-1: rows are dealt to hash buckets of their columns, numbered inside each
+bucket, and shifted by the rows of all earlier buckets. Equal rows are counted before that. A keyed Feistel network permutes the
 smallest power-of-two domain that holds N; cycle walking repeats it until the value is below N, so
 0..N-1 is permuted onto itself. With p the permuted number, the shard is p mod S and the slot
 p div S: both follow from the row number alone, and shard sizes differ by one at most (law `rows`).
@@ -84,32 +84,36 @@ def feistel_shards(
 ) -> DataFrame:
     """Add `<prefix>row_number`, `<prefix>shard` and `<prefix>slot` to the columns `keep` of df.
 
-    key: column that orders rows (any type with a hash; nulls and repeated keys are allowed: rows
-    with equal keys are numbered by their kept columns, and rows equal in all of them are
-    interchangeable). An empty table gives an empty result. Slots of a shard run from 0 without gaps.
-    Columns named like the added ones are replaced. `keep` defaults to all columns.
+    key: column that orders rows (any type that can be ordered; nulls and repeated keys are allowed:
+    rows with equal keys are numbered by their kept columns, and rows equal in all of them are
+    interchangeable: they are counted first and take consecutive numbers). Buckets are chosen by the
+    key and all kept columns, so neither a hot key nor a hot row fills one. An empty table gives an
+    empty result. Slots of a shard run from 0 without gaps. Columns named like the added ones are
+    replaced; any other name may occur. `keep` defaults to all columns.
     """
-    keep = [c for c in (keep or df.columns) if c not in (f"{prefix}row_number", f"{prefix}shard", f"{prefix}slot")]
+    added = [f"{prefix}{c}" for c in ("row_number", "shard", "slot")]
+    keep = [c for c in (keep or df.columns) if c not in added]
+    # every column of df in one, so that no name of its own can clash
+    rows = df.select(F.struct(*keep).alias("doc"), F.col(key).alias("key"))
+    equal = rows.groupBy("key", "doc").agg(F.count("*").alias("copies"))
     n = df.select(key).count()
     buckets = max(1, min(MAX_BUCKETS, -(-n // ROWS_PER_BUCKET)))
     # from an MD5 digest, so that any engine can compute the same bucket
-    bucket = F.conv(F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")), 1, 8), 16, 10).cast("long") % buckets
-    sizes = df.select(bucket.alias("_bucket")).groupBy("_bucket").agg(F.count("*").alias("_size"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = F.broadcast(sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")))
-    inside = Window.partitionBy("_bucket").orderBy(key, *[c for c in keep if c != key])
-    numbered = (
-        df.select(*keep, bucket.alias("_bucket"))
-        .withColumn("_inside", F.row_number().over(inside) - 1)
-        .join(starts, "_bucket")
-        .withColumn("_number", F.col("_start") + F.col("_inside"))
-    )
-    place = numbered.withColumn("_place", permuted("_number", n, seed))
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("key", *[f"doc.`{c}`" for c in keep if c != key])])
+    bucket = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long") % buckets
+    dealt = equal.withColumn("bucket", bucket)
+    sizes = dealt.groupBy("bucket").agg(F.sum("copies").alias("size"))
+    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = F.broadcast(sizes.select("bucket", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start")))
+    inside = Window.partitionBy("bucket").orderBy("key", "doc").rowsBetween(Window.unboundedPreceding, -1)
+    first = dealt.withColumn("inside", F.coalesce(F.sum("copies").over(inside), F.lit(0))).join(starts, "bucket")
+    numbered = first.select("doc", F.explode(F.expr("sequence(start + inside, start + inside + copies - 1)")).alias("number"))
+    place = numbered.withColumn("place", permuted("number", n, seed))
     return place.select(
-        *keep,
-        F.col("_number").alias(f"{prefix}row_number"),
-        (F.col("_place") % shards).cast("int").alias(f"{prefix}shard"),
-        F.expr(f"_place div {shards}").alias(f"{prefix}slot"),
+        *[F.col(f"doc.`{c}`").alias(c) for c in keep],
+        F.col("number").alias(added[0]),
+        (F.col("place") % shards).cast("int").alias(added[1]),
+        F.expr(f"place div {shards}").alias(added[2]),
     )
 
 
@@ -153,7 +157,7 @@ counted AS (SELECT count(*) AS n, greatest(1, least({MAX_BUCKETS}, ceil(count(*)
   greatest(2, length(ltrim(bin(greatest(count(*), 1) - 1), '0'))) AS bits FROM documents),
 params AS (SELECT n, buckets, ((bits + 1) // 2)::BIGINT AS k, (1::BIGINT << ((bits + 1) // 2)::BIGINT) - 1 AS mask FROM counted),
 numbered AS (
-  SELECT s.*, row_number() OVER (ORDER BY ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT % buckets,
+  SELECT s.*, row_number() OVER (ORDER BY ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '|' || size || '|' || text_crc32), 1, 8))::BIGINT % buckets,
     doc_id NULLS FIRST, size, text_crc32) - 1 AS number, n, k, mask
   FROM sized s, params
 ),

@@ -75,3 +75,34 @@ def test_empty(spark):
     assert decontam.matched(docs, bench.limit(0)).first().matches == []
     assert decontam.decontaminate(docs, bench).count() == 1
     assert np.isfinite(decontam.latent_space(docs)[0]).all()
+
+
+def test_clashing_names_rounds_and_shared_words(spark, monkeypatch):
+    shared = "alpha beta gamma delta epsilon zeta eta theta"
+    items = [(i, f"{shared} item{i} " + " ".join(f"w{i}x{j}" for j in range(12))) for i in range(30)]
+    rows = [(i, f"before {t} after " * 2, "kept", "kept", "kept") for i, t in items[:10]] + [(99, shared * 3, "kept", "kept", "kept"), (100, None, "kept", "kept", "kept")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _bytes_of_text string, _row string, _matches string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+
+    def found():
+        out = decontam.matched(df, bench).collect()
+        assert all((r["_bytes_of_text"], r["_row"], r["_matches"]) == ("kept",) * 3 for r in out)
+        return sorted((r.doc_id, sorted(m.item_id for m in r.matches)) for r in out)
+
+    want = [(i, [i]) for i in range(10)] + [(99, []), (100, [])]
+    assert found() == want
+    monkeypatch.setattr(decontam, "ITEMS", 7)  # several rounds
+    assert found() == want
+    assert sorted(r.doc_id for r in decontam.decontaminate(df, bench).collect()) == [99, 100]
+
+
+def test_words_of_many_items_are_placed_in_parts(monkeypatch):
+    rng = np.random.default_rng(3)
+    items = [([i], " ".join(f"v{x}" for x in rng.integers(0, 30, 20))) for i in range(40)]
+    space, df = rng.normal(size=(decontam.TERMS, 8)).astype(np.float32), np.ones(decontam.TERMS)
+    bench = decontam.Benchmark(items, space, df)
+    h, owner = decontam.words_of([" ".join(f"v{x}" for x in rng.integers(0, 40, 300)).encode() for _ in range(20)])
+    whole = bench.holders(h, owner)
+    monkeypatch.setattr(decontam, "PLACES", 100)
+    parts = bench.holders(h, owner)
+    assert len(whole[0]) and all((a == b).all() for a, b in zip(whole, parts))

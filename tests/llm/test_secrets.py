@@ -99,3 +99,11 @@ def test_tokens_after_an_equals_sign_and_upper_case_base36(spark):
     keys = [c for c in ("".join(rng.choice(string.ascii_uppercase + string.digits) for _ in range(40)) for _ in range(120)) if re.search("[0189]", c)]
     df = spark.createDataFrame([(i, f"{'x' if i % 2 else 'signature'}={k}") for i, k in enumerate(keys)], "doc_id long, text string")
     assert df.count() - secrets.find_secrets(df).filter("n_random = 1").count() < 0.2 * len(keys)
+
+
+def test_clashing_names_are_kept(spark):
+    names = ["_text", "_base", "_found", "_tokens", "_assign", "doc", "spans"]
+    df = spark.createDataFrame([("password = abcdefgh12345", *names), (None, *names)], "text string, " + ", ".join(f"{n} string" for n in names))
+    got = secrets.find_secrets(df).collect()
+    assert all(r["_base"] == "_base" and r["doc"] == "doc" and r["_text"] == "_text" for r in got)
+    assert sorted((r.n_assign, r.spans) for r in got) == [(0, ""), (1, "assign:0:24")]

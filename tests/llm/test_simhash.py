@@ -140,3 +140,9 @@ def test_spanning_forest():
         return len({root(i) for i in range(200)})
 
     assert roots(edges) == roots([(i, int(p)) for i, p in enumerate(parent)])
+
+
+def test_clashing_names_are_kept(spark):
+    text = " ".join(f"word{i}" for i in range(60))
+    df = spark.createDataFrame([(2, text, "x", "y"), (1, text, "x", "y"), (None, "", "x", "y")], "doc_id long, text string, _row string, component string")
+    assert sorted((str(r.doc_id), r["_row"], r.component) for r in simhash.drop_near_duplicates(df).collect()) == [("1", "x", "y"), ("None", "x", "y")]

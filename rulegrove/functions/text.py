@@ -178,6 +178,13 @@ def polite(d, t):
     return strip(d, t)
 
 
+def first_sentence(d, t):
+    """First sentence of the first paragraph."""
+    para = strip(d, d.item(d.split(strip(d, t), r"\n\n"), 1))
+    short = d.first(para, rf"^([\s\S]*?[。！？!?.]){SPACE}", 1)
+    return strip(d, f"CASE WHEN {d.has(para, rf'[。！？!?.]{SPACE}')} THEN {short} ELSE {para} END")
+
+
 def imperative(d, t):
     """An instruction form: wishes taken off, Analyze put before what does not begin with a plain word."""
     s = strip(d, t)

@@ -23,8 +23,11 @@ Provider = Callable[[str], str]
 CALLS = "reply string, success boolean, attempts integer, duration_sec double, error string"
 
 
-def ask(prompts: DataFrame, prompt: str, make: Callable[[], Provider] | None, *, retries: int = 2, backoff: float = 0.8) -> DataFrame:
-    """prompts with reply, success, attempts, duration_sec and error; the reply is empty after failure."""
+def ask(prompts: DataFrame, prompt: str, make: Callable[[], Provider] | None, *, retries: int = 2, backoff: float = 0.8, skip_null: bool = False) -> DataFrame:
+    """prompts with reply, success, attempts, duration_sec and error; the reply is empty after failure.
+
+    skip_null: rows without a prompt are not asked; their success is null.
+    """
     if make is None:
         none = {"reply": F.lit(""), "success": F.lit(False), "attempts": F.lit(0), "duration_sec": F.lit(0.0), "error": F.lit("no provider")}
         return prompts.withColumns(none)
@@ -36,6 +39,9 @@ def ask(prompts: DataFrame, prompt: str, make: Callable[[], Provider] | None, *,
         for b in batches:
             rows = []
             for cell in b.column(at):
+                if skip_null and not cell.is_valid:
+                    rows.append(("", None, 0, 0.0, None))
+                    continue
                 began, error, reply, n = time.time(), None, "", 0
                 for n in range(1, retries + 2):
                     try:
@@ -56,10 +62,21 @@ def ask(prompts: DataFrame, prompt: str, make: Callable[[], Provider] | None, *,
     return prompts.mapInArrow(run, schema)
 
 
+#: What each judge is asked; the answers are those that JUDGES accepts or their opposites.
+QUESTIONS = {
+    "tone_neutral_llm_judge": "Is the text written in a neutral, balanced tone, without praise, blame or emotion? Answer with one word: NEUTRAL or NOT_NEUTRAL.",
+    "tone_negative_llm_judge": "Is the text openly critical or negative about its subject? Answer with one word: YES or NO.",
+    "role_consistency_judge": "Does the text keep to one speaker's role and point of view from beginning to end? Answer with one word: MATCH or MISMATCH.",
+    "actionability_judge": "Does the text propose concrete steps that a reader could take? Answer with one word: YES or NO.",
+    "non_extremeness_judge": "Is the text free of extreme, inflammatory or absolute claims? Answer with one word: SAFE or UNSAFE.",
+}
+
+
 def judged(items: DataFrame, make: Callable[[], Provider] | None) -> DataFrame:
     """Judge items(…, check, text) with `judged`: whether the reply's first line begins with the check's label."""
     label = F.create_map(*[F.lit(x) for kv in JUDGES.items() for x in kv])
-    prompt = F.concat(F.lit("Answer with one label.\n"), F.col("check"), F.lit("\n"), F.col("text"))
+    question = F.create_map(*[F.lit(x) for kv in QUESTIONS.items() for x in kv])[F.col("check")]
+    prompt = F.concat(F.coalesce(question, F.lit("Does the text meet the rule? Answer YES or NO.")), F.lit("\n\nTEXT:\n<<<\n"), F.coalesce("text", F.lit("")), F.lit("\n>>>"))
     replies = ask(items.withColumn("_prompt", prompt), "_prompt", make)
     first = F.upper(F.trim(F.substring_index("reply", "\n", 1)))
     return replies.withColumn("judged", F.coalesce((first != "") & F.startswith(first, label[F.col("check")]), F.lit(False))).drop("_prompt", "reply", "success", "attempts", "duration_sec", "error")
@@ -110,14 +127,12 @@ def first_json(text: str | None) -> str | None:
 
 def loose_json(texts: DataFrame, column: str) -> DataFrame:
     """texts with `parsed`, a VARIANT: the text, its first balanced part, or that part with light repairs
-    (double quotes, no trailing commas); null if none parses."""
+    (double quotes, no trailing commas); null if none parses. Only texts that do not parse reach Python."""
 
-    @F.udf("string")
-    def candidate(t):
-        return first_json(t)
+    @F.arrow_udf("string")
+    def candidate(column: pa.Array) -> pa.Array:
+        return pa.array([first_json(t.as_py()) if t.is_valid else None for t in column], pa.string())
 
-    found = texts.withColumn("_part", F.when(F.expr(f"try_parse_json({column}) IS NULL"), candidate(column)))
+    found = texts.withColumn("_part", candidate(F.when(F.expr(f"try_parse_json({column}) IS NULL"), F.col(column))))
     fixed = D.replace_all("replace(coalesce(_part, " + column + "), chr(39), chr(34))", r",\s*([}\]])", "$1")
     return found.withColumn("parsed", F.expr(f"coalesce(try_parse_json({column}), try_parse_json(_part), try_parse_json({fixed}))")).drop("_part")
-
-

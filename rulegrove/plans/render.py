@@ -485,3 +485,49 @@ def eval_items(graphs: DataFrame, key: str) -> DataFrame:
         f" flatten(transform(selections, s -> concat({side('branch_real', 'real')}, {side('branch_alt', 'alt')}))))"
     )
     return view(graphs).select(F.col(key).alias("sample_id"), F.posexplode(F.expr(rows)).alias("pos", "i")).select("sample_id", "pos", "i.*")
+
+
+# ---- stored protocols ----------------------------------------------------------------------------
+
+_SCORED = "struct<cid:string,desc:string,verifier:struct<check:string,args:string>,priority_level:int>"
+PROTOCOL = (
+    f"struct<eval_protocol:struct<global_scoring:array<{_SCORED}>,block_scoring:array<struct<block_id:string,requirements:array<{_SCORED}>>>,"
+    f"conditional_scoring:array<struct<sid:string,branch_real:array<{_SCORED}>,branch_alt:array<{_SCORED}>>>>>"
+)
+
+
+def protocols(graphs: DataFrame, key: str) -> DataFrame:
+    """(key, json): each graph's evaluation record as JSON text, from the same items that score it."""
+    verifier = "named_struct('check', {0}.check, 'args', parse_json(coalesce({0}.args, '{{}}')))"
+    node = "named_struct('cid', n.cid, 'desc', n.desc, 'verifier', " + verifier.format("n.verifier_spec") + ", 'priority_level', coalesce(n.priority_level, 2){more})"
+    plain, mandatory = node.format(more=""), node.format(more=", 'logic', 'MANDATORY_GLOBAL'")
+    found = "coalesce(try_element_at(filter(flatten(transform(block_constraint_sets, t -> t.constraints)), m -> m.cid = c), -1), named_struct('cid', c, 'desc', CAST(NULL AS STRING), 'scope', CAST(NULL AS STRING), 'verifier_spec', CAST(NULL AS struct<check:string,args:string>), 'priority_level', 2, 'trace_to', CAST(NULL AS STRING), 'derived_from', CAST(NULL AS STRING), 'change_type', CAST(NULL AS STRING)))"
+    side = lambda s_: f"transform(s.{s_}.constraints, c -> {let('n', found, plain)})"
+    sets = "try_element_at(filter(block_constraint_sets, t -> t.block_id = b.block_id), -1)"
+    blocks = f"transform(plan, b -> named_struct('block_id', b.block_id, 'role', b.role, 'logic_type', b.logic, 'is_alternate', false, 'requirements', transform(coalesce({sets}.constraints, array()), n -> {plain})))"
+    choices = (
+        "transform(selections, s -> named_struct('sid', s.sid, 'where', s.trace_to, 'condition', s.condition, 'selection_type', s.selection_type, 'merge_point', s.merge_point, 'truncated', s.truncated,"
+        " 'branch_real_block', s.branch_real.block_id, 'branch_alt_block', s.branch_alt.block_id, 'alt_path_blocks', s.alt_path_blocks,"
+        f" 'branch_real', {side('branch_real')}, 'branch_alt', {side('branch_alt')},"
+        " 'scoring_rule', named_struct('must_choose_one_branch', true, 'branch_real_logic', 'AND', 'branch_alt_logic', 'AND')))"
+    )
+    protocol = (
+        "named_struct('seed_task', seed_task, 'curriculum_level', CAST(get_json_object(meta, '$.curriculum_level') AS INT),"
+        f" 'global_scoring', transform(global_constraints, n -> {mandatory}), 'block_scoring', {blocks}, 'conditional_scoring', {choices}, 'meta', parse_json(meta))"
+    )
+    record = f"to_json(named_struct('sample_id', CAST({key} AS STRING), 'eval_protocol', {protocol}, 'meta', parse_json(meta)))"
+    return view(graphs).select(key, F.expr(record).alias("json"))
+
+
+def protocol_items(records: DataFrame) -> DataFrame:
+    """Scoring items of stored records(sample_id, json), as eval_items gives them for graphs."""
+    no = "CAST(NULL AS STRING)"
+    item = lambda section, block, sid, branch: f"named_struct('section', '{section}', 'block_id', {block}, 'sid', {sid}, 'branch', {branch}, 'cid', n.cid, 'descr', n.desc, 'check', n.verifier.check, 'args', n.verifier.args, 'priority_level', coalesce(n.priority_level, 2))"
+    some = lambda xs, body: f"transform(coalesce({xs}, array()), n -> {body})"
+    rows = (
+        f"concat({some('p.global_scoring', item('global', no, no, no))},"
+        f" flatten(transform(coalesce(p.block_scoring, array()), b -> {some('b.requirements', item('block', 'b.block_id', no, no))})),"
+        f" flatten(transform(coalesce(p.conditional_scoring, array()), s -> concat({some('s.branch_real', item('branch', no, 's.sid', q('real')))}, {some('s.branch_alt', item('branch', no, 's.sid', q('alt')))}))))"
+    )
+    read = records.withColumn("p", F.from_json("json", PROTOCOL)["eval_protocol"])
+    return read.select("sample_id", F.posexplode(F.expr(rows)).alias("pos", "i")).select("sample_id", "pos", "i.*")

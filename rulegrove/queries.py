@@ -80,10 +80,11 @@ per_text(
 )
 per_text("whitespace_normalize", normalised=lambda d, t: f"md5({X.normalised(d, t)})", squeezed=lambda d, t: f"md5({X.squeezed(d, t)})")
 per_text("clip", hard=lambda d, t: f"md5({X.clipped(d, t, 40)})", dots=lambda d, t: X.clipped_dots(d, t, 30), none=lambda d, t: X.clipped(d, t, 0))
-per_text("slugify", slug=lambda d, t: X.slug(d, d.prefix(t, 40)))
-per_text("negate_condition", statement=lambda d, t: X.condition(d, d.prefix(t, 80)), negated=lambda d, t: X.negated(d, d.prefix(t, 80)))
-per_text("polite_prefix", cleaned=lambda d, t: X.polite(d, d.prefix(t, 60)))
-per_text("seed_task_fallback", seed=lambda d, t: X.imperative(d, X.polite(d, d.prefix(t, 60))))
+per_text("slugify", slug=lambda d, t: f"md5({X.slug(d, t)})")
+per_text("negate_condition", statement=lambda d, t: f"md5({X.condition(d, t)})", negated=lambda d, t: f"md5({X.negated(d, t)})")
+per_text("polite_prefix", cleaned=lambda d, t: f"md5({X.polite(d, t)})")
+per_text("first_sentence", sentence=X.first_sentence)
+per_text("seed_task_fallback", seed=lambda d, t: X.imperative(d, X.polite(d, X.first_sentence(d, t))))
 per_text("block_logic", logic=X.logic)
 per_text(
     "text_detectors",
@@ -269,8 +270,8 @@ def score_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flags.groupBy("lang").agg(*[F.round(F.avg(F.col(n).cast("double")), 6).alias(n) for n in RULES], F.count("*").alias("n_docs"))
 
 
-QUERIES["score_documents"] = QUERIES["pass_rate_by_lang"] = score_documents
-SQL["score_documents"] = SQL["pass_rate_by_lang"] = (
+QUERIES["score_documents"] = score_documents
+SQL["score_documents"] = (
     f"SELECT lang, {', '.join(f'round(avg(({check_sql(DUCK, c, a)})::INT), 6) AS {n}' for n, (c, a) in RULES.items())}, count(*) AS n_docs FROM documents GROUP BY lang"
 )
 
@@ -564,7 +565,7 @@ def benchmark_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["benchmark_topk"] = benchmark_impact
 SQL["benchmark_topk"] = "SELECT * FROM (SELECT item_id % 10 AS corpusId, item_id::VARCHAR AS ref_id, length(text)::INT AS citationCount, row_number() OVER (PARTITION BY item_id % 10 ORDER BY length(text) DESC, item_id::VARCHAR DESC)::INT AS rank FROM benchmark) WHERE rank <= 12"
 
-per_text("validate_rewrite", half=lambda d, t: P.rewrite_reason(d, t, d.prefix(t, 200)), other=lambda d, t: P.rewrite_reason(d, t, "concat(substring(text, 1, 20), ' the of and the rest of it all')"))
+per_text("validate_rewrite", short=lambda d, t: P.rewrite_reason(d, t, d.replace_all(t, "[a-z]{4,}", "")), other=lambda d, t: P.rewrite_reason(d, t, f"concat(upper({t}), ' the of and the rest of it all')"))
 
 
 def llm_status(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,12 +16,13 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_texts(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
-    """(path, name, text), one row a file. Missing files give no rows; strict: they fail, and so do blank ones."""
+    """(path, name, text), one row a file, empty files included. Missing files give no rows; strict: they fail, and so do blank ones."""
     if not exists(spark, path):
         if strict:
             raise FileNotFoundError(path)
         return spark.createDataFrame([], "path string, name string, text string")
-    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"), F.col("value").alias("text"))
+    files = spark.read.format("binaryFile").load(path).filter("NOT startswith(_metadata.file_name, '_') AND NOT startswith(_metadata.file_name, '.')")
+    rows = files.select("path", F.col("_metadata.file_name").alias("name"), F.decode("content", "UTF-8").alias("text"))
     if strict:
         rows = rows.withColumn("text", F.when(F.trim("text") == "", F.raise_error(F.concat(F.lit("blank file: "), "path"))).otherwise(F.col("text")))
     return rows
@@ -87,9 +88,67 @@ def log_succeeded(text: str = "text") -> F.Column:
     return F.col(text).contains("DONE") & ~low.contains("traceback") & ~low.contains("failed") & ~low.contains("llm_error")
 
 
-def write_graphs(graphs: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Graphs as line-delimited JSON text, one a line."""
-    render.encode(graphs).select("json").write.mode(mode).text(path)
+def write_graphs(graphs: DataFrame, path: str, mode: str = "overwrite", key: str = "sample_id") -> None:
+    """Graphs as a table of (sample_id, json), which read_written_graphs reads back."""
+    render.encode(graphs).select(F.col(key).cast("string").alias("sample_id"), "json").write.mode(mode).parquet(path)
+
+
+def read_written_graphs(spark: SparkSession, path: str) -> DataFrame:
+    return render.decode(spark.read.parquet(path)).drop("json")
+
+
+def write_documents(rows: DataFrame, folder: str, *, key: str = "sample_id", suffix: str = ".json", text: str = "json") -> DataFrame:
+    """One file `<key><suffix>` a row, written by the executors through Hadoop's file systems; (key, path).
+
+    A name is taken as it is but for slashes, which become underscores. Rows with equal keys
+    overwrite each other.
+    """
+    spark = rows.sparkSession
+    files = rows.select(F.col(key).cast("string").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    files = files.withColumn("path", F.concat(F.lit(folder.rstrip("/") + "/"), F.regexp_replace("key", "[/\\\\]", "_"), F.lit(suffix)))
+    # each row is a partition of its own for the text writer, so its one part file holds just that row
+    staged = f"{folder.rstrip('/')}/_staged"
+    files.select("text", F.regexp_replace("key", "[/\\\\]", "_").alias("name")).repartition("name").write.mode("overwrite").partitionBy("name").option("lineSep", "").text(staged)
+    _collected(spark, staged, folder.rstrip("/"), suffix)
+    return files.select(F.col("key").alias(key), "path")
+
+
+def _collected(spark: SparkSession, staged: str, folder: str, suffix: str) -> None:
+    """Renames the one part file of each name=... folder to <folder>/<name><suffix>."""
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(staged)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    for one in fs.listStatus(top):
+        name = one.getPath().getName()
+        if name.startswith("name="):
+            part = next(f.getPath() for f in fs.listStatus(one.getPath()) if f.getPath().getName().startswith("part-"))
+            target = jvm.org.apache.hadoop.fs.Path(f"{folder}/{unescape(name[5:])}{suffix}")
+            fs.delete(target, False)
+            fs.rename(part, target)
+    fs.delete(top, True)
+
+
+def read_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The objects of whole-file JSON arrays."""
+    return spark.read.schema(schema).json(path, multiLine=True)
+
+
+def find_record(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """At most one of the rows whose trimmed key is value."""
+    return rows.filter(F.trim(F.col(key).cast("string")) == value.strip()).limit(1)
+
+
+def read_protocols(spark: SparkSession, path: str) -> DataFrame:
+    """Stored evaluation protocols as scoring items; a file without one fails.
+
+    Columns: sample_id and those of render.eval_items.
+    """
+    rows = read_texts(spark, path, strict=True)
+    fine = F.coalesce(F.get_json_object("text", "$.eval_protocol"), F.lit("{}")) != "{}"
+    whole = F.when(fine, F.col("text")).otherwise(F.raise_error(F.concat(F.lit("no evaluation protocol: "), "path")))
+    named = F.coalesce(F.get_json_object("text", "$.sample_id"), F.regexp_replace("name", r"(\.eval)?\.json$", ""))
+    return render.protocol_items(rows.select(named.alias("sample_id"), whole.alias("json")))
 
 
 def write_table(df: DataFrame, path: str, mode: str = "append", by: str | None = None) -> None:

@@ -39,21 +39,49 @@ def fresh(name: str, *frames: DataFrame) -> str:
     return next(x for x in (name, *(f"{name}{i}" for i in range(1, len(taken) + 2))) if x.lower() not in taken)
 
 
+#: Paths that written() has made in this process and released() has not deleted.
+_made: list[str] = []
+
+
 def written(df: DataFrame) -> DataFrame:
     """Cut lineage: write df once to the shared folder and read it back.
 
     A columnar table rather than checkpoint(): it is several times smaller, and readers prune its
-    columns. The files go when the session's JVM ends.
+    columns. The files go when the session's JVM ends, or with released().
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/rulegrove-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    _made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tables() -> set[str]:
+    """Paths that written() has made and that are still there."""
+    return set(_made)
+
+
+def released(docs: DataFrame, paths: set[str]) -> None:
+    """Delete those of the paths, which written() has made, that docs does not read.
+
+    For jobs of several steps, each of which writes its result before the next begins.
+    """
+    spark = docs.sparkSession
+    read = {p for f in docs.inputFiles() for p in paths if p.rsplit("/", 1)[-1] in f} if paths else set()
+    for path in paths & tables() - read:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        _made.remove(path)
+
+
+def replaced(old: DataFrame, new: DataFrame) -> DataFrame:
+    """new, which is written and takes the place of old, a table of written() that nothing reads any more."""
+    released(new, {p for f in old.inputFiles()[:1] for p in _made if p.rsplit("/", 1)[-1] in f})
+    return new
+
+
 def crc_text(col) -> F.Column:
     """Unsigned CRC-32 of a value's decimal text."""
     return F.crc32(F.encode(col.cast("string"), "UTF-8"))
@@ -63,6 +91,27 @@ def text_or_empty(col="text") -> F.Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
 
+#: Plan nodes behind which a row keeps its place in its file split, whenever it is read.
+_STILL = {"Project", "Filter", "LogicalRelation"}
+
+
+def _plain_scan(docs: DataFrame) -> bool:
+    """Whether docs is a deterministic projection or selection of files."""
+    nodes = [docs._jdf.queryExecution().optimizedPlan()]
+    while nodes:
+        node = nodes.pop()
+        if node.getClass().getSimpleName() not in _STILL or not node.deterministic() or node.toString().startswith("Relation") and "parquet" not in node.toString().split("]")[-1]:
+            return False
+        below = node.children()
+        nodes += [below.apply(i) for i in range(below.size())]
+    return True
+
+
 def numbered(docs: DataFrame, name: str) -> DataFrame:
-    """docs with a unique long per row, written once so that it stays the same wherever it is used."""
-    return written(docs.withColumn(name, F.monotonically_increasing_id()))
+    """docs with a unique long per row that stays the same wherever the result is used.
+
+    Over a plain projection or selection of Parquet files numbers follow from the files alone;
+    anything else is written once.
+    """
+    out = docs.withColumn(name, F.monotonically_increasing_id())
+    return out if _plain_scan(docs) else written(out)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rulegrove.llm.common import written
+from rulegrove.llm.common import replaced, written
 
 MAX_ROUNDS = 60
 
@@ -49,7 +49,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = written(edges)
     mark = None
     for _ in range(MAX_ROUNDS):
-        edges = written(_small_star(_large_star(edges).distinct()).filter("a <> b").distinct())
+        edges = replaced(edges, written(_small_star(_large_star(edges).distinct()).filter("a <> b").distinct()))
         seen = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if (seen.n, seen.h) == mark:
             break

@@ -290,19 +290,18 @@ TERMS_TYPE = "array<struct<s:int,e:int,removed:boolean>>"
 def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with `text` masked, all other columns and rows as they are. Null texts stay null."""
     rows, spans = sanitised_spans(docs, text)
-    row, mask_of = rows.columns[-1], fresh("_masked", docs)
-    touched = spans.filter("base <> ''").select("_row", "base", "terms")
-
-    def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            cells = zip(*(c.to_pylist() for c in b.columns))
-            out = [(row, masked(t, base, terms)) for row, t, base, terms in cells]
-            yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in out], pa.int64()), pa.array([t for _, t in out], pa.string())], names=["row", "masked"])
-
-    texts = rows.select(F.col(row).alias("_row"), F.col(text).alias("text"))
-    changed = texts.join(touched, "_row").select("_row", "text", "base", "terms").mapInArrow(mask, "row long, masked string").toDF(row, mask_of)
-    back = rows.join(changed, row, "left")
-    return back.select(*[F.coalesce(mask_of, text).alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    row, base, terms = rows.columns[-1], fresh("_base", docs), fresh("_terms", docs)
+
+    @F.arrow_udf("string")
+    def mask(texts: pa.Array, bases: pa.Array, found: pa.Array) -> pa.Array:
+        cells = zip(texts.to_pylist(), bases.to_pylist(), found.to_pylist())
+        return pa.array([masked(t, b, x) if t is not None else None for t, b, x in cells], pa.string())
+
+    # only what has spans reaches Python; the documents are moved once
+    touched = spans.filter("base <> ''").select(F.col("_row").alias(row), F.col("base").alias(base), F.col("terms").alias(terms))
+    back = rows.join(touched.hint("merge"), row, "left")
+    open_ = F.when(F.col(base).isNotNull(), F.col(text))
+    return back.select(*[F.coalesce(mask.asNondeterministic()(open_, base, terms), F.col(text)).alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns])
 
 
 def op9_pii(spark, sf_dir):

@@ -498,9 +498,9 @@ PROTOCOL = (
 
 def protocols(graphs: DataFrame, key: str) -> DataFrame:
     """(key, json): each graph's evaluation record as JSON text, from the same items that score it."""
-    verifier = "named_struct('check', {0}.check, 'args', parse_json(coalesce({0}.args, '{{}}')))"
-    node = "named_struct('cid', n.cid, 'desc', n.desc, 'verifier', " + verifier.format("n.verifier_spec") + ", 'priority_level', coalesce(n.priority_level, 2){more})"
-    plain, mandatory = node.format(more=""), node.format(more=", 'logic', 'MANDATORY_GLOBAL'")
+    verifier = "named_struct('check', n.verifier_spec.check, 'args', parse_json(coalesce(n.verifier_spec.args, '{}')))"
+    plain = f"named_struct('cid', n.cid, 'desc', n.desc, 'verifier', {verifier}, 'priority_level', coalesce(n.priority_level, 2))"
+    mandatory = f"{plain[:-1]}, 'logic', 'MANDATORY_GLOBAL')"
     found = "coalesce(try_element_at(filter(flatten(transform(block_constraint_sets, t -> t.constraints)), m -> m.cid = c), -1), named_struct('cid', c, 'desc', CAST(NULL AS STRING), 'scope', CAST(NULL AS STRING), 'verifier_spec', CAST(NULL AS struct<check:string,args:string>), 'priority_level', 2, 'trace_to', CAST(NULL AS STRING), 'derived_from', CAST(NULL AS STRING), 'change_type', CAST(NULL AS STRING)))"
     side = lambda s_: f"transform(s.{s_}.constraints, c -> {let('n', found, plain)})"
     sets = "try_element_at(filter(block_constraint_sets, t -> t.block_id = b.block_id), -1)"

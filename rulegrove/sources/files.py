@@ -15,14 +15,27 @@ def exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def _empty_files(spark: SparkSession, path: str) -> list[tuple[str, str, str]]:
+    """(path, name, empty text) of the files of no bytes under a path or glob, which Spark's scans leave out."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = list(fs.globStatus(p) or [])
+    found += [f for d in found if d.isDirectory() for f in fs.listStatus(d.getPath())]
+    empty = [f.getPath() for f in found if f.isFile() and f.getLen() == 0]
+    return [(f.toString(), f.getName(), "") for f in empty if f.getName()[0] not in "_."]
+
+
 def read_texts(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
     """(path, name, text), one row a file, empty files included. Missing files give no rows; strict: they fail, and so do blank ones."""
+    schema = "path string, name string, text string"
     if not exists(spark, path):
         if strict:
             raise FileNotFoundError(path)
-        return spark.createDataFrame([], "path string, name string, text string")
-    files = spark.read.format("binaryFile").load(path).filter("NOT startswith(_metadata.file_name, '_') AND NOT startswith(_metadata.file_name, '.')")
-    rows = files.select("path", F.col("_metadata.file_name").alias("name"), F.decode("content", "UTF-8").alias("text"))
+        return spark.createDataFrame([], schema)
+    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"), F.col("value").alias("text"))
+    empty = _empty_files(spark, path)
+    if empty:
+        rows = rows.unionByName(spark.createDataFrame(empty, schema))
     if strict:
         rows = rows.withColumn("text", F.when(F.trim("text") == "", F.raise_error(F.concat(F.lit("blank file: "), "path"))).otherwise(F.col("text")))
     return rows
@@ -98,19 +111,18 @@ def read_written_graphs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_documents(rows: DataFrame, folder: str, *, key: str = "sample_id", suffix: str = ".json", text: str = "json") -> DataFrame:
-    """One file `<key><suffix>` a row, written by the executors through Hadoop's file systems; (key, path).
+    """One file `<key><suffix>` a row, in whatever store the folder is; gives (key, path).
 
-    A name is taken as it is but for slashes, which become underscores. Rows with equal keys
-    overwrite each other.
+    Every file ends with one line feed. Slashes of keys become underscores; rows with equal keys are
+    one file. Executors write the texts; the driver only renames files, so this form is for exchange
+    with readers of files: at scale the tables are the results.
     """
-    spark = rows.sparkSession
-    files = rows.select(F.col(key).cast("string").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    files = files.withColumn("path", F.concat(F.lit(folder.rstrip("/") + "/"), F.regexp_replace("key", "[/\\\\]", "_"), F.lit(suffix)))
-    # each row is a partition of its own for the text writer, so its one part file holds just that row
-    staged = f"{folder.rstrip('/')}/_staged"
-    files.select("text", F.regexp_replace("key", "[/\\\\]", "_").alias("name")).repartition("name").write.mode("overwrite").partitionBy("name").option("lineSep", "").text(staged)
-    _collected(spark, staged, folder.rstrip("/"), suffix)
-    return files.select(F.col("key").alias(key), "path")
+    top = folder.rstrip("/")
+    files = rows.select(F.col(key).cast("string").alias(key), F.regexp_replace(F.coalesce(F.col(text), F.lit("")), "\n$", "").alias("text"))
+    files = files.withColumn("name", F.translate(key, "/\\", "__"))
+    files.dropDuplicates(["name"]).select("text", "name").write.mode("overwrite").partitionBy("name").text(f"{top}/_staged")
+    _collected(rows.sparkSession, f"{top}/_staged", top, suffix)
+    return files.select(key, F.concat(F.lit(f"{top}/"), "name", F.lit(suffix)).alias("path"))
 
 
 def _collected(spark: SparkSession, staged: str, folder: str, suffix: str) -> None:

@@ -150,11 +150,18 @@ def test_graph_spellings_delta_and_items(spark):
 def test_files_resume_and_streams(spark, tmp_path):
     df = graphs(spark, graph())
     files.write_graphs(df, f"{tmp_path}/g")
-    part = glob.glob(f"{tmp_path}/g/part*")[0]
+    again = files.read_written_graphs(spark, f"{tmp_path}/g")
+    columns = [c for c in again.columns if c in df.columns]
+    assert len(columns) == 7 and again.select(*columns).collect() == df.select(*columns).collect()
+    text = render.encode(df).first().json
     os.makedirs(f"{tmp_path}/in")
     for name in ("a.graph.json", "a__g1.graph.json", "b.txt"):
-        with open(part) as src, open(f"{tmp_path}/in/{name}", "w") as to:
-            to.write(src.read())
+        with open(f"{tmp_path}/in/{name}", "w") as to:
+            to.write(text)
+    open(f"{tmp_path}/in/empty.txt", "w").close()
+    assert {r.name: len(r.text) for r in files.read_texts(spark, f"{tmp_path}/in/*.txt").collect()} == {"b.txt": len(text), "empty.txt": 0}
+    with pytest.raises(Exception, match="blank file"):
+        files.read_texts(spark, f"{tmp_path}/in/*.txt", strict=True).collect()
     back = files.read_graphs(spark, f"{tmp_path}/in/*")
     assert [r.sample_id for r in back.collect()] == ["a"] and back.first().global_constraints[0].verifier_spec.args == '{"n":2}'
     assert files.read_texts(spark, f"{tmp_path}/none/*").count() == 0

@@ -6,6 +6,7 @@ from __future__ import annotations
 # Patterns of the text rules.
 WORD = r"[\p{L}\p{N}_]+"
 SPACE = r"[\s\p{Z}\x{85}]"
+SPACE_NOT = r"[^\s\p{Z}\x{85}]"
 NOT_SPACE = r"[^\s\p{Z}\x{85}]"
 HAN = r"[\x{4e00}-\x{9fff}]"
 EMOJI_CHECKED = r"[\x{1F300}-\x{1FAFF}\x{2700}-\x{27BF}]"
@@ -45,6 +46,8 @@ WISH_EN = r"^(?i:i\s+need\s+you\s+to|i\s+want\s+you\s+to|i\s+would\s+like\s+you\
 NEGATABLE = (" is ", " are ", " should ", " must ")
 
 
+
+
 def either(words) -> str:
     return r"(?i)" + BEFORE + "(?:" + "|".join(words) + ")" + AFTER
 

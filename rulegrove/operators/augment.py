@@ -47,18 +47,18 @@ def turn_changes(turns: DataFrame, sequence: str, turn: str, key: str, fp: Colum
 
 
 def inject_priorities(rules: DataFrame, least: int = 1, most: int = 2) -> DataFrame:
-    """One rule of 1..2 owners per sample becomes best effort (priority 1); others are 1 or 2 as they were."""
-    base = rules.withColumn("priority_level", F.when(F.col("priority_level") == 1, 1).otherwise(2))
-    owned = base.filter("owner IS NOT NULL")
+    """One rule of 1..2 owners per sample becomes best effort (priority 1); others are 1 or 2 as they were.
+
+    Ranks over the sample's rows alone: one shuffle, no join.
+    """
     per = Window.partitionBy("sample_id")
-    blocks = owned.select("sample_id", "owner").distinct().withColumn("_n", F.count("*").over(per))
-    blocks = blocks.withColumn("_r", F.row_number().over(per.orderBy(rank_key("sample_id", "'block'", "owner"))))
+    place = F.dense_rank().over(per.orderBy(F.col("owner").isNull(), rank_key("sample_id", "'block'", "coalesce(owner, '')")))
+    ranked = rules.withColumn("_place", F.when(F.col("owner").isNotNull(), place)).withColumn("_n", F.max("_place").over(per))
     target = F.least(F.col("_n"), least + F.floor(draw("sample_id", "'blocks'") * (most - least + 1)))
-    picked = blocks.filter(F.col("_r") <= target).select("sample_id", "owner")
     one = Window.partitionBy("sample_id", "owner").orderBy(rank_key("sample_id", "'rule'", "cid"))
-    chosen = owned.join(picked, ["sample_id", "owner"], "left_semi").withColumn("_r", F.row_number().over(one)).filter("_r = 1").select("sample_id", "cid", F.lit(1).alias("_hit"))
-    joined = base.join(chosen, ["sample_id", "cid"], "left")
-    return joined.withColumn("priority_level", F.coalesce("_hit", "priority_level")).drop("_hit")
+    hit = F.coalesce((F.col("_place") <= target) & (F.row_number().over(one) == 1), F.lit(False))
+    marked = ranked.withColumn("_hit", hit)
+    return marked.withColumn("priority_level", F.when(F.col("_hit") | (F.col("priority_level") == 1), 1).otherwise(2)).drop("_place", "_n", "_hit")
 
 
 def m1_activation(rules: DataFrame) -> DataFrame:
@@ -71,23 +71,25 @@ def m1_activation(rules: DataFrame) -> DataFrame:
     unit = Window.partitionBy("sample_id", F.coalesce("owner", F.lit("")))
     n, r = F.count("*").over(unit), F.row_number().over(unit.orderBy(rank_key("sample_id", "'m1'", "cid")))
     marked = rules.withColumn("_n", n).withColumn("_r", r)
-    two = marked.filter("owner IS NOT NULL AND _n = 2 AND _r = 1").select("sample_id", "owner")
-    two = two.withColumn("_turn", 2 + (F.row_number().over(Window.partitionBy("sample_id").orderBy("owner")) - 1) % 2)
+    # two-rule blocks take turns 2 and 3 in the order of their owners
+    pair = F.when(F.col("owner").isNotNull() & (F.col("_n") == 2), F.col("owner"))
+    nth = F.dense_rank().over(Window.partitionBy("sample_id").orderBy(F.asc_nulls_last("_pair")))
+    marked = marked.withColumn("_pair", pair).withColumn("_turn", 2 + (nth - 1) % 2)
     c1 = F.greatest(F.lit(1), F.bround(F.col("_n") * 0.4).cast("int"))
     c2 = F.greatest(F.lit(1), F.bround(F.col("_n") * 0.3).cast("int"))
     globals_ = F.when(F.col("_n") <= 2, F.col("_r")).when(F.col("_r") <= c1, 1).when(F.col("_r") <= c1 + c2, 2).otherwise(3)
     blocks = F.when(F.col("_r") == 1, 1).when(F.col("_n") == 2, F.col("_turn")).when(F.col("_r") <= 3, F.col("_r")).otherwise(2 + (F.col("_r") % 2))
-    joined = marked.join(two, ["sample_id", "owner"], "left")
-    return joined.withColumn("activation", F.when(F.col("owner").isNull(), globals_).otherwise(blocks).cast("int")).drop("_n", "_r", "_turn")
+    return marked.withColumn("activation", F.when(F.col("owner").isNull(), globals_).otherwise(blocks).cast("int")).drop("_n", "_r", "_pair", "_turn")
 
 
 def m1_turns(rules: DataFrame) -> DataFrame:
     """Three cumulative turns of each sample; samples whose totals do not grow every turn are left out."""
+    per = Window.partitionBy("sample_id")
     active = m1_activation(rules)
-    sizes = active.groupBy("sample_id").agg(*[F.count_if(F.col("activation") == t).alias(f"_t{t}") for t in (1, 2, 3)])
-    fine = sizes.filter("_t1 > 0 AND _t2 > 0 AND _t3 > 0").select("sample_id")
-    turns = active.join(fine, "sample_id", "left_semi").withColumn("turn", F.explode(F.sequence(F.col("activation"), F.lit(3))))
-    return turns
+    for t in (1, 2, 3):
+        active = active.withColumn(f"_t{t}", F.max((F.col("activation") == t).cast("int")).over(per))
+    fine = active.filter("_t1 = 1 AND _t2 = 1 AND _t3 = 1").drop("_t1", "_t2", "_t3")
+    return fine.withColumn("turn", F.explode(F.sequence(F.col("activation"), F.lit(3))))
 
 
 #: Growth bands of numeric arguments, by check: (upper limit of the base, low, high).

@@ -11,6 +11,7 @@ from rulegrove.functions import checks
 from rulegrove.functions import text as X
 from rulegrove.functions.dialect import DUCK, SPARK
 from rulegrove.operators import scoring
+from rulegrove.sources.files import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -20,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The documents' columns, over all cores."""
+    return spread(table(spark, sf_dir, "documents").select(*columns))
+
+
 #: Texts that exercise what the documents lack; they are scored beside them under negative ids.
 FIXTURES = [
     "",
@@ -50,7 +56,7 @@ def fixture_rows(d) -> str:
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text").unionByName(spark.sql(fixture_rows(SPARK)))
+    return documents(spark, sf_dir, "doc_id", "text").unionByName(spark.sql(fixture_rows(SPARK)))
 
 
 TEXTS_SQL = f"(SELECT doc_id, text FROM documents UNION ALL {fixture_rows(DUCK)})"
@@ -265,7 +271,7 @@ RULES = {"enough_words": ("min_word_count", {"min_words": 150}), "english": ("is
 
 
 def score_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir, "lang", "text")
     flags = docs.select("lang", *[F.expr(check_sql(SPARK, c, a)).alias(n) for n, (c, a) in RULES.items()])
     return flags.groupBy("lang").agg(*[F.round(F.avg(F.col(n).cast("double")), 6).alias(n) for n in RULES], F.count("*").alias("n_docs"))
 
@@ -277,7 +283,7 @@ SQL["score_documents"] = (
 
 
 def pass_rate_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    docs = documents(spark, sf_dir, "doc_id", "text").join(table(spark, sf_dir, "labels"), "doc_id")
     flags = docs.select("quality", "toxic", *[F.expr(check_sql(SPARK, c, a)).alias(n) for n, (c, a) in RULES.items()])
     return flags.groupBy("quality", "toxic").agg(*[F.round(F.avg(F.col(n).cast("double")), 6).alias(n) for n in RULES], F.count("*").alias("n_docs"))
 
@@ -338,9 +344,15 @@ numbered AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY g) AS i,
 SELECT doc_id, 'B' || i AS block_id, CASE WHEN k = 1 THEN intent ELSE intent || ' (' || k || ')' END AS intent, md5(text_span) AS span_md5, (i - 1)::BIGINT AS order_index FROM numbered
 UNION ALL
 SELECT doc_id, 'B' || i, 'Paragraph ' || i, md5(text_span), (i - 1)::BIGINT FROM paras WHERE doc_id NOT IN (SELECT doc_id FROM kept)"""
-QUERIES["split_parts"] = lambda spark, d: digest_blocks(S.segment(texts(spark, d).filter("NOT contains(text, '#')"), "doc_id", "parts"))
-SQL["split_parts"] = f"""WITH {LINES_SQL}, {BULLET_SQL} SELECT doc_id, 'B' || i AS block_id, 'Section / Part ' || i AS intent, md5(text_span) AS span_md5, (i - 1)::BIGINT AS order_index
-FROM paras WHERE doc_id NOT IN (SELECT doc_id FROM {TEXTS_SQL} t WHERE contains(text, '#'))"""
+QUERIES["split_parts"] = lambda spark, d: digest_blocks(S.segment(texts(spark, d), "doc_id", "parts"))
+# a leading heading names the parts, and its line is none of them unless nothing follows it
+SQL["split_parts"] = f"""WITH {LINES_SQL.replace('lines AS', 'every AS')},
+shown AS (SELECT doc_id, min(n) AS n FROM every WHERE {DUCK.has('line', X.SPACE_NOT)} GROUP BY doc_id),
+leads AS (SELECT doc_id, n, {_STRIP(DUCK.first('line', S.HEADING_LINE, 2))} AS h FROM every JOIN shown USING (doc_id, n) WHERE {DUCK.has('line', S.HEADING_LINE)}),
+bodies AS (SELECT DISTINCT e.doc_id FROM every e JOIN leads l ON l.doc_id = e.doc_id AND e.n > l.n WHERE {DUCK.has('e.line', X.SPACE_NOT)}),
+lines AS (SELECT e.doc_id, e.n, e.line FROM every e LEFT JOIN leads l ON l.doc_id = e.doc_id LEFT JOIN bodies b ON b.doc_id = e.doc_id WHERE l.doc_id IS NULL OR b.doc_id IS NULL OR e.n > l.n),
+{BULLET_SQL}
+SELECT p.doc_id, 'B' || i AS block_id, coalesce(l.h, 'Section') || ' / Part ' || i AS intent, md5(text_span) AS span_md5, (i - 1)::BIGINT AS order_index FROM paras p LEFT JOIN leads l ON l.doc_id = p.doc_id"""
 
 
 def intent_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,21 @@ def exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+#: Inputs below so many bytes a core are dealt out before costly expressions.
+SMALL = 32 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores if it is small: a file of one row group is one task, however many cores there are.
+
+    Large inputs come in enough splits of their own and are not moved.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < cores * SMALL else df
+
+
 def _empty_files(spark: SparkSession, path: str) -> list[tuple[str, str, str]]:
     """(path, name, empty text) of the files of no bytes under a path or glob, which Spark's scans leave out."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

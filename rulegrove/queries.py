@@ -534,6 +534,7 @@ UNION ALL SELECT sample_id, block_id || '_ALT_NEXT' || s, origin, block_id || '_
 from rulegrove.operators import evidence as E  # noqa: E402
 from rulegrove.operators import provider as P  # noqa: E402
 from rulegrove.plans import render as R  # noqa: E402
+from rulegrove.plans import shape as SH  # noqa: E402
 from rulegrove.sources import files as FS  # noqa: E402
 
 #: Rows (corpus, section, paragraph, ref, title) and (corpus, ref, title, count) of two small surveys.
@@ -601,62 +602,116 @@ SQL["json_loose_parse"] = """SELECT * FROM (VALUES (0, '{"a":1}'), (1, '{"a":{"b
 
 
 def document_graphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mined rules assembled into one nested graph per text, without selections."""
-    rules = document_rules(spark, sf_dir)
-    node = F.struct(
-        F.col("cid"), F.col("descr").alias("desc"), F.when(F.col("owner").isNull(), "global").otherwise("local").alias("scope"), F.struct("check", "args").alias("verifier_spec"),
-        F.col("priority_level"), F.col("owner").alias("trace_to"), F.lit("mined").alias("derived_from"), F.lit("add").alias("change_type"),
-    )
-    one = rules.filter("owner IS NULL").groupBy("sample_id").agg(F.array_sort(F.collect_list(node)).alias("global_constraints"))
-    two = rules.filter("owner IS NOT NULL").groupBy("sample_id", "owner").agg(F.array_sort(F.collect_list(node)).alias("constraints"))
-    sets = two.groupBy("sample_id").agg(F.array_sort(F.collect_list(F.struct(F.col("owner").alias("block_id"), F.lit("AND").alias("logic_type"), "constraints"))).alias("block_constraint_sets"))
-    blocks = S.segment(texts(spark, sf_dir), "doc_id", "paragraph").groupBy(F.col("doc_id").alias("sample_id")).agg(
-        F.array_sort(F.collect_list(F.struct("block_id", "intent", "text_span", "order_index", F.lit(False).alias("is_alternate"), F.lit(None).cast("string").alias("origin_block")))).alias("block_specs")
-    )
-    joined = blocks.join(one, "sample_id", "left").join(sets, "sample_id", "left")
-    empty = lambda c, kind: F.coalesce(c, F.expr(f"CAST(array() AS {kind})")).alias(c)
-    kind = dict(joined.dtypes)
-    return joined.select(
-        "sample_id", F.concat(F.lit("Task "), "sample_id").alias("seed_task"), empty("global_constraints", kind["global_constraints"]), "block_specs",
-        empty("block_constraint_sets", kind["block_constraint_sets"]), F.expr(f"CAST(array() AS array<{R.SELECTION}>)").alias("selections"), F.lit("{}").alias("meta"),
-    )
+    """Mined rules, logic and planned selections assembled into one nested graph per text.
+
+    Rules whose id ends in 1 count as unchanged, so that change views have something to leave out.
+    """
+    rules = document_rules(spark, sf_dir).withColumn("derived_from", F.lit("mined"))
+    blocks = S.segment(texts(spark, sf_dir), "doc_id", "paragraph").withColumnRenamed("doc_id", "sample_id")
+    plan = A.plan_selections(blocks.select("sample_id", "block_id", "order_index"))
+    more = A.branch_rules(plan, blocks.select("sample_id", "block_id", "order_index"))
+    rules = rules.withColumn("pos", F.regexp_extract("cid", "([0-9]+)$", 1).cast("int"))
+    picked, extra = SH.selections(plan, blocks, rules, more, {k: v[0] for k, v in A.FALLBACK.items()})
+    added = more.select("sample_id", "owner", "cid", "check", "args", "descr", F.lit(2).alias("priority_level"), F.regexp_extract("cid", "([0-9]+)$", 1).cast("int").alias("pos"), F.lit("step5").alias("derived_from"))
+    every = rules.unionByName(added).withColumn("change_type", F.when(F.endswith("cid", F.lit("1")), "unchanged").otherwise("add"))
+    logic = blocks.select("sample_id", "block_id", F.expr(X.logic(SPARK, "text_span")).alias("logic"))
+    seeds = blocks.select("sample_id", F.concat(F.lit("Task "), "sample_id").alias("seed_task")).distinct()
+    return SH.assemble(blocks, every, seeds, logic, extra, picked)
 
 
 QUERIES["render_prompt"] = lambda spark, d: R.render_main(document_graphs(spark, d)).select("sample_id", F.md5("prompt").alias("prompt_md5"))
 for _t in R.TEMPLATES:
     QUERIES[f"render_{_t}"] = lambda spark, d, t=_t: R.render_templates(document_graphs(spark, d), (t,)).select("sample_id", "template", F.md5("prompt").alias("prompt_md5"))
-_BODY = """
-g AS (SELECT sample_id, string_agg('  - ' || descr, chr(10) ORDER BY cid) AS lines FROM all_rules WHERE owner IS NULL GROUP BY sample_id),
-b AS (SELECT sample_id, owner, string_agg('  - ' || descr, chr(10) ORDER BY cid) AS lines FROM all_rules WHERE owner IS NOT NULL GROUP BY sample_id, owner),
-st AS (SELECT doc_id AS sample_id, i, '- Stage ' || i || ': Paragraph ' || i || {cue} || chr(10) || coalesce(b.lines, '  - Follow the intent of this stage even if no explicit duty exists.') AS lines
-  FROM paras LEFT JOIN b ON b.sample_id = doc_id AND b.owner = 'B' || i),
-body AS (SELECT sample_id, string_agg(lines, chr(10) ORDER BY i) AS lines FROM st GROUP BY sample_id)"""
-_HEAD = "'SYSTEM INSTRUCTIONS:' || chr(10) || chr(10) || '1. MISSION BRIEF' || chr(10) || '- Primary directive: Task ' || body.sample_id || chr(10) || chr(10)"
-_RULES2 = f"WITH {LINES_SQL}, {BULLET_SQL}, {RULES_SQL.removeprefix('WITH ')},"
-SQL["render_stage_blueprint"] = f"""{_RULES2} {_BODY.format(cue="chr(10) || '  Logic cue: Cover all listed duties for this stage.'")}
-SELECT body.sample_id, 'stage_blueprint' AS template, md5({_HEAD} || '2. NON-NEGOTIABLE GLOBAL RULES' || chr(10) || CASE WHEN g.lines IS NULL THEN '- No additional global constraints were supplied.' ELSE 'All global rules must be satisfied throughout the response:' || chr(10) || g.lines END
-  || chr(10) || chr(10) || '3. STRUCTURED RESPONSE BLUEPRINT' || chr(10) || 'Follow stages in order and apply branch logic where stated.' || chr(10) || body.lines || chr(10)) AS prompt_md5 FROM body LEFT JOIN g USING (sample_id)"""
-SQL["render_branch_first"] = f"""{_RULES2} {_BODY.format(cue="''")}
-SELECT body.sample_id, 'branch_first' AS template, md5({_HEAD} || '2. NON-NEGOTIABLE GLOBAL RULES' || chr(10) || CASE WHEN g.lines IS NULL THEN '- No additional global constraints were supplied.' ELSE replace(chr(10) || g.lines, chr(10) || '  - ', chr(10) || '- ')[2:] END
-  || chr(10) || chr(10) || '3. STRUCTURED RESPONSE BLUEPRINT' || chr(10) || 'No conditional branches were supplied.' || chr(10) || chr(10) || 'Stage flow (follow in order):' || chr(10) || body.lines || chr(10)) AS prompt_md5 FROM body LEFT JOIN g USING (sample_id)"""
+# alternate rules with their text and place; a global selection's path runs over all later blocks
+_FIRST_D = " UNION ALL ".join(f"SELECT '{k}' AS kind, {i + 1} AS k, '{c}' AS c, {DUCK.lit(t)} AS descr" for k, (_, rs) in A.FALLBACK.items() for i, (c, _, t) in enumerate(rs))
+_NEXT_D = " UNION ALL ".join(f"SELECT {j + 1} AS e, {i + 1} AS k, '{c}' AS c, {DUCK.lit(t)} AS descr" for j, rs in enumerate(A.FOLLOW) for i, (c, _, t) in enumerate(rs))
+_COND = {k: DUCK.lit(v[0]) for k, v in A.FALLBACK.items()}
+_SAID = "CASE selection_type " + " ".join(f"WHEN '{k}' THEN {DUCK.replace_all(X.condition(DUCK, c), '[.]+$', '')}" for k, c in _COND.items()) + " END"
+_NOT = "CASE selection_type " + " ".join(f"WHEN '{k}' THEN {X.negated(DUCK, c)}" for k, c in _COND.items()) + " END"
+GRAPH_SQL = f"""WITH {LINES_SQL}, {BULLET_SQL}, {RULES_SQL.removeprefix('WITH ')}, {PLAN_SQL.removeprefix('WITH ').split(BULLET_SQL + ',', 1)[1]},
+firsts AS ({_FIRST_D}), nexts AS ({_NEXT_D}),
+tails AS (SELECT p.sample_id, p.block_id, row_number() OVER (PARTITION BY p.sample_id, p.block_id ORDER BY b.o, b.block_id) AS s FROM plan p JOIN blocks b ON b.sample_id = p.sample_id AND b.o > p.o WHERE selection_type = 'global'),
+alts AS (SELECT sample_id, block_id, 0 AS step, k, block_id || '_ALT' AS owner, block_id || '_ALT_C' || k AS cid, c AS "check", descr FROM plan JOIN firsts ON kind = selection_type
+  UNION ALL SELECT sample_id, block_id, s, k, block_id || '_ALT_NEXT' || s, block_id || '_ALT_NEXT' || s || '_C' || k, c, descr FROM tails JOIN nexts ON e = least(s, {len(A.FOLLOW)})),
+numbered_rules AS (SELECT *, regexp_extract(cid, '([0-9]+)$', 1)::INT AS pos FROM all_rules),
+g AS (SELECT sample_id, string_agg('  - ' || descr, chr(10) ORDER BY pos) AS lines FROM numbered_rules WHERE owner IS NULL GROUP BY sample_id),
+own AS (SELECT sample_id, owner, string_agg('  - ' || descr, chr(10) ORDER BY pos) AS lines, string_agg('    - ' || descr, chr(10) ORDER BY pos) AS inner_lines FROM numbered_rules WHERE owner IS NOT NULL GROUP BY sample_id, owner),
+alt_lines AS (SELECT sample_id, block_id, string_agg('    - ' || descr, chr(10) ORDER BY step, k) AS lines FROM alts GROUP BY sample_id, block_id),
+choices AS (SELECT p.sample_id, p.block_id, p.o, selection_type, merge_point, '  IF ' || {_SAID} || ':' || chr(10) || a.lines || chr(10) || '  OTHERWISE:' || chr(10) || w.inner_lines AS lines, {_NOT} AS negated
+  FROM plan p JOIN alt_lines a USING (sample_id, block_id) JOIN own w ON w.sample_id = p.sample_id AND w.owner = p.block_id),
+notes AS (SELECT sample_id, '4. CURRENT CONDITION ASSUMPTION' || chr(10) || 'Unless explicitly told otherwise, assume each trigger below is FALSE:' || chr(10) || string_agg('- Paragraph ' || (o + 1) || ': ' || negated, chr(10) ORDER BY o) || chr(10) AS lines FROM choices GROUP BY sample_id),
+stages AS (SELECT doc_id AS sample_id, i, 'B' || i AS block_id, '- Stage ' || i || ': Paragraph ' || i AS head, CASE WHEN {X.logic(DUCK, 'text_span')} = 'sub-chain' THEN '  Logic cue: Address listed duties as a short sequence.' ELSE '  Logic cue: Cover all listed duties for this stage.' END AS cue,
+  coalesce(w.lines, '  - Follow the intent of this stage even if no explicit duty exists.') AS duties FROM paras LEFT JOIN own w ON w.sample_id = doc_id AND w.owner = 'B' || i)"""
+_HEAD = "'SYSTEM INSTRUCTIONS:' || chr(10) || chr(10) || '1. MISSION BRIEF' || chr(10) || '- Primary directive: Task ' || body.sample_id || chr(10) || chr(10) || '2. NON-NEGOTIABLE GLOBAL RULES' || chr(10) || CASE WHEN g.lines IS NULL THEN '- No additional global constraints were supplied.' ELSE {} END || chr(10) || chr(10) || '3. STRUCTURED RESPONSE BLUEPRINT' || chr(10)"
+_END = "CASE WHEN n.lines IS NULL THEN '' ELSE chr(10) || n.lines END"
+_TAIL = "FROM body LEFT JOIN g USING (sample_id) LEFT JOIN notes n USING (sample_id)"
+SQL["render_stage_blueprint"] = f"""{GRAPH_SQL},
+body AS (SELECT s.sample_id, string_agg(head || chr(10) || cue || chr(10) || coalesce(c.lines, duties), chr(10) ORDER BY i) AS lines FROM stages s LEFT JOIN choices c USING (sample_id, block_id) GROUP BY s.sample_id)
+SELECT body.sample_id, 'stage_blueprint' AS template, md5({_HEAD.format("'All global rules must be satisfied throughout the response:' || chr(10) || g.lines")}
+  || 'Follow stages in order and apply branch logic where stated.' || chr(10) || body.lines || chr(10) || {_END}) AS prompt_md5 {_TAIL}"""
+SQL["render_branch_first"] = f"""{GRAPH_SQL},
+map AS (SELECT sample_id, string_agg('- Decision at Paragraph ' || (o + 1) || ':' || chr(10) || lines, chr(10) ORDER BY o) AS lines FROM choices GROUP BY sample_id),
+body AS (SELECT sample_id, string_agg(head || chr(10) || duties, chr(10) ORDER BY i) AS lines FROM stages GROUP BY sample_id)
+SELECT body.sample_id, 'branch_first' AS template, md5({_HEAD.format("replace(chr(10) || g.lines, chr(10) || '  - ', chr(10) || '- ')[2:]")}
+  || coalesce('Branch map:' || chr(10) || m.lines, 'No conditional branches were supplied.') || chr(10) || chr(10) || 'Stage flow (follow in order):' || chr(10) || body.lines || chr(10) || {_END}) AS prompt_md5
+{_TAIL} LEFT JOIN map m USING (sample_id)"""
+
+
+def graph_digest(graphs: DataFrame) -> DataFrame:
+    """What a graph holds as three digests: blocks, rules and selections, each in a fixed order."""
+    md5 = lambda xs: F.md5(F.array_join(F.array_sort(F.expr(xs)), ";"))
+    block = "concat_ws('|', b.block_id, b.intent, md5(b.text_span), b.order_index, coalesce(b.is_alternate, false), coalesce(b.origin_block, '-'))"
+    rule = "concat_ws('|', coalesce(n.trace_to, '-'), n.cid, n.verifier_spec.check, md5(n.desc), n.priority_level, n.scope)"
+    sel = "concat_ws('|', s.sid, s.condition, s.trace_to, s.selection_type, coalesce(s.merge_point, '-'), array_join(s.branch_real.constraints, ','), array_join(s.branch_alt.constraints, ','), array_join(s.alt_path_blocks, ','))"
+    return graphs.select("sample_id", md5(f"transform(block_specs, b -> {block})").alias("blocks_md5"), md5(f"transform({SH.NODES}, n -> {rule})").alias("rules_md5"), md5(f"transform(selections, s -> {sel})").alias("selections_md5"))
 
 
 def graph_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Graphs to JSON in both spellings and back: counts of what comes out."""
-    g = document_graphs(spark, sf_dir)
-    back = R.decode(R.encode(g, "blocks").select("sample_id", "json"))
-    return back.select("sample_id", F.size("block_specs").alias("n_blocks"), F.expr("CAST(size(global_constraints) + aggregate(block_constraint_sets, 0, (a, s) -> a + size(s.constraints)) AS BIGINT)").alias("n_rules"))
+    """Graphs to JSON in the other spelling and back: digests of what comes out."""
+    return graph_digest(R.decode(R.encode(document_graphs(spark, sf_dir), "blocks").select("sample_id", "json")))
 
 
 QUERIES["graph_round_trip"] = graph_round_trip
-SQL["graph_round_trip"] = f"""{_RULES2} n AS (SELECT sample_id, count(*) AS n_rules FROM all_rules GROUP BY sample_id)
-SELECT doc_id AS sample_id, count(*)::INT AS n_blocks, coalesce(max(n_rules), 0) AS n_rules FROM paras LEFT JOIN n ON sample_id = doc_id GROUP BY doc_id"""
-QUERIES["graph_eval_items"] = lambda spark, d: R.eval_items(document_graphs(spark, d), "sample_id").select("sample_id", "section", "block_id", "cid", "check")
-SQL["graph_eval_items"] = f"""{RULES_SQL} SELECT sample_id, CASE WHEN owner IS NULL THEN 'global' ELSE 'block' END AS section, owner AS block_id, cid, "check" FROM all_rules
-WHERE sample_id IN (SELECT sample_id FROM all_rules WHERE owner IS NOT NULL)"""
-QUERIES["delta_view"] = lambda spark, d: R.delta_view(document_graphs(spark, d)).select("sample_id", F.size("block_specs").alias("n_blocks"))
-SQL["delta_view"] = f"""{_RULES2} n AS (SELECT sample_id, count(DISTINCT owner) AS n FROM all_rules GROUP BY sample_id)
-SELECT DISTINCT doc_id AS sample_id, coalesce(n, 0)::INT AS n_blocks FROM paras LEFT JOIN n ON sample_id = doc_id"""
+SQL["graph_round_trip"] = f"""{GRAPH_SQL},
+later AS (SELECT p.sample_id, p.block_id, b.block_id AS origin, b.o, row_number() OVER (PARTITION BY p.sample_id, p.block_id ORDER BY b.o, b.block_id) AS s FROM plan p JOIN blocks b ON b.sample_id = p.sample_id AND b.o > p.o WHERE selection_type = 'global'),
+every_block AS (SELECT doc_id AS sample_id, 'B' || i AS block_id, 'B' || i AS origin, i - 1 AS o, false AS alt FROM paras
+  UNION ALL SELECT sample_id, block_id || '_ALT', block_id, o, true FROM plan UNION ALL SELECT sample_id, block_id || '_ALT_NEXT' || s, origin, o + s + 1, true FROM later),
+b1 AS (SELECT e.sample_id, concat_ws('|', block_id, 'Paragraph ' || p.i, md5(p.text_span), o, alt, CASE WHEN alt THEN origin ELSE '-' END) AS x FROM every_block e JOIN paras p ON p.doc_id = e.sample_id AND 'B' || p.i = e.origin),
+r1 AS (SELECT sample_id, concat_ws('|', coalesce(owner, '-'), cid, "check", md5(descr), 2, CASE WHEN owner IS NULL THEN 'global' ELSE 'local' END) AS x FROM all_rules WHERE sample_id IN (SELECT doc_id FROM paras)
+  UNION ALL SELECT sample_id, concat_ws('|', owner, cid, "check", md5(descr), 2, 'local') FROM alts),
+real_ids AS (SELECT sample_id, owner AS block_id, string_agg(cid, ',' ORDER BY pos) AS ids FROM numbered_rules WHERE owner IS NOT NULL GROUP BY ALL),
+alt_ids AS (SELECT sample_id, block_id, string_agg(cid, ',' ORDER BY step, k) AS ids, string_agg(owner, ',' ORDER BY step) FILTER (WHERE k = 1) AS path FROM alts GROUP BY ALL),
+s1 AS (SELECT sample_id, concat_ws('|', 'SEL_' || block_id, CASE selection_type {' '.join(f"WHEN '{k}' THEN {c}" for k, c in _COND.items())} END, block_id, selection_type, coalesce(merge_point, '-'), r.ids, a.ids, a.path) AS x FROM choices JOIN real_ids r USING (sample_id, block_id) JOIN alt_ids a USING (sample_id, block_id)),
+digests AS (SELECT 'b' AS k, * FROM b1 UNION ALL SELECT 'r', * FROM r1 UNION ALL SELECT 's', * FROM s1)
+SELECT sample_id, md5(coalesce(string_agg(x, ';' ORDER BY x) FILTER (WHERE k = 'b'), '')) AS blocks_md5, md5(coalesce(string_agg(x, ';' ORDER BY x) FILTER (WHERE k = 'r'), '')) AS rules_md5,
+  md5(coalesce(string_agg(x, ';' ORDER BY x) FILTER (WHERE k = 's'), '')) AS selections_md5 FROM digests GROUP BY sample_id"""
+QUERIES["graph_eval_items"] = lambda spark, d: R.eval_items(document_graphs(spark, d), "sample_id").select("sample_id", "section", "block_id", "sid", "branch", "cid", "check")
+SQL["graph_eval_items"] = f"""{GRAPH_SQL} SELECT sample_id, CASE WHEN owner IS NULL THEN 'global' ELSE 'block' END AS section, owner AS block_id, NULL AS sid, NULL AS branch, cid, "check" FROM all_rules
+WHERE sample_id IN (SELECT doc_id FROM paras)
+UNION ALL SELECT c.sample_id, 'branch', NULL, 'SEL_' || c.block_id, 'real', r.cid, r."check" FROM choices c JOIN all_rules r ON r.sample_id = c.sample_id AND r.owner = c.block_id
+UNION ALL SELECT sample_id, 'branch', NULL, 'SEL_' || block_id, 'alt', cid, "check" FROM alts"""
+
+
+def changed_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the change view leaves of each graph."""
+    view = R.delta_view(document_graphs(spark, sf_dir))
+    ids = lambda xs: F.array_join(F.array_sort(F.expr(xs)), ",")
+    return view.select("sample_id", F.md5(ids("transform(block_specs, b -> b.block_id)")).alias("blocks_md5"), F.md5(ids(f"transform({SH.NODES}, n -> n.cid)")).alias("rules_md5"),
+                       F.md5(ids("transform(selections, s -> concat(s.sid, ':', size(s.branch_real.constraints), ':', size(s.branch_alt.constraints)))")).alias("selections_md5"))
+
+
+QUERIES["delta_view"] = changed_views
+SQL["delta_view"] = f"""{GRAPH_SQL},
+live AS (SELECT sample_id, owner, cid FROM all_rules WHERE NOT ends_with(cid, '1') AND sample_id IN (SELECT doc_id FROM paras) UNION ALL SELECT sample_id, owner, cid FROM alts WHERE NOT ends_with(cid, '1')),
+sides AS (SELECT c.sample_id, c.block_id, merge_point, (SELECT count(*) FROM live l WHERE l.sample_id = c.sample_id AND l.owner = c.block_id) AS n_real,
+  (SELECT count(*) FROM live l JOIN alts a ON a.sample_id = l.sample_id AND a.cid = l.cid WHERE a.sample_id = c.sample_id AND a.block_id = c.block_id) AS n_alt FROM choices c),
+told AS (SELECT * FROM sides WHERE n_real > 0 OR n_alt > 0),
+kept AS (SELECT sample_id, owner AS block_id FROM live WHERE owner IS NOT NULL UNION SELECT sample_id, block_id FROM told UNION SELECT sample_id, merge_point FROM told WHERE merge_point IS NOT NULL
+  UNION SELECT sample_id, owner FROM alts WHERE (sample_id, block_id) IN (SELECT (sample_id, block_id) FROM told)),
+lists AS (SELECT 'b' AS k, sample_id, block_id AS x FROM kept UNION ALL SELECT 'r', sample_id, cid FROM live UNION ALL SELECT 's', sample_id, concat_ws(':', 'SEL_' || block_id, n_real, n_alt) FROM told),
+every_doc AS (SELECT DISTINCT doc_id AS sample_id FROM paras)
+SELECT sample_id, md5(coalesce(string_agg(x, ',' ORDER BY x) FILTER (WHERE k = 'b'), '')) AS blocks_md5, md5(coalesce(string_agg(x, ',' ORDER BY x) FILTER (WHERE k = 'r'), '')) AS rules_md5,
+  md5(coalesce(string_agg(x, ',' ORDER BY x) FILTER (WHERE k = 's'), '')) AS selections_md5 FROM every_doc LEFT JOIN lists USING (sample_id) GROUP BY sample_id"""
 
 
 from rulegrove.plans import mermaid as MM  # noqa: E402

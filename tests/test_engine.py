@@ -14,7 +14,7 @@ from rulegrove.sources import files
 from rulegrove.streaming import scoring as streamed
 
 DATA = "/root/testdata/sf0.001"
-SLOW = {"curriculum", "mine_global_rules", "priority_injection", "graph_eval_items", "delta_view", "graph_round_trip", "render_branch_first", "m2_turns", "remove_cids", "renumber_ids"}
+SLOW = {"curriculum", "mine_global_rules", "priority_injection", "render_branch_first", "m2_turns", "remove_cids", "renumber_ids"}
 
 
 def plain(rows):

@@ -1,16 +1,18 @@
 """Exact top-k inner products: norm-sorted, SVD-rotated partial sums with Cauchy-Schwarz bounds.
 
 The Gram matrix of all vectors (d x d, summed over partitions) gives the right singular vectors;
-rotated into them, the first coordinates of a vector hold most of its length. Candidates are dealt
-evenly to stripes of about STRIPE_ROWS rows and queries to groups of QUERY_ROWS; every group meets
-every stripe, in blocks. In a stripe the vectors are taken in order of descending length. A block is
-left out, with all after it, once |q| |x| is below the query's k-th best score so far; inside a block
-the sum over the first HEAD rotated coordinates plus |q_rest| |x_rest| bounds the score, and only
-what passes is scored exactly in integers. Bounds carry a margin for rounding, so nothing that ties
-the k-th score is lost. Each stripe reports its k best per query and a window keeps the k best.
-
-Memory: one group and one stripe a task. What is shuffled for g groups and s stripes is the queries
-s times and the candidates g times.
+rotated into them, the first coordinates of a vector hold most of its length. Candidates are taken by
+descending length: the STRIPE_ROWS longest first, which give every query a k-th best score to beat,
+then the others in BANDS of falling length, each in stripes of about STRIPE_ROWS rows. A query goes
+only to the stripes of bands whose longest vector times its own length reaches its score, and a
+stripe reports only what reaches it. Inside a stripe the vectors are again in order of descending
+length. A block is left out, with all after it, once |q| |x| is below the query's k-th best score so
+far; inside a block the sum over the first HEAD rotated coordinates plus |q_rest| |x_rest| bounds the
+score, and only what passes is scored exactly in integers. Bounds carry a margin for rounding, so
+nothing that ties the k-th score is lost. A window keeps the k best of all stripes.
+
+Memory: one group of QUERY_ROWS queries and one stripe a task. For g groups and s stripes that are
+reached, candidates are shuffled g times and queries as often as they reach a stripe.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from rulegrove.llm.common import table, written
 STRIPE_ROWS = 8192
 QUERY_ROWS = 4096
 BLOCK_ROWS = 1024
+#: Bands of length that candidates are cut into.
+BANDS = 32
 HEAD = 16
 #: Up to here sums of products are exact in doubles.
 EXACT = float(1 << 53)
@@ -60,8 +64,11 @@ def rotation(vectors: DataFrame, dims: int) -> np.ndarray:
     return np.linalg.eigh(gram)[1][:, ::-1].copy()
 
 
-def best_of(queries: np.ndarray, qids: np.ndarray, cands: np.ndarray, cids: np.ndarray, turn: np.ndarray, k: int):
-    """(query index, candidate id, score) of each query's k best candidates other than itself."""
+def best_of(queries: np.ndarray, qids: np.ndarray, cands: np.ndarray, cids: np.ndarray, turn: np.ndarray, k: int, least: np.ndarray | None = None):
+    """(query index, candidate id, score) of each query's k best candidates other than itself.
+
+    least: scores below which a query's candidates do not matter, known from other candidates.
+    """
     dims = queries.shape[1]
     head = min(HEAD, dims)
     length = np.sqrt((cands**2).sum(axis=1))
@@ -70,7 +77,7 @@ def best_of(queries: np.ndarray, qids: np.ndarray, cands: np.ndarray, cids: np.n
     q_len = np.sqrt((queries**2).sum(axis=1))
     q_rot = queries @ turn
     q_rest = np.sqrt((q_rot[:, head:] ** 2).sum(axis=1))
-    floor = np.full(len(queries), -np.inf)  # the k-th best score so far
+    floor = np.full(len(queries), -np.inf) if least is None else least.copy()  # the k-th best score so far
     kept_q, kept_c, kept_s = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     for at in range(0, len(cands), BLOCK_ROWS):
         x, ids, size = cands[at : at + BLOCK_ROWS], cids[at : at + BLOCK_ROWS], length[at : at + BLOCK_ROWS]
@@ -111,7 +118,7 @@ def best_of(queries: np.ndarray, qids: np.ndarray, cands: np.ndarray, cids: np.n
         top = rank < k
         kept_q, kept_c, kept_s, rank = kept_q[top], kept_c[top], kept_s[top], rank[top]
         full = rank == k - 1
-        floor[kept_q[full]] = kept_s[full].astype(float)
+        floor[kept_q[full]] = np.maximum(floor[kept_q[full]], kept_s[full].astype(float))
     return kept_q, kept_c, kept_s
 
 
@@ -123,32 +130,68 @@ def exact_topk(vectors: DataFrame, k: int, every: int, *, key: str = "vec_id", v
     that is null or holds null or non-finite components take no part. Vectors of different lengths
     are compared over their common prefix. Rows with repeated keys take part each, as query and as
     candidate (a query that comes n times is answered once). Empty tables give empty results; other
-    columns are ignored.
+    columns are ignored. A score beyond 64 bits is an error.
     """
     whole = F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("double"))
     fine = F.coalesce(F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
     rows = vectors.filter(F.col(key).isNotNull() & F.col(vector).isNotNull() & fine)
+    squares = F.aggregate("z", F.lit(0.0), lambda a, x: a + x * x)
     rows = rows.select(F.col(key).cast("long").alias("id"), whole.alias("z"), (F.col(key) % every == 0).alias("asks"))
-    rows = written(rows.withColumn("deal", F.monotonically_increasing_id()))
-    facts = rows.agg(F.count("*").alias("n"), F.coalesce(F.max(F.size("z")), F.lit(0)).alias("dims"), F.sum(F.col("asks").cast("long")).alias("q")).first()
+    rows = written(rows.withColumn("size", F.sqrt(squares)).withColumn("deal", F.monotonically_increasing_id()))
+    facts = rows.agg(
+        F.count("*").alias("n"), F.coalesce(F.max(F.size("z")), F.lit(0)).alias("dims"), F.sum(F.col("asks").cast("long")).alias("q"), F.percentile_approx("size", F.lit([i / BANDS for i in range(1, BANDS)]), 10_000).alias("cuts")
+    ).first()
     dims = max(1, facts.dims)
     turn = rotation(rows, dims)
-    # low bits of the number count up inside a file split, so any run of equal rows is spread
-    stripes = max(1, -(-facts.n // STRIPE_ROWS))
     groups = max(1, -(-(facts.q or 0) // QUERY_ROWS))
-    asked = rows.filter("asks").dropDuplicates(["id", "z"])
-    q_rows = asked.select("id", "z", F.lit(True).alias("asks"), (F.col("deal") % groups).cast("int").alias("g"), F.explode(F.sequence(F.lit(0), F.lit(stripes - 1))).alias("s"))
-    c_rows = rows.select("id", "z", F.lit(False).alias("asks"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), (F.col("deal") % stripes).cast("int").alias("s"))
-
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        ask = pdf["asks"].to_numpy(bool)
-        z = _stacked(pdf["z"], dims)
-        ids = pdf["id"].to_numpy(np.int64)
-        q, c, s = best_of(z[ask], ids[ask], z[~ask], ids[~ask], turn, k)
-        return pd.DataFrame({"query_id": ids[ask][q], "vec_id": c, "score": np.array(s, dtype=np.int64) if s.dtype == object else s.astype(np.int64)})
-
-    found = q_rows.unionByName(c_rows).groupBy("g", "s").applyInPandas(search, "query_id long, vec_id long, score long")
-    by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    asked = written(rows.filter("asks").dropDuplicates(["id", "z"]).select("id", "z", "size", "deal", (F.col("deal") % groups).cast("int").alias("g")))
+
+    def met(queries: DataFrame, candidates: DataFrame) -> DataFrame:
+        """(deal, query_id, vec_id, score): the best of each group's queries in each stripe s that meets it."""
+
+        def search(pdf: pd.DataFrame) -> pd.DataFrame:
+            ask = pdf["asks"].to_numpy(bool)
+            z = _stacked(pdf["z"], dims)
+            ids, deal = pdf["id"].to_numpy(np.int64), pdf["deal"].to_numpy(np.int64)
+            q, c, s = best_of(z[ask], ids[ask], z[~ask], ids[~ask], turn, k, pdf["least"].to_numpy(float)[ask])
+            if len(s) and max(abs(int(s.max())), abs(int(s.min()))) >= 1 << 63:
+                raise ValueError("a score does not fit 64 bits")
+            return pd.DataFrame({"deal": deal[ask][q], "query_id": ids[ask][q], "vec_id": c, "score": np.array(s, dtype=np.int64) if s.dtype == object else s.astype(np.int64)})
+
+        ask_rows = queries.select("id", "z", "deal", "least", F.lit(True).alias("asks"), "g", "s")
+        own_rows = candidates.select("id", "z", "deal", F.lit(0.0).alias("least"), F.lit(False).alias("asks"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), "s")
+        return ask_rows.unionByName(own_rows).groupBy("g", "s").applyInPandas(search, "deal long, query_id long, vec_id long, score long")
+
+    # the longest vectors give every query a k-th best score to beat
+    longest = written(rows.orderBy(F.desc("size"), "deal").limit(STRIPE_ROWS).select("id", "z", "deal", F.lit(0).alias("s")))
+    first = written(met(asked.withColumn("least", F.lit(float("-inf"))).withColumn("s", F.lit(0)), longest))
+    place = Window.partitionBy("deal").orderBy(F.desc("score"), "vec_id")
+    floors = first.withColumn("r", F.row_number().over(place)).filter(F.col("r") == k).select("deal", F.col("score").cast("double").alias("least"))
+    # the rest lies in bands of falling length, a band in stripes of bounded size; runs of equal rows are spread by `deal`
+    rest = rows.join(longest.select("deal"), "deal", "left_anti")
+    cuts = sorted(set(facts.cuts or ()))
+    band = F.lit(0) if not cuts else sum((F.col("size") < F.lit(c)).cast("int") for c in cuts)
+    banded = written(rest.withColumn("band", band).select("id", "z", "size", "deal", "band"))
+    bands = banded.groupBy("band").agg(F.count("*").alias("n"), F.max("size").alias("top")).orderBy("band").collect()  # BANDS rows at most
+    found = first
+    if bands:
+        tops, counts, start = {}, {}, 0
+        for r in bands:
+            tops[r.band], counts[r.band] = r.top, (start, -(-r.n // STRIPE_ROWS))
+            start += counts[r.band][1]
+        pick = lambda values: F.create_map(*[F.lit(x) for kv in values.items() for x in kv])
+        own = asked.join(floors, "deal", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
+        # bands fall in length, so the stripes that can beat the floor come first
+        reach = F.lit(0)
+        for b in sorted(tops):
+            reach = F.when(F.col("size") * tops[b] * (1 + 1e-9) + 1e-6 >= F.col("least"), sum(counts[b])).otherwise(reach)
+        own = written(own.withColumn("reach", reach))
+        used = own.agg(F.max("reach").alias("m")).first().m or 0
+        asks = own.filter("reach > 0").withColumn("s", F.explode(F.sequence(F.lit(0), F.col("reach") - 1)))
+        at = pick({b: c[0] for b, c in counts.items()})[F.col("band")] + (F.col("deal") % pick({b: c[1] for b, c in counts.items()})[F.col("band")])
+        dealt = banded.withColumn("s", at.cast("int")).filter(F.col("s") < used)
+        found = first.unionByName(met(asks, dealt))
+    by = Window.partitionBy("query_id", "deal").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 

@@ -45,3 +45,20 @@ def test_few_rows_and_none(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in topk.exact_topk(df, 20, 20).collect()] == [(0, 1, 1, 64 * 128)]
     assert topk.exact_topk(df.limit(0), 20, 20).collect() == []
+
+
+def test_bands_cut_queries_and_overflow_is_told(spark, monkeypatch):
+    import pytest
+
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=6) * (50 if i % 97 == 0 else 0.5)]) for i in range(1200)]
+    monkeypatch.setattr(topk, "STRIPE_ROWS", 64)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 16)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert {tuple(r) for r in topk.exact_topk(df, 3, 15).collect()} == brute(rows, 3, 15)
+    same = [(i, [1.0, 2.0]) for i in range(300)] + [(300 + i, [float(i), 1.0]) for i in range(100)]
+    df = spark.createDataFrame(same, "vec_id long, embedding array<double>")
+    assert {tuple(r) for r in topk.exact_topk(df, 5, 50).collect()} == brute(same, 5, 50)
+    huge = spark.createDataFrame([(0, [3e17, 1.0]), (1, [3e17, 2.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        topk.exact_topk(huge, 1, 1).collect()

@@ -31,7 +31,7 @@ TERMS = 1 << 13
 RANK = 32
 EXTRA = 8
 SCALES = (1, 2, 4)
-CANDIDATE = 0.45
+CANDIDATE = 0.25
 #: Share of an item's words, in order, that makes a match; with the answer found, a lower one does.
 VERBATIM = 0.6
 PARAPHRASE = 0.5

@@ -23,7 +23,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,8 @@ SAMPLES = 2
 TEXT_PER_STEP = 1_000_000
 #: Lattices are kept for the next texts until they have more nodes than this.
 NODES_KEPT = 2_000_000
+#: Nodes that are set up at once, in wide arrays.
+NODES_AT_ONCE = 100_000
 #: Where less than this is left of a word's mass beside a segmentation, it is summed over the others, if the cell matters at all.
 SUMMED = 1e-6
 #: More than rounding adds to what is left.
@@ -70,6 +72,22 @@ def _step(n: int) -> np.uint64:
     return np.uint64((n + 1) * int(_M) & 0xFFFFFFFFFFFFFFFF)
 
 
+def scalar_uniforms(seed: int, *counters: int) -> Iterator[float]:
+    """The same numbers for one seed, the last counter running from 0."""
+    full, m = 0xFFFFFFFFFFFFFFFF, int(_M)
+
+    def mix(x: int) -> int:
+        x &= full
+        x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) & full
+        x = ((x ^ x >> 27) * 0x94D049BB133111EB) & full
+        return x ^ x >> 31
+
+    for c in counters:
+        seed = mix(seed + m * (c + 1))
+    for i in count():
+        yield ((mix(seed + m * (i + 1)) >> 11) + 0.5) / (1 << 53)
+
+
 def seed_of(key) -> int:
     return int.from_bytes(hashlib.blake2b(repr(key).encode(), digest_size=8).digest(), "little")
 
@@ -154,7 +172,18 @@ class Lattices:
             self.add(words)
 
     def add(self, words: list[str]) -> None:
-        """Set up more words; those set up before keep their numbers."""
+        """Set up more words, some NODES_AT_ONCE characters at a time; those set up before keep their numbers."""
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        cuts = np.unique(np.r_[np.searchsorted(ends, np.arange(0, int(ends[-1]), NODES_AT_ONCE)), len(words)]).tolist()
+        parts = [self._set_up(words[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+        sizes, single, beta, each, code, cum, length = (np.concatenate(x) for x in zip(*parts))
+        self.node = np.r_[self.node, len(self.beta) + np.cumsum(sizes) - sizes]
+        self.sizes, self.single = np.r_[self.sizes, sizes], np.r_[self.single, single]
+        self.edge, self.beta = np.r_[self.edge, self.edge[-1] + np.cumsum(each)], np.r_[self.beta, beta]
+        self.code, self.cum, self.length = np.r_[self.code, code], np.r_[self.cum, cum], np.r_[self.length, length]
+        self.total = self.beta[self.node]  # log mass of each word
+
+    def _set_up(self, words: list[str]) -> tuple[np.ndarray, ...]:
         voc, sizes = self.voc, np.array([len(w) for w in words], np.int64)
         cps = points("".join(words))
         n = len(cps)
@@ -214,12 +243,7 @@ class Lattices:
         each = np.bincount(rows, minlength=n)
         #: Words of one segmentation: every node has one edge.
         single = np.add.reduceat(each, first) == sizes
-        self.node = np.r_[self.node, len(self.beta) + first]
-        self.sizes, self.single = np.r_[self.sizes, sizes], np.r_[self.single, single]
-        self.edge, self.beta = np.r_[self.edge, self.edge[-1] + np.cumsum(each)], np.r_[self.beta, beta[:n]]
-        self.code, self.cum = np.r_[self.code, piece[rows, cols]], np.r_[self.cum, cum[rows, cols]]
-        self.length = np.r_[self.length, (cols + 1).astype(np.uint8)]
-        self.total = self.beta[self.node]  # log mass of each word
+        return sizes, single, beta[:n], each, piece[rows, cols], cum[rows, cols], (cols + 1).astype(np.uint8)
 
     def log_weights(self, codes: np.ndarray) -> np.ndarray:
         out = self.voc.logp[np.maximum(codes, 0)]
@@ -362,6 +386,12 @@ class Sample:
         self.codes, self.counts, self.scores, self.value = codes, counts, scores, value
         self.first = np.cumsum(counts) - counts
 
+    def before(self) -> np.ndarray:
+        """Log probability of all words before each."""
+        out = np.zeros(len(self.scores))
+        np.cumsum(self.scores[:-1], out=out[1:])
+        return out
+
     def path(self, w: int, voc_len) -> tuple[int, ...]:
         return tuple(voc_len(c) for c in self.codes[self.first[w] : self.first[w] + self.counts[w]].tolist())
 
@@ -373,7 +403,7 @@ class _Text:
         self.place, self.seed, self.word = place, seed, word
         self.found: list[Sample] = []
         self.heap: list[tuple] = []
-        self.begin, self.taken, self.parent, self.value = 0, [], None, 0.0
+        self.begin, self.taken, self.parent, self.value, self.nth = 0, [], None, 0.0, 0
 
 
 class Encoder:
@@ -432,7 +462,12 @@ class Encoder:
         skip = 1 if n else 0
         tails = [t.word[t.begin + skip :] for t in texts]
         sizes = [len(w) for w in tails]
-        seeds = mixed(np.array([t.seed for t in texts], np.uint64) + _step(n))
+        raw = np.array([t.seed for t in texts], np.uint64)
+        if not n:
+            tops = -np.log(-np.log(uniforms(raw, 0, 0xFFFFFFFF)))
+            for i, t in enumerate(texts):
+                t.nth = i
+        seeds = mixed(raw + _step(n))
         place = np.concatenate([np.arange(t.begin + skip, len(t.word)) for t in texts])
         base = mixed(np.repeat(seeds, sizes) + _M * (place.astype(np.uint64) + np.uint64(1)))
         codes, pieces, scores = lat.draw(np.concatenate(tails), base)
@@ -442,7 +477,7 @@ class Encoder:
             own = codes[stops[a] : stops[b]], pieces[a:b], scores[a:b]
             if n:
                 w, up = t.begin, t.parent
-                us = (float(u) for i in range(1 << 40) for u in uniforms(np.uint64(t.seed), n, 0xFFFFFFFD, np.arange(16 * i, 16 * i + 16)))
+                us = scalar_uniforms(t.seed, n, 0xFFFFFFFD)
                 other, score = lat.draw_other(int(t.word[w]), t.taken, us)
                 own = (
                     np.concatenate([up.codes[: int(up.first[w])], np.array(lat.codes(int(t.word[w]), other), np.int32), own[0]]),
@@ -450,7 +485,7 @@ class Encoder:
                     np.concatenate([up.scores[:w], [score], own[2]]),
                 )
             else:
-                t.value = -float(np.log(-np.log(uniforms(np.uint64(t.seed), 0, 0xFFFFFFFF)))[0])
+                t.value = float(tops[t.nth])
             t.found.append(Sample(*own, t.value))
 
     def _cells(self, lat: Lattices, texts: list[_Text], n: int) -> None:
@@ -460,7 +495,7 @@ class Encoder:
         sizes = [len(t.word) - t.begin for t in texts]
         ends = np.cumsum(sizes)
         starts = ends - sizes
-        before = np.concatenate([(c := np.r_[0, np.cumsum(t.found[-1].scores)])[t.begin : len(c) - 1] for t in texts])
+        before = np.concatenate([t.found[-1].before()[t.begin :] for t in texts])
         scores = np.concatenate([t.found[-1].scores[t.begin :] for t in texts])
         word = np.concatenate([t.word[t.begin :] for t in texts])
         # where little is left a bound stands for it until the cell comes out among the best

@@ -227,12 +227,18 @@ def disclosures(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFr
     held = rows_of.join(df_e, "entity", "left_semi").groupBy("row").agg(F.collect_list("entity").alias("held"))
     once = found.join(held, "row").select("held", F.explode(F.array_distinct(F.col("words.term"))).alias("term"))
     both = once.select(F.explode("held").alias("entity"), "term").groupBy("entity", "term").agg(F.count("*").alias("n_te"))
-    often = both.filter(F.col("n_te") >= SUPPORT)
-    df_t = document_frequencies(docs, often.select("term").distinct(), text).withColumnRenamed("df", "df_t")
     n = F.lit(float(docs.count()))
-    pmi = F.log2(F.col("n_te") * n / (F.col("df_t") * F.col("df_e")))
-    npmi = F.when(F.col("n_te") >= n, F.lit(0.0)).otherwise(pmi / -F.log2(F.col("n_te") / n))
-    return often.join(df_t, "term").join(df_e, "entity").select("entity", "term", npmi.alias("npmi")).filter(F.col("npmi") > GENERALISE)
+
+    def npmi(df_t: str):
+        pmi = F.log2(F.col("n_te") * n / (F.col(df_t) * F.col("df_e")))
+        return F.when(F.col("n_te") >= n, F.lit(0.0)).otherwise(pmi / -F.log2(F.col("n_te") / n))
+
+    # a term is in at least as many rows as hold it beside some entity; with that alone most pairs are out
+    beside = once.groupBy("term").agg(F.count("*").alias("least_df"))
+    often = both.filter(F.col("n_te") >= SUPPORT).join(df_e, "entity").join(beside.hint("merge"), "term")
+    often = written(often.filter(npmi("least_df") > GENERALISE - 1e-9).select("entity", "term", "n_te", "df_e"))
+    df_t = document_frequencies(docs, often.select("term").distinct(), text).withColumnRenamed("df", "df_t")
+    return often.join(df_t, "term").select("entity", "term", npmi("df_t").alias("npmi")).filter(F.col("npmi") > GENERALISE)
 
 
 def sanitised_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:

@@ -82,6 +82,13 @@ def test_all_segmentations_are_found_when_few():
     assert all(g[3] == 0 for g in got)
 
 
+def test_scalar_numbers_are_those_of_arrays():
+    from itertools import islice
+
+    for seed in (0, 5, (1 << 64) - 1):
+        assert list(islice(pieces.scalar_uniforms(seed, 1, 0xFFFFFFFD), 20)) == pieces.uniforms(np.uint64(seed), 1, 0xFFFFFFFD, np.arange(20)).tolist()
+
+
 def test_what_is_left_of_a_near_certain_word_is_summed():
     enc = pieces.Encoder(pieces.MODEL, 2)
     lat = pieces.Lattices(enc.voc, [" the"])

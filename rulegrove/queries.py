@@ -483,7 +483,14 @@ hits AS (SELECT *, r = 1 AND able AS hit, bool_or(r = 1 AND able) OVER (PARTITIO
 SELECT sample_id, turn::INT AS turn, CASE WHEN hit AND turn = 1 THEN cid || '__m2_alt' ELSE cid END AS cid, "check",
   CASE WHEN hit AND turn = 1 THEN '{{"' || name || '": ' || new || '}}' ELSE args END AS args, CASE WHEN hit AND turn = 1 THEN 1 ELSE 2 END AS priority_level, hit AND turn = 2 AS restored
 FROM hits, range(1, 3) t(turn) WHERE any_hit"""
-QUERIES["curriculum"] = lambda spark, d: A.curriculum(document_rules(spark, d), least=6, floor=1).select("sample_id", "level", "cid")
+QUERIES["curriculum"] = lambda spark, d: A.curriculum(document_rules(spark, d)).select("sample_id", "level", "cid")
+_LEVELS = ", ".join(
+    f"l{k} AS (SELECT sample_id, cid FROM (SELECT sample_id, cid, count(*) OVER (PARTITION BY sample_id) AS n, row_number() OVER (PARTITION BY sample_id ORDER BY {_KEY('sample_id', repr(f'level{k}'), 'cid')}) AS r FROM l{k + 1})"
+    f" WHERE r > 1 + floor({_U('sample_id', repr(f'level{k}'))} * least(3, n - {4 + k})))"
+    for k in (4, 3, 2, 1)
+)
+SQL["curriculum"] = f"""{RULES_SQL}, l5 AS (SELECT sample_id, cid FROM (SELECT *, count(*) OVER (PARTITION BY sample_id) AS n FROM all_rules) WHERE n >= 15), {_LEVELS}
+{' UNION ALL '.join(f'SELECT sample_id, {k}::INT AS level, cid FROM l{k}' for k in (5, 4, 3, 2, 1))}"""
 
 
 def conversation_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -569,6 +576,22 @@ SQL["high_impact_topk"] = f"SELECT corpusId, ref_id, rank::INT AS rank FROM (SEL
 QUERIES["survey_answers"] = lambda spark, d: E.answers(surveys(spark))
 
 
+def _answer(corpus: str) -> str:
+    """The fixture's answer by plain loops."""
+    rows = [x for x in CITES if x[0] == corpus]
+    told = []
+    for s in sorted({x[1] for x in rows}):
+        paras = []
+        for p in sorted({x[2] for x in rows if x[1] == s}):
+            marks = dict.fromkeys(f"[{x[3]}]" for x in rows if x[1:3] == (s, p))
+            paras.append(f"Text {s}.{p}. " + " ".join(marks))
+        told.append(f"## Section {s}\n\n" + "\n\n".join(paras))
+    return "\n\n".join(told)
+
+
+SQL["survey_answers"] = "SELECT * FROM (VALUES " + ", ".join(f"('{c}', {DUCK.lit(_answer(c))})" for c in ("s1", "s2")) + ") a(corpusId, text)"
+
+
 def benchmark_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The twelve longest benchmark items of each of ten groups: the same top-k on a real table."""
     refs = table(spark, sf_dir, "benchmark").select((F.col("item_id") % 10).alias("corpusId"), F.col("item_id").cast("string").alias("ref_id"), F.length("text").alias("citationCount"))
@@ -657,6 +680,37 @@ SELECT body.sample_id, 'branch_first' AS template, md5({_HEAD.format("replace(ch
 {_TAIL} LEFT JOIN map m USING (sample_id)"""
 
 
+_SCOPED_SQL = f"""{GRAPH_SQL},
+scoped AS (SELECT sample_id, cid, "check" AS kind, descr, pos, 0 AS k, 'Global' AS scope FROM numbered_rules WHERE owner IS NULL
+  UNION ALL SELECT sample_id, cid, "check", descr, pos, 1, 'Stage: Paragraph ' || owner[2:] FROM numbered_rules WHERE owner IS NOT NULL AND (sample_id, owner) NOT IN (SELECT (sample_id, block_id) FROM choices))"""
+_BRIEF = "'SYSTEM INSTRUCTIONS:' || chr(10) || chr(10) || '1. MISSION BRIEF' || chr(10) || '- Primary directive: Task ' || body.sample_id || chr(10) || chr(10)"
+_LISTED = "'Follow stages in order. Selection stages list their local constraints below.' || chr(10) || body.lines || chr(10)"
+SQL["render_priority_layered"] = f"""{_SCOPED_SQL},
+by_scope AS (SELECT sample_id, k, scope, '  ' || scope || ':' || chr(10) || string_agg('    * ' || descr, chr(10) ORDER BY pos) AS lines FROM scoped GROUP BY sample_id, k, scope),
+told AS (SELECT sample_id, '- Primary:' || chr(10) || string_agg(lines, chr(10) ORDER BY k, scope) AS lines FROM by_scope GROUP BY sample_id),
+alt_parts AS (SELECT sample_id, block_id, step, '    - Primary constraints:' || chr(10) || string_agg('      * ' || descr, chr(10) ORDER BY k) AS lines FROM alts GROUP BY ALL),
+alt_layers AS (SELECT sample_id, block_id, string_agg(lines, chr(10) ORDER BY step) AS lines FROM alt_parts GROUP BY ALL),
+real_layers AS (SELECT sample_id, owner AS block_id, '    - Primary constraints:' || chr(10) || string_agg('      * ' || descr, chr(10) ORDER BY pos) AS lines FROM numbered_rules WHERE owner IS NOT NULL GROUP BY ALL),
+layers AS (SELECT p.sample_id, p.block_id, '  IF ' || {_SAID} || ':' || chr(10) || a.lines || chr(10) || '  OTHERWISE:' || chr(10) || r.lines AS lines FROM plan p JOIN alt_layers a USING (sample_id, block_id) JOIN real_layers r USING (sample_id, block_id)),
+body AS (SELECT s.sample_id, string_agg(head || coalesce(chr(10) || l.lines, ''), chr(10) ORDER BY i) AS lines FROM stages s LEFT JOIN layers l USING (sample_id, block_id) GROUP BY s.sample_id)
+SELECT body.sample_id, 'priority_layered' AS template, md5({_BRIEF} || '2. CONSTRAINT SUMMARY BY PRIORITY' || chr(10) || 'Constraints grouped by priority, then by scope.' || chr(10)
+  || coalesce(t.lines, '- No additional global constraints were supplied.') || chr(10) || chr(10) || '3. RESPONSE BLUEPRINT' || chr(10) || {_LISTED} || {_END}) AS prompt_md5
+FROM body LEFT JOIN told t USING (sample_id) LEFT JOIN notes n USING (sample_id)"""
+SQL["render_grouped_by_check"] = f"""{_SCOPED_SQL},
+often AS (SELECT sample_id, kind FROM scoped GROUP BY ALL HAVING count(*) >= 2),
+by_scope AS (SELECT s.sample_id, kind, k, scope, '  ' || scope || ':' || chr(10) || string_agg('    * ' || descr, chr(10) ORDER BY pos) AS lines FROM scoped s JOIN often o USING (sample_id, kind) GROUP BY s.sample_id, kind, k, scope),
+by_kind AS (SELECT sample_id, kind, '- ' || kind || ':' || chr(10) || string_agg(lines, chr(10) ORDER BY k, scope) AS lines FROM by_scope GROUP BY sample_id, kind),
+told AS (SELECT sample_id, string_agg(lines, chr(10) ORDER BY kind) AS lines FROM by_kind GROUP BY sample_id),
+gone AS (SELECT s.sample_id, s.cid FROM scoped s JOIN often o USING (sample_id, kind)),
+rest AS (SELECT sample_id, owner, string_agg('  - ' || descr, chr(10) ORDER BY pos) AS lines FROM numbered_rules WHERE (sample_id, cid) NOT IN (SELECT (sample_id, cid) FROM gone) GROUP BY ALL),
+body AS (SELECT s.sample_id, string_agg(head || coalesce(chr(10) || coalesce(c.lines, r.lines), ''), chr(10) ORDER BY i) AS lines
+  FROM stages s LEFT JOIN choices c USING (sample_id, block_id) LEFT JOIN rest r ON r.sample_id = s.sample_id AND r.owner = s.block_id GROUP BY s.sample_id)
+SELECT body.sample_id, 'grouped_by_check' AS template, md5({_BRIEF} || '2. CONSTRAINT SUMMARY BY TYPE' || chr(10) || 'Only constraint types with two or more instances are summarized here.' || chr(10)
+  || coalesce(t.lines, '- No constraint types met the summary threshold.') || chr(10) || chr(10) || '3. RESPONSE BLUEPRINT & REMAINING RULES' || chr(10)
+  || coalesce('Remaining global rules (not included in the summary):' || chr(10) || r.lines || chr(10), '') || {_LISTED} || {_END}) AS prompt_md5
+FROM body LEFT JOIN told t USING (sample_id) LEFT JOIN notes n USING (sample_id) LEFT JOIN rest r ON r.sample_id = body.sample_id AND r.owner IS NULL"""
+
+
 def graph_digest(graphs: DataFrame) -> DataFrame:
     """What a graph holds as three digests: blocks, rules and selections, each in a fixed order."""
     md5 = lambda xs: F.md5(F.array_join(F.array_sort(F.expr(xs)), ";"))

@@ -229,10 +229,13 @@ def template_name(name: str) -> str:
 
 
 def template_pool(names: list[str] | None) -> tuple[list[str], list[str]]:
-    """(known templates, once each; names that are none). Without a known one: all."""
-    known = [template_name(x) for x in names or []]
-    fine = list(dict.fromkeys(x for x in known if x in R.TEMPLATES))
-    return fine or list(R.TEMPLATES), [raw for raw, x in zip(names or [], known) if x not in R.TEMPLATES]
+    """(known templates, once each; names that are none or come again). Without a known one: all."""
+    fine: list[str] = []
+    other = []
+    for raw in names or []:
+        known = template_name(raw) in R.TEMPLATES and template_name(raw) not in fine
+        (fine if known else other).append(template_name(raw) if known else raw)
+    return fine or list(R.TEMPLATES), other
 
 
 def template_weights(raw: str = "") -> dict[str, int]:

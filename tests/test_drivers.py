@@ -150,7 +150,7 @@ def test_batch_rendering_resumes_and_shards(spark, graphs):
 
 
 def test_template_choice():
-    assert shape.template_pool(["Branch-First", "branch_first", "x"]) == (["branch_first"], ["x"]) and shape.template_pool([])[0] == list(render.TEMPLATES)
+    assert shape.template_pool(["Branch-First", "branch_first", "x"]) == (["branch_first"], ["branch_first", "x"]) and shape.template_pool([])[0] == list(render.TEMPLATES)
     assert shape.template_weights("") == shape.WEIGHTS and shape.template_weights("x:3,branch_first:0") == shape.WEIGHTS
     assert shape.template_weights("Branch-First: 7 , junk, stage_blueprint:a") == {"stage_blueprint": 1, "branch_first": 7, "grouped_by_check": 1, "priority_layered": 1}
 

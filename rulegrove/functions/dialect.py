@@ -60,6 +60,10 @@ class Spark:
     def ends(self, t, s):
         return f"endswith({t}, {s})"
 
+    def shared(self, xs, ys):
+        """How many distinct items two lists have in common."""
+        return f"size(array_intersect({xs}, {ys}))"
+
     def member(self, xs, x):
         return f"array_contains({xs}, {x})"
 
@@ -133,6 +137,9 @@ class Duck:
     def ends(self, t, s):
         return f"ends_with({t}, {s})"
 
+    def shared(self, xs, ys):
+        return f"len(list_intersect({xs}, {ys}))"
+
     def member(self, xs, x):
         return f"list_contains({xs}, {x})"
 

@@ -96,7 +96,7 @@ def rewrite_reason(d, old: str, new: str, share: float = 0.12, hits: int = 3) ->
     """SQL: ok, too_short or coverage, for a rewrite of a text."""
     n_old, n_new = X.words(d, old), X.words(d, new)
     floor = "CASE " + " ".join(f"WHEN {n_old} >= {n} THEN {f}" for n, f in FLOORS["polish"]) + " END"
-    both = d.size(d.keep(X.tokens(d, old), "x", d.member(X.tokens(d, new), "x")))
+    both = d.shared(X.tokens(d, old), X.tokens(d, new))
     size = d.size(X.tokens(d, old))
     return (
         f"CASE WHEN {n_old} > 0 AND CAST({n_new} AS DOUBLE) / {n_old} < {floor} THEN 'too_short'"

@@ -483,13 +483,13 @@ hits AS (SELECT *, r = 1 AND able AS hit, bool_or(r = 1 AND able) OVER (PARTITIO
 SELECT sample_id, turn::INT AS turn, CASE WHEN hit AND turn = 1 THEN cid || '__m2_alt' ELSE cid END AS cid, "check",
   CASE WHEN hit AND turn = 1 THEN '{{"' || name || '": ' || new || '}}' ELSE args END AS args, CASE WHEN hit AND turn = 1 THEN 1 ELSE 2 END AS priority_level, hit AND turn = 2 AS restored
 FROM hits, range(1, 3) t(turn) WHERE any_hit"""
-QUERIES["curriculum"] = lambda spark, d: A.curriculum(document_rules(spark, d)).select("sample_id", "level", "cid")
+QUERIES["curriculum"] = lambda spark, d: A.curriculum(document_rules(spark, d), least=6, floor=1).select("sample_id", "level", "cid")  # no text here has 15 rules
 _LEVELS = ", ".join(
     f"l{k} AS (SELECT sample_id, cid FROM (SELECT sample_id, cid, count(*) OVER (PARTITION BY sample_id) AS n, row_number() OVER (PARTITION BY sample_id ORDER BY {_KEY('sample_id', repr(f'level{k}'), 'cid')}) AS r FROM l{k + 1})"
-    f" WHERE r > 1 + floor({_U('sample_id', repr(f'level{k}'))} * least(3, n - {4 + k})))"
+    f" WHERE r > 1 + floor({_U('sample_id', repr(f'level{k}'))} * least(3, n - {k})))"
     for k in (4, 3, 2, 1)
 )
-SQL["curriculum"] = f"""{RULES_SQL}, l5 AS (SELECT sample_id, cid FROM (SELECT *, count(*) OVER (PARTITION BY sample_id) AS n FROM all_rules) WHERE n >= 15), {_LEVELS}
+SQL["curriculum"] = f"""{RULES_SQL}, l5 AS (SELECT sample_id, cid FROM (SELECT *, count(*) OVER (PARTITION BY sample_id) AS n FROM all_rules) WHERE n >= 6), {_LEVELS}
 {' UNION ALL '.join(f'SELECT sample_id, {k}::INT AS level, cid FROM l{k}' for k in (5, 4, 3, 2, 1))}"""
 
 

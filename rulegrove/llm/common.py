@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 LOCAL_DIR = "/tmp/checkpoints"
 #: Most bytes of one Arrow batch that is sent to a Python worker.
 ARROW_BYTES = 4 << 20
+#: Bits of the bitmap of flagged(), in pieces of PIECE_BITS, which is what Spark's bitmap functions hold.
+BITMAP_BITS = 1 << 24
+PIECE_BITS = 1 << 15
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +85,23 @@ def replaced(old: DataFrame, new: DataFrame) -> DataFrame:
     return new
 
 
+def flagged(df: DataFrame, name: str, keys: DataFrame, flag: str) -> DataFrame:
+    """df with a boolean column `flag`: true if df's column `name` is in keys(name), and by chance for a few others.
+
+    Both are whole numbers, none null in keys. What is broadcast is a bitmap of the keys' hashes, of
+    BITMAP_BITS bits at most however many keys there are. An exact join of the flagged rows alone then
+    settles them, and the others need not be moved. With very many keys most rows are flagged.
+    """
+    place = F.pmod(F.xxhash64(F.col(name).cast("long")), F.lit(BITMAP_BITS))
+    piece, bits = fresh("_piece", df), fresh("_bits", df)
+    placed = keys.select(F.floor(place / PIECE_BITS).cast("int").alias(piece), (place % PIECE_BITS).alias("at")).repartition(piece)
+    pieces = placed.groupBy(piece).agg(F.bitmap_construct_agg("at").alias(bits))
+    byte = F.conv(F.hex(F.substring(bits, ((place % PIECE_BITS) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False))
+    joined = df.withColumn(piece, F.floor(place / PIECE_BITS).cast("int")).join(F.broadcast(pieces), piece, "left")
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], held.alias(flag))
+
+
 def crc_text(col) -> F.Column:
     """Unsigned CRC-32 of a value's decimal text."""
     return F.crc32(F.encode(col.cast("string"), "UTF-8"))

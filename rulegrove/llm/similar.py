@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rulegrove.llm.common import arrow_bounded, fresh, numbered, written
+from rulegrove.llm.common import arrow_bounded, flagged, fresh, numbered, written
 from rulegrove.llm.components import components
 from rulegrove.llm.simhash import BYTES_PER_BATCH, WIDE_RADIUS, _wide_runs, _wide_variants, shingle_hashes, wide_fingerprints_of
 
@@ -182,7 +182,9 @@ def similar_groups(docs: DataFrame, row: str, text: str = "text") -> DataFrame:
     keyed = written(keyed.withColumn("before", F.lag("node").over(beside)).withColumn("after", F.lead("node").over(beside)).filter("before IS NOT NULL OR after IS NOT NULL"))
     pairs = written(close.union(keyed.filter("before IS NOT NULL").select(*ordered("before", "node"))).distinct())
     needed = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
-    sets = written(source.join(needed, "row", "left_semi").mapInArrow(_sets, "node long, set array<long>"))
+    # of the texts, those that some pair needs are moved, and few others
+    likely = flagged(source, "row", needed, "likely").filter("likely").drop("likely")
+    sets = written(likely.join(needed, "row", "left_semi").mapInArrow(_sets, "node long, set array<long>"))
 
     def linked(pairs: DataFrame) -> DataFrame:
         both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("p")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("q")), "b")
@@ -228,6 +230,11 @@ def drop_similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """docs with one row of each group of similar texts: the one with the smallest key (null keys last)."""
     row = fresh("_row", docs)
     rows = numbered(docs, row)
-    named = similar_groups(rows, row, text).toDF("r", "c").join(rows.select(F.col(row).alias("r"), F.col(key).alias("k")), "r")
-    kept = named.groupBy("c").agg(F.min(F.struct(F.col("k").isNull(), "k", "r")).alias("m")).select(F.col("m.r").alias(row))
-    return rows.join(kept.hint("shuffle_hash"), row, "left_semi").select(*docs.columns)
+    named = written(similar_groups(rows, row, text).toDF("r", "c").join(rows.select(F.col(row).alias("r"), F.col(key).alias("k")), "r"))
+    kept = named.groupBy("c").agg(F.min(F.struct(F.col("k").isNull(), "k", "r")).alias("m")).select(F.col("m.r").alias("r"))
+    dropped = written(named.join(kept, "r", "left_anti").select(F.col("r").alias(row)))
+    # the texts that stay are not moved, but for few that look like dropped ones
+    flag = fresh("_flag", rows)
+    told = flagged(rows, row, dropped, flag)
+    spared = told.filter(F.col(flag)).join(dropped.hint("shuffle_hash"), row, "left_anti")
+    return told.filter(~F.col(flag)).select(*docs.columns).union(spared.select(*docs.columns))

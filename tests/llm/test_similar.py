@@ -80,3 +80,39 @@ def test_sketches_estimate_similarity():
         b = np.r_[a[:k], rng.integers(0, 1 << 63, 1000 - k, np.uint64)]
         x, y = similar.sketches([a, b])
         assert abs(np.bitwise_count(x ^ y).sum() / similar.BITS - (1 - share) / 2) < 0.045
+
+
+def shuffled_bytes(spark):
+    found = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+    return sum(found.apply(i).totalShuffleWrite() for i in range(found.size()))
+
+
+def test_texts_that_look_like_no_other_are_not_moved(spark, tmp_path):
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"{rng.getrandbits(60):x}" for _ in range(1500))) for i in range(300)]
+    rows += [(1000 + i, rows[i][1] + " tail") for i in range(3)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    was = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        before = shuffled_bytes(spark)
+        assert sorted(r.doc_id for r in similar.drop_similar(docs).select("doc_id").collect()) == list(range(300))
+        similar.drop_similar(docs).write.parquet(f"{tmp_path}/out")
+        assert (shuffled_bytes(spark) - before) / 2 < 0.5 * sum(len(t) for _, t in rows)
+    finally:
+        spark.conf.set(name, was)
+
+
+def test_flagged_rows_are_all_keys_and_few_others(spark):
+    from rulegrove.llm.common import flagged
+
+    df = spark.range(-20_000, 20_000).withColumnRenamed("id", "n")
+    keys = df.filter("n % 7 = 3").unionByName(spark.createDataFrame([(10**18,)], "n long"))
+    told = flagged(df, "n", keys, "hit")
+    assert told.columns == ["n", "hit"] and told.count() == 40_000
+    got = {r.n for r in told.filter("hit").collect()}
+    want = {r.n for r in keys.collect()} - {10**18}
+    assert want <= got and len(got) < len(want) + 60
+    assert flagged(df, "n", keys.limit(0), "hit").filter("hit").count() == 0

@@ -38,8 +38,8 @@ BLANK, LITERAL = 0x2581, 0x110000
 ZIPF = 2.7
 SAMPLES = 2
 TEXT_PER_STEP = 1_000_000
-#: Lattices are kept for the next texts until they have more nodes than this.
-NODES_KEPT = 2_000_000
+#: Lattices are kept for the next texts until they have more nodes than this; results do not depend on it.
+NODES_KEPT = 500_000
 #: Nodes that are set up at once, in wide arrays.
 NODES_AT_ONCE = 100_000
 #: Where less than this is left of a word's mass beside a segmentation, it is summed over the others, if the cell matters at all.

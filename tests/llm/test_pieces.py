@@ -125,3 +125,18 @@ def test_frames(spark):
     figures = pieces.digests(df).collect()
     assert len(figures) == len(back) and all(r.exact for r in figures)
     assert pieces.encode(df.limit(0)).collect() == []
+
+
+def test_kept_lattices_are_small_and_change_nothing(monkeypatch):
+    rng = np.random.default_rng(3)
+    words = ["".join(map(chr, rng.integers(97, 123, rng.integers(3, 12)))) for _ in range(20_000)]
+    enc = pieces.Encoder(pieces.MODEL, 2)
+    enc.encode([0], [" ".join(words)])
+    held = sum(x.nbytes for x in vars(enc.lat).values() if isinstance(x, np.ndarray))
+    assert held / len(enc.lat.beta) * pieces.NODES_KEPT < 64e6
+    texts = [" ".join(words[i : i + 30]) for i in range(0, 300, 30)]
+    kept = [enc.encode([i], [t]) for i, t in enumerate(texts)]
+    monkeypatch.setattr(pieces, "NODES_KEPT", 0)
+    for i, t in enumerate(texts):
+        for (a, *x), (b, *y) in zip(kept[i][0], enc.encode([i], [t])[0], strict=True):
+            assert a.tolist() == b.tolist() and x == y

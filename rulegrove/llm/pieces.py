@@ -40,15 +40,14 @@ SAMPLES = 2
 TEXT_PER_STEP = 1_000_000
 #: Lattices are kept for the next texts until they have more nodes than this; results do not depend on it.
 NODES_KEPT = 500_000
-#: Nodes that are set up at once, in wide arrays.
-NODES_AT_ONCE = 100_000
+#: Nodes that are set up at once: few enough for their arrays to stay in a core's cache.
+NODES_AT_ONCE = 30_000
 #: Where less than this is left of a word's mass beside a segmentation, it is summed over the others, if the cell matters at all.
 SUMMED = 1e-6
 #: More than rounding adds to what is left.
 ROUNDING = 1e-9
 _M = np.uint64(0x9E3779B97F4A7C15)
-_MI = np.uint64(pow(int(_M), -1, 1 << 64))
-_FILTER_BITS = 18
+_FILTER_BITS, _START_BITS = 18, 16
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -110,30 +109,41 @@ class Vocabulary:
             if "\n" in p or " " in p or "▁" in p.lstrip("▁"):
                 raise ValueError("a piece crosses a word boundary")
         self.longest = max((len(p) for _, p in normal), default=1)
-        self.width = -(-self.longest // 8) * 8
         rank = np.arange(n, dtype=np.float64)
         self.logp = -np.log(rank + ZIPF)
         self.logp -= np.log(np.exp(self.logp).sum())
         self.byte_logp = float(self.logp[-1])
         self.logs = self.logp.tolist()
         self.bytes_of = [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        up = np.multiply.accumulate(np.r_[np.uint64(1), np.full(self.longest, _M, np.uint64)])
-        self.tables, self.begun = [], []
-        points_of = [np.array([ord(c) for c in p], np.uint64) for _, p in normal]
+        self.steps = np.multiply.accumulate(np.full(self.longest, _M, np.uint64))
+        self.tables = []
+        #: hash of each beginning of each piece, by length
+        begun = [np.cumsum((np.array([ord(c) for c in p], np.uint64) + np.uint64(1)) * self.steps[: len(p)]) for _, p in normal]
         for size in range(1, self.longest + 1):
-            own = [(i, np.array([ord(c) for c in p], np.uint64)) for i, p in normal if len(p) == size]
-            h = np.array([int(((cps + np.uint64(1)) * up[:size]).sum()) for _, cps in own], np.uint64)
-            ids = np.array([i for i, _ in own], np.int32)
+            h = np.array([x[-1] for x in begun if len(x) == size], np.uint64)
             order = np.argsort(h)
-            h, ids = h[order], ids[order]
-            seen = np.zeros(1 << _FILTER_BITS, bool)
-            seen[(mixed(h) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
-            self.tables.append((h, ids, seen))
+            h, ids = h[order], np.array([i for i, p in normal if len(p) == size], np.int32)[order]
+            first = np.searchsorted(h, np.arange(1 << _START_BITS, dtype=np.uint64) << np.uint64(64 - _START_BITS)).astype(np.int32)
             # beginnings of longer pieces: a node goes on to the next length only if one fits so far
-            longer = np.array([int(((cps[:size] + np.uint64(1)) * up[:size]).sum()) for cps in points_of if len(cps) > size], np.uint64)
-            begun = np.zeros(1 << _FILTER_BITS, bool)
-            begun[(mixed(longer) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
-            self.begun.append(begun)
+            longer = np.array([x[size - 1] for x in begun if len(x) > size], np.uint64)
+            maybe = np.zeros(1 << _FILTER_BITS, np.uint8)
+            for bit, x in ((1, h), (2, longer)):
+                maybe[(x >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] |= bit
+            self.tables.append((maybe, first, np.r_[h, np.uint64(0xFFFFFFFFFFFFFFFF)], np.r_[ids, np.int32(-1)]))
+
+    def find(self, size: int, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of strings of one size, by hash: those that are pieces, ids of these, and those that longer pieces may begin with."""
+        maybe, first, hashes, ids = self.tables[size - 1]
+        kind = maybe[(h >> np.uint64(64 - _FILTER_BITS)).view(np.int64)]
+        at = np.flatnonzero(kind & 1)
+        h = h[at]
+        where = first[(h >> np.uint64(64 - _START_BITS)).view(np.int64)]
+        on = np.flatnonzero(hashes[where] < h)
+        while len(on):
+            where[on] += 1
+            on = on[hashes[where[on]] < h[on]]
+        hit = np.flatnonzero((hashes[where] == h) & (ids[where] >= 0))
+        return at[hit], ids[where[hit]], np.flatnonzero(kind & 2)
 
 
 @lru_cache(maxsize=4)
@@ -147,17 +157,6 @@ def points(text: str) -> np.ndarray:
     return np.where(cps == BLANK, LITERAL, np.where(cps == 32, BLANK, cps)).astype(np.uint64)
 
 
-_tables: dict[str, np.ndarray] = {}
-
-
-def _power(base, name: str, n: int) -> np.ndarray:
-    if len(_tables.get(name, ())) < n:
-        steps = np.full(1 << max(14, n.bit_length()), base, np.uint64)
-        steps[0] = 1
-        _tables[name] = np.multiply.accumulate(steps)
-    return _tables[name][:n]
-
-
 class Lattices:
     """The lattices of distinct words. Node of word w at character i: node[w] + i; edges by length."""
 
@@ -188,62 +187,71 @@ class Lattices:
         cps = points("".join(words))
         n = len(cps)
         ends = np.cumsum(sizes)
-        first = ends - sizes
         rem = np.repeat(ends, sizes) - np.arange(n)  # characters to the word's end
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((cps + np.uint64(1)) * _power(_M, "up", n), out=sums[1:])
-        down = _power(_MI, "down", n + 1)
-        width = voc.width
-        piece = np.full((n, width), -1, np.int32)
-        logp = np.full((n, width), -np.inf)
-        live = np.arange(n)
+        each = np.zeros(n, np.int64)  # edges of a node
+        found = []  # (nodes, places among the node's edges, length, codes)
+        live, h = np.arange(n), (cps + np.uint64(1)) * _M
         for size in range(1, voc.longest + 1):
-            h_all, ids, seen = voc.tables[size - 1]
-            if size > 1:
-                live = live[rem[live] >= size]
-            if not len(live):
+            at, ids, on = voc.find(size, h)
+            at = live[at]
+            found.append((at, each[at], size, ids))
+            each[at] += 1
+            if size == 1:  # characters without a piece are spelled in bytes: coded as -2 - code point
+                at = np.flatnonzero(each == 0)
+                found.append((at, 0, 1, -2 - np.where(cps[at] == LITERAL, BLANK, cps[at]).astype(np.int32)))
+                each[at] = 1
+            if size == voc.longest:
+                break
+            on = on[rem[live[on]] > size]
+            if not len(on):
                 break
-            h = (sums[live + size] - sums[live]) * down[live]
-            slot = (mixed(h) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)
-            maybe = seen[slot]
-            at, h = live[maybe], h[maybe]
-            live = live[voc.begun[size - 1][slot]]
-            if not len(ids):
-                continue
-            where = np.minimum(np.searchsorted(h_all, h), len(h_all) - 1)
-            hit = h_all[where] == h
-            at, ids = at[hit], ids[where[hit]]
-            piece[at, size - 1] = ids
-            logp[at, size - 1] = voc.logp[ids]
-        # characters without a piece are spelled in bytes: coded as -2 - code point
-        bare = np.flatnonzero(piece[:, 0] < 0)
-        real = np.where(cps[bare] == LITERAL, BLANK, cps[bare]).astype(np.int64)
-        piece[bare, 0] = -2 - real
-        logp[bare, 0] = voc.byte_logp * _utf8_sizes(real)
+            live = live[on]
+            h = h[on] + (cps[live + size] + np.uint64(1)) * voc.steps[size]
+        # nodes by their distance from the word's end, so that what lies ahead is known; edges likewise
+        order = np.argsort(rem.astype(np.uint16) if sizes.max() < 1 << 16 else rem, kind="stable")
+        many = each[order]
+        stops = np.cumsum(many)
+        starts = stops - many
+        begin = np.empty(n, np.int64)
+        begin[order] = starts
+        code, length = np.empty(int(stops[-1]), np.int32), np.empty(int(stops[-1]), np.uint8)
+        for at, nth, size, ids in found:
+            place = begin[at] + nth
+            code[place], length[place] = ids, size
+        node = np.repeat(order, many)
+        ahead = node + length
+        ahead[length == rem[node]] = n
+        v = self.log_weights(code)
         beta = np.zeros(n + 1)  # log mass from a node to its word's end
-        cum = np.empty((n, width))
-        order = np.argsort(rem, kind="stable")
-        steps = np.arange(1, width + 1)
-        cut = np.searchsorted(rem[order], np.arange(1, int(rem.max(initial=0)) + 2))
-        for d in range(1, len(cut)):
-            rows = order[cut[d - 1] : cut[d]]
-            w = min(d, width)
-            ahead = beta[rows[:, None] + steps[:w]]
-            if w == d:
-                ahead[:, w - 1] = 0.0
-            v = logp[rows, :w] + ahead
-            top = v.max(axis=1)
-            e = np.exp(v - top[:, None])
-            total = e.sum(axis=1)
-            beta[rows] = top + np.log(total)
-            share = np.cumsum(e, axis=1) / total[:, None]
-            cum[rows, :w] = share
-            cum[rows, w - 1 - np.argmax(e[:, ::-1] > 0, axis=1)] = 1  # the last edge takes what rounding leaves
-        rows, cols = np.nonzero(piece != -1)
-        each = np.bincount(rows, minlength=n)
+        mass = np.empty(n)
+        cut = np.searchsorted(rem[order], np.arange(1, int(rem.max(initial=0)) + 2)).tolist()
+        for a, b in zip(cut[:-1], cut[1:]):
+            i, j = int(starts[a]), int(stops[b - 1])
+            own, from_ = v[i:j], starts[a:b] - i
+            own += beta[ahead[i:j]]
+            top = np.maximum.reduceat(own, from_)
+            own -= np.repeat(top, many[a:b])
+            np.exp(own, out=own)
+            mass[a:b] = np.add.reduceat(own, from_)
+            beta[order[a:b]] = top + np.log(mass[a:b])
+        # v: masses of a node's edges, relative to the greatest; now summed up to each edge
+        last = stops - 1
+        none = np.flatnonzero(v[last] == 0)
+        while len(none):
+            last[none] -= 1
+            none = none[v[last[none]] == 0]
+        more = starts[many > 1] + 1
+        end = stops[many > 1]
+        while len(more):
+            v[more] += v[more - 1]
+            on = more + 1 < end
+            more, end = more[on] + 1, end[on]
+        v /= np.repeat(mass, many)
+        v[last] = 1  # the last edge takes what rounding leaves
+        back = np.repeat(begin - np.cumsum(each) + each, each) + np.arange(len(v))
         #: Words of one segmentation: every node has one edge.
-        single = np.add.reduceat(each, first) == sizes
-        return sizes, single, beta[:n], each, piece[rows, cols], cum[rows, cols], (cols + 1).astype(np.uint8)
+        single = np.add.reduceat(each, ends - sizes) == sizes
+        return sizes, single, beta[:n], each, code[back], v[back], length[back]
 
     def log_weights(self, codes: np.ndarray) -> np.ndarray:
         out = self.voc.logp[np.maximum(codes, 0)]
@@ -271,31 +279,32 @@ class Lattices:
 
         base: a well-mixed number of each occurrence's own.
         """
-        n = len(word)
-        at, end = self.node[word], (self.node + self.sizes)[word]
-        count = np.zeros(n, np.int64)
-        live = np.arange(n)
+        at = self.node[word]
+        end = at + self.sizes[word]
+        count = np.zeros(len(word), np.int64)
+        live = np.arange(len(word))
+        own = base  # that of the live ones
         rounds = []
         step = 0
         while len(live):
-            u = ((mixed(base[live] + _step(step)) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
-            here = at[live]
-            edge = self.edge[here]
+            u = ((mixed(own + _step(step)) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+            edge = self.edge[at]
             on = np.flatnonzero(self.cum[edge] <= u)
             while len(on):
                 edge[on] += 1
                 on = on[self.cum[edge[on]] <= u[on]]
             rounds.append((live, self.code[edge]))
-            count[live] += 1
-            here += self.length[edge]
-            at[live] = here
-            live = live[here < end[live]]
             step += 1
+            at = at + self.length[edge]
+            on = np.flatnonzero(at < end)
+            if len(on) < len(live):
+                count[live[at >= end]] = step
+                live, at, end, own = live[on], at[on], end[on], own[on]
         first = np.cumsum(count) - count
         out = np.empty(int(count.sum()), np.int32)
         for k, (who, code) in enumerate(rounds):
             out[first[who] + k] = code
-        score = np.add.reduceat(self.log_weights(out), first) if n else np.zeros(0)
+        score = np.add.reduceat(self.log_weights(out), first) if len(word) else np.zeros(0)
         return out, count, np.minimum(score - self.total[word], 0)
 
     def others(self, word: int, paths: list[tuple[int, ...]]) -> list[list]:
@@ -538,7 +547,7 @@ class Encoder:
                     heapq.heappush(t.heap, (-float(part[j]), n, w, t.taken if w == t.begin else []))
 
     def decode(self, ids) -> str:
-        raw = b"".join([self.voc.bytes_of[i] for i in ids])
+        raw = b"".join(map(self.voc.bytes_of.__getitem__, ids))
         return raw[1:].decode()  # without the blank set before each text
 
 

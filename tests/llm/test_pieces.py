@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -140,3 +141,44 @@ def test_kept_lattices_are_small_and_change_nothing(monkeypatch):
     for i, t in enumerate(texts):
         for (a, *x), (b, *y) in zip(kept[i][0], enc.encode([i], [t])[0], strict=True):
             assert a.tolist() == b.tolist() and x == y
+
+
+def test_lattices_are_those_of_a_plain_search(monkeypatch):
+    monkeypatch.setattr(pieces, "NODES_AT_ONCE", 50)
+    voc = pieces.vocabulary(pieces.MODEL)
+    sp = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    ids = {sp.id_to_piece(i): i for i in range(sp.get_piece_size()) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i))}
+    words = [" the", "   ", "\n", " é😀x\uffff", " ▁▁a", "x" * 300, " internationalization.", "=" * 70_000]
+    lat = pieces.Lattices(voc, words)
+    for w, word in enumerate(words):
+        s = "".join({" ": "▁", "▁": "\0"}.get(c, c) for c in word)  # a blank sign that is meant is no piece
+        beta = np.zeros(len(s) + 1)
+        for at in reversed(range(len(s))):
+            edges = [(n, ids[s[at : at + n]]) for n in range(1, min(voc.longest, len(s) - at) + 1) if s[at : at + n] in ids]
+            weights = [float(voc.logp[i]) for _, i in edges]
+            if not edges or edges[0][0] > 1:
+                edges.insert(0, (1, -2 - ord(word[at])))
+                weights.insert(0, voc.byte_logp * len(word[at].encode()))
+            masses = [x + beta[at + n] for x, (n, _) in zip(weights, edges)]
+            beta[at] = max(masses) + math.log(sum(math.exp(x - max(masses)) for x in masses))
+            node = int(lat.node[w]) + at
+            a, b = lat.edge[node], lat.edge[node + 1]
+            assert list(zip(lat.length[a:b].tolist(), lat.code[a:b].tolist())) == edges
+            shares = [math.exp(x - beta[at]) for x in masses]
+            assert np.allclose(np.diff(lat.cum[a:b], prepend=0), shares, rtol=0, atol=1e-9) and lat.cum[b - 1] == 1
+        got = lat.beta[lat.node[w] : lat.node[w] + len(s)]
+        assert np.allclose(got, beta[:-1], rtol=1e-9)
+
+
+def test_setting_up_works_on_edges_alone():
+    """Most characters begin two or three pieces, not one of each length: what is set up follows the former."""
+    rng = np.random.default_rng(3)
+    words = ["".join(map(chr, rng.integers(97, 123, rng.integers(3, 12)))) for _ in range(20_000)]
+    voc = pieces.vocabulary(pieces.MODEL)
+    tracemalloc.start()
+    try:
+        lat = pieces.Lattices(voc, words)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(lat.code) < 3 * len(lat.beta) and most < 200 * len(lat.beta)

@@ -42,6 +42,8 @@ TEXT_PER_STEP = 1_000_000
 NODES_KEPT = 500_000
 #: Nodes that are set up at once: few enough for their arrays to stay in a core's cache.
 NODES_AT_ONCE = 30_000
+#: Ids whose bytes are looked up at once.
+IDS_AT_ONCE = 50_000
 #: Where less than this is left of a word's mass beside a segmentation, it is summed over the others, if the cell matters at all.
 SUMMED = 1e-6
 #: More than rounding adds to what is left.
@@ -53,9 +55,12 @@ _FILTER_BITS, _START_BITS = 18, 16
 def mixed(x: np.ndarray) -> np.ndarray:
     """Splitmix64 finaliser."""
     x = np.atleast_1d(x)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def uniforms(seed: np.ndarray, *counters) -> np.ndarray:
@@ -117,6 +122,9 @@ class Vocabulary:
         self.bytes_of = [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.steps = np.multiply.accumulate(np.full(self.longest, _M, np.uint64))
         self.tables = []
+        self.flat = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+        self.n_bytes = np.array([len(x) for x in self.bytes_of], np.int64)
+        self.after = np.cumsum(self.n_bytes)
         #: hash of each beginning of each piece, by length
         begun = [np.cumsum((np.array([ord(c) for c in p], np.uint64) + np.uint64(1)) * self.steps[: len(p)]) for _, p in normal]
         for size in range(1, self.longest + 1):
@@ -547,9 +555,16 @@ class Encoder:
                     heapq.heappush(t.heap, (-float(part[j]), n, w, t.taken if w == t.begin else []))
 
     def decode(self, ids) -> str:
-        raw = b"".join(map(self.voc.bytes_of.__getitem__, ids))
+        ids = np.asarray(ids, np.int64)
+        raw = b"".join(self._bytes(ids[a : a + IDS_AT_ONCE]) for a in range(0, len(ids), IDS_AT_ONCE))
         return raw[1:].decode()  # without the blank set before each text
 
+    def _bytes(self, ids: np.ndarray) -> bytes:
+        sizes = self.voc.n_bytes[ids]
+        where = np.repeat(self.voc.after[ids] - np.cumsum(sizes), sizes)
+        where += np.arange(len(where))
+        return self.voc.flat[where].tobytes()
+
 
 ENCODED = "rank int, ids array<int>, log_prob double, perturbed double, log_inclusion double"
 
@@ -639,7 +654,7 @@ def digests(docs: DataFrame, *, key: str = "doc_id", text: str = "text", model:
             form = batch.schema.field(0).type
             own = batch.column(0)[i].as_py()
             for r, (ids, logp, _, inclusion) in enumerate(samples):
-                spelt = enc.decode(ids.tolist())
+                spelt = enc.decode(ids)
                 sha = hashlib.sha256(np.ascontiguousarray(ids, "<i4").tobytes()).hexdigest()
                 held.append((own, r + 1, len(ids), sha, hashlib.sha256(spelt.encode()).hexdigest(), spelt == source, logp, inclusion))
             if len(held) >= 5000:

@@ -182,3 +182,12 @@ def test_setting_up_works_on_edges_alone():
     finally:
         tracemalloc.stop()
     assert len(lat.code) < 3 * len(lat.beta) and most < 200 * len(lat.beta)
+
+
+def test_ids_of_any_number_are_decoded(monkeypatch):
+    enc = pieces.Encoder(pieces.MODEL, 1)
+    whole = [[], *(x[0][0].tolist() for x in enc.encode(list(range(len(TEXTS))), TEXTS))]
+    want = [b"".join(enc.voc.bytes_of[i] for i in ids)[1:].decode() for ids in whole]
+    for n in (50_000, 3, 1):
+        monkeypatch.setattr(pieces, "IDS_AT_ONCE", n)
+        assert [enc.decode(ids) for ids in whole] == [enc.decode(np.array(ids, np.int32)) for ids in whole] == want
